@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are worked on at once; a single longer text makes a slice of its own.
@@ -42,7 +43,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = SLICE_
         n = batch.num_rows
         if not n:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes.astype(np.int64))
         at = 0
         while at < n:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.bpe import encode_documents
 from llm.frames import table
+from llm.secrets import find_secrets
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +17,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}
