@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.bpe import encode_documents
 from llm.frames import table
 from llm.secrets import find_secrets
+from llm.toxicity import fit, score_documents
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,12 +18,18 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
 

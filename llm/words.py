@@ -14,8 +14,10 @@ SPACES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 _CHUNK = 1 << 20
 _U = np.uint64
 
-_is_space = np.zeros(256, bool)
-_is_space[list(SPACES)] = True
+#: Separators of contract words, and of plain words (runs of ASCII letters and digits and all other characters).
+WHITE = np.zeros(256, bool)
+WHITE[list(SPACES)] = True
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _fold = np.arange(256)
 _fold[65:91] += 32
 #: A random odd 64-bit value for every byte; both cases of A-Z share one.
@@ -66,11 +68,11 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end bytes of every word; no word crosses two texts."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~_is_space[data]
+    inside = ~separators[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
@@ -100,9 +102,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 class Words:
     """The words of a batch: data, spans, hashes, and at[i]:at[i+1] for those of text i."""
 
-    def __init__(self, column: pa.Array | pa.ChunkedArray, hashes: bool = True):
+    def __init__(self, column: pa.Array | pa.ChunkedArray, separators: np.ndarray = WHITE, hashes: bool = True):
         self.data, self.offsets = text_bytes(column)
-        self.starts, self.ends = word_spans(self.data, self.offsets)
+        self.starts, self.ends = word_spans(self.data, self.offsets, separators)
         self.at = np.searchsorted(self.starts, self.offsets)
         self.hashes = span_hashes(self.data, self.starts, self.ends) if hashes else None
 
