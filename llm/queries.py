@@ -9,10 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.bpe import encode_documents
 from llm.frames import table
+from llm.pii import pseudonymise
 from llm.secrets import find_secrets
 from llm.toxicity import fit, score_documents
 
 
+#: The key of the registered query; a deployment passes its own.
+PSEUDONYM_KEY = b"demonstration key"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
@@ -28,6 +37,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op4_bpe": op4_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
