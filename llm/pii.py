@@ -226,14 +226,16 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
     No value has a longer stretch without digits, and only IBANs and phones hold white space.
     """
     begin = last = None
+    floor = 0
     for m in _anchor.finditer(text):
         at = m.start()
         if last is not None and at - last >= 64:
-            yield begin, _end(text, last)
+            floor = _end(text, last)
+            yield begin, floor
             begin = None
         if begin is None:
             begin = at
-            while begin and not text[begin - 1].isspace():
+            while begin > floor and not text[begin - 1].isspace():
                 begin -= 1
         last = at
     if begin is not None:

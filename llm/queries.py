@@ -11,6 +11,7 @@ from llm.bpe import encode_documents
 from llm.frames import table
 from llm.pii import pseudonymise
 from llm.secrets import find_secrets
+from llm.token_counts import count_by_section
 from llm.toxicity import fit, score_documents
 
 
@@ -27,6 +28,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return count_by_section(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -39,6 +45,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op4_bpe": op4_bpe,
+    "op7_token_counts": op7_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
