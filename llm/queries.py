@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.bpe import encode_documents
+from llm.extraction import extract_text, labeller
 from llm.frames import table
 from llm.pii import pseudonymise
 from llm.secrets import find_secrets
@@ -23,6 +24,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"), labeller())
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
@@ -44,6 +49,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_html": op2_html,
     "op4_bpe": op4_bpe,
     "op7_token_counts": op7_token_counts,
     "op9_toxicity": op9_toxicity,
