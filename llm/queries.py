@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.bpe import encode_documents
+from llm.embeddings import near_vectors
 from llm.extraction import extract_text, labeller
 from llm.frames import table
 from llm.pii import pseudonymise
@@ -33,6 +34,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return count_by_section(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
     "op4_bpe": op4_bpe,
+    "op6_embeddings": op6_embeddings,
     "op7_token_counts": op7_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
