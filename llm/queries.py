@@ -11,6 +11,7 @@ from llm.bpe import encode_documents
 from llm.embeddings import near_vectors
 from llm.extraction import extract_text, labeller
 from llm.frames import table
+from llm.near_dup import near_duplicates
 from llm.pii import pseudonymise
 from llm.secrets import find_secrets
 from llm.token_counts import count_by_section
@@ -34,6 +35,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
     "op4_bpe": op4_bpe,
+    "op5_near_dup": op5_near_dup,
     "op6_embeddings": op6_embeddings,
     "op7_token_counts": op7_token_counts,
     "op9_toxicity": op9_toxicity,
