@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.bpe import encode_documents
+from llm.decontamination import find_leaks
 from llm.embeddings import near_vectors
 from llm.extraction import extract_text, labeller
 from llm.frames import table
@@ -30,6 +31,10 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"), labeller())
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep_ids=False).drop("exact")
@@ -60,6 +65,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
+    "op3_decontamination": op3_decontamination,
     "op4_bpe": op4_bpe,
     "op5_near_dup": op5_near_dup,
     "op6_embeddings": op6_embeddings,
