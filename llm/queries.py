@@ -12,6 +12,7 @@ from llm.decontamination import find_leaks
 from llm.embeddings import near_vectors
 from llm.extraction import extract_text, labeller
 from llm.frames import table
+from llm.language_model import score_documents as score_language
 from llm.near_dup import near_duplicates
 from llm.pii import pseudonymise
 from llm.secrets import find_secrets
@@ -53,6 +54,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_section(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_language(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dup": op5_near_dup,
     "op6_embeddings": op6_embeddings,
     "op7_token_counts": op7_token_counts,
+    "op8_language_model": op8_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
 }
