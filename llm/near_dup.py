@@ -278,4 +278,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = joined.join(least, "root").select("cls", "component_id")
     out = rows.select("id", "n_shingles", "cls").join(named, "cls", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that near_duplicates keeps, with all their columns; of rows with one id, the first in the order of text and columns.
+
+    The ids to drop, and not the texts, are what is gathered; a row is moved only if Spark can't
+    broadcast those ids.
+    """
+    found = stored(near_duplicates(docs, size, percent, id_col, text_col).groupBy(id_col).agg(F.count("*").alias("rows"), F.max("kept").alias("kept")), "kept")
+    lost = found.where("not kept or rows > 1").select(F.col(id_col).alias("_lost"))
+    once = docs.join(lost, docs[id_col].eqNullSafe(lost["_lost"]), "left_anti")
+    repeated = found.where("kept and rows > 1").select(F.col(id_col).alias("_lost"))
+    if repeated.isEmpty():
+        return once
+    again = docs.join(repeated, docs[id_col].eqNullSafe(repeated["_lost"]), "left_semi")
+    least = again.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.struct(*[F.col(c) for c in [text_col, *[c for c in docs.columns if c != text_col]]])).alias("_row"))
+    return once.unionByName(least.select("_row.*").select(docs.columns))

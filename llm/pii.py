@@ -250,6 +250,19 @@ def _end(text: str, last: int) -> int:
 _workers: dict[bytes, Pseudonymiser] = {}
 
 
+def with_pseudonyms(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
+    """The rows of docs with all their columns, text_col holding its text with pseudonyms."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker = _workers.setdefault(key, Pseudonymiser(key))
+        for batch in slices(batches, text=at):
+            texts = [worker.replace(t)[0] if t else t for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, n_<kind> for each kind, n_replaced) for every row of docs.
 

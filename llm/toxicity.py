@@ -163,6 +163,20 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
     return train(rows["text"], rows["toxic"].to_numpy())
 
 
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores under 0.5; null and empty texts among them."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*shared.value)
+        for batch in slices(batches, text=at):
+            b = bags(batch.column(at))
+            yield batch.filter(pa.array(noisy_or(m.sentence_logits(b), b.documents, m.bias) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_documents(docs: DataFrame, model: Model, folds: int = 5) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_sentences, offending) for every row of docs.
 
