@@ -1,10 +1,6 @@
 """All queries of the engine, by name, with the SQL that each is held against."""
 
-from __future__ import annotations
+from lorekeeper.plans import core  # noqa: F401  registers its queries
+from lorekeeper.registry import ORACLE_SQL, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
