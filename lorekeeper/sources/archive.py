@@ -18,7 +18,7 @@ BANDS = [("b1995", 1995, 1995), ("b1996", 1996, 1996), ("b1997", 1997, 1997), ("
 PRELUDE = {
     "bands": "SELECT * FROM (VALUES ('b1995',1995,1995),('b1996',1996,1996),('b1997',1997,1997),('b1998',1998,1998),('b1999',1999,1999),('b2000',2000,2001)) t(band,first_year,last_year)",
     "sources": "SELECT c_custkey source_id, c_name source_name, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE c_mktsegment END source_type, c_nationkey nation_id FROM customer",
-    "records": "SELECT o_orderkey record_id, o_custkey source_id, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE year(o_orderdate) END AS year, strftime(o_orderdate, '%Y-%m-%d') date_text, CASE o_orderstatus WHEN 'P' THEN 'restricted_excluded' WHEN 'F' THEN 'public_page' END AS level, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS code, CASE WHEN o_orderkey % 19 = 0 THEN 'scope_excluded' WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'in_scope' END AS relevance, CAST(o_totalprice AS DECIMAL(18,2)) AS value, month(o_orderdate) AS month FROM orders",
+    "records": "SELECT o_orderkey record_id, o_custkey source_id, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS year, strftime(o_orderdate, '%Y-%m-%d') date_text, CASE o_orderstatus WHEN 'P' THEN 'restricted_excluded' WHEN 'F' THEN 'public_page' END AS level, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS code, CASE WHEN o_orderkey % 19 = 0 THEN 'scope_excluded' WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'in_scope' END AS relevance, CAST(o_totalprice AS DECIMAL(18,2)) AS value, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders",
     "public_records": "SELECT * FROM records WHERE COALESCE(level,'') <> 'restricted_excluded' AND COALESCE(code,'') <> 'restricted_excluded' AND COALESCE(relevance,'') <> 'scope_excluded'",
     "places": "SELECT s_suppkey location_id, s_name place_name, n_name AS state, r_name AS region, -46.0 + CAST((s_suppkey * 37) % 400 AS DOUBLE) / 10 AS lat, 110.0 + CAST((s_suppkey * 53) % 460 AS DOUBLE) / 10 AS lon, n_nationkey AS nation_id FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey",
     "record_places": "SELECT l_orderkey record_id, l_suppkey location_id, l_partkey figure_id, l_returnflag relation, l_linestatus kind, l_linenumber AS priority, l_shipdate AS seen_at, CAST(l_quantity AS INT) AS quantity, CASE WHEN l_linenumber % 4 = 0 THEN ' ' ELSE l_returnflag || l_linestatus END AS evidence FROM lineitem",
