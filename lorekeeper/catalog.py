@@ -1,6 +1,6 @@
 """All queries of the engine, by name, with the SQL that each is held against."""
 
-from lorekeeper.plans import core, ordering, rollups, texts  # noqa: F401  registers its queries
+from lorekeeper.plans import core, ordering, quality, rollups, texts  # noqa: F401  registers its queries
 from lorekeeper.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
