@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import io
 import json
+import re
+import zipfile
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
+from html import unescape
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
 class MissingColumns(ValueError):
@@ -63,14 +68,6 @@ def dimension(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
 
 def docx_text(spark: SparkSession, path: str) -> DataFrame:
     """(path, text): the runs of text of word-processor files, read by executors file by file."""
-    import io
-    import re
-    import zipfile
-    from html import unescape
-
-    import pandas as pd
-    from pyspark.sql.types import StringType
-
     @F.pandas_udf(StringType())
     def text_of(content: pd.Series) -> pd.Series:
         def one(data: bytes) -> str:
