@@ -23,9 +23,9 @@ from llm.components import components
 from llm.frames import slices, stored
 from llm.words import Words, shingles
 
-COORDINATES, TREES, LEVELS = 64, 10, 10
+COORDINATES, TREES, LEVELS = 64, 10, 4
 #: Classes in a node that are compared at once.
-NODE = 512
+NODE = 2048
 #: Five standard deviations under what a pair at the threshold shares of 64 coordinates.
 LEAST_SHARED = 36
 _rng = np.random.default_rng(5)
