@@ -207,7 +207,7 @@ class Pseudonymiser:
                     kind, m = "card", m2
                     new = self.value(kind, m[0])
                 if new is None:
-                    at = m.start() + 1
+                    at = m.end() if kind == "iban" else m.start() + 1  # a failed IBAN's digits are no phone
                     continue
                 out += [text[done : m.start()], new]
                 done = at = m.end()
