@@ -12,10 +12,20 @@ from pyspark.sql.types import DoubleType
 from lorekeeper.functions.text import jaccard, title_tokens
 
 
-@F.pandas_udf(DoubleType())
-def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """The share of matching blocks (Ratcliff and Obershelp), which no built-in gives."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
+def matching_ratio(threshold: float):
+    """The share of matching blocks (Ratcliff and Obershelp), which no built-in gives; 0 where its bounds are under the threshold."""
+
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        m = SequenceMatcher(None)
+
+        def one(x: str, y: str) -> float:
+            m.set_seqs(x, y)
+            return m.ratio() if m.real_quick_ratio() >= threshold and m.quick_ratio() >= threshold else 0.0
+
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=float)
+
+    return ratio
 
 
 def near_titles(titles: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -42,5 +52,5 @@ def near_titles(titles: DataFrame, threshold: float = 0.9) -> DataFrame:
     both = pairs.join(x, "left").join(y, "right")
     words_alike = jaccard(F.col("ta"), F.col("tb"))
     possible = (words_alike >= threshold) | (2 * F.least(F.char_length("a"), F.char_length("b")) >= threshold * (F.char_length("a") + F.char_length("b")))
-    scored = both.where(possible).select("left", "right", F.greatest(words_alike, matching_ratio("a", "b")).alias("score")).where(F.col("score") >= threshold)
+    scored = both.where(possible).select("left", "right", F.greatest(words_alike, matching_ratio(threshold)("a", "b")).alias("score")).where(F.col("score") >= threshold)
     return scored.unionByName(copies)
