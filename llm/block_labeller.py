@@ -157,12 +157,12 @@ class Labeller:
 
 
 def train(pages: list[list[Block]], labels: list[list[int]], epochs: int = 10, batch: int = 24, rate: float = 0.01, seed: int = 0) -> Labeller:
-    """Adam on the blocks' log-loss. Path steps are dropped at random, so that no single name decides."""
+    """Adam on the blocks' log-loss, at a falling rate. Path steps are dropped at random, so that no single name decides."""
     model = Labeller.fresh(seed)
     rng = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in model.p.items()}
     second = {k: np.zeros_like(v) for k, v in model.p.items()}
-    step = 0
+    step, steps_in_all = 0, max(1, epochs * -(-len(pages) // batch))
     for _ in range(epochs):
         order = sorted(rng.permutation(len(pages)), key=lambda i: len(pages[i]) // 8)
         groups = [order[k : k + batch] for k in range(0, len(order), batch)]
@@ -187,8 +187,10 @@ def train(pages: list[list[Block]], labels: list[list[int]], epochs: int = 10, b
                 g[key] = np.zeros_like(model.p[key])
                 np.add.at(g[key], ids, np.repeat(part / np.maximum(n, 1)[:, None], n, 0))
             step += 1
+            slower = rate * (1.05 - step / steps_in_all)  # to a twentieth
             for key, v in g.items():
+                pace = slower * (0.1 if key == "word" else 1)  # words are many and tell little
                 first[key] += 0.1 * (v - first[key])
                 second[key] += 0.01 * (v**2 - second[key])
-                model.p[key] -= (rate * (first[key] / (1 - 0.9**step)) / (np.sqrt(second[key] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
+                model.p[key] -= (pace * (first[key] / (1 - 0.9**step)) / (np.sqrt(second[key] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
     return model

@@ -14,7 +14,7 @@ from llm.frames import slices
 from llm.html_blocks import leaves
 from llm.synthetic_pages import labelled_pages
 
-TRAINING_PAGES, EPOCHS = 1500, 10
+TRAINING_PAGES, EPOCHS = 2200, 10
 
 
 @lru_cache(2)

@@ -14,11 +14,11 @@ _MAIN, _REST = "\ue001", "\ue000"
 _KINDS = {
     "menu": ("nav", "menu navbar nav navigation breadcrumbs breadcrumb topnav main-menu nav-menu toc links"),
     "header": ("header", "header masthead topbar site-header page-header branding logo"),
-    "footer": ("footer", "footer site-footer copyright bottom colophon page-footer footer-links legal"),
-    "side": ("aside", "sidebar widget related right-col recommended side rail more-stories trending popular"),
+    "footer": ("footer", "footer site-footer copyright bottom colophon page-footer footer-links legal contentinfo"),
+    "side": ("aside", "sidebar widget related right-col recommended side rail more-stories trending popular complementary"),
     "ad": ("div", "ad ads advert advertisement sponsored promo ad-slot banner-ad adsbox sponsor"),
     "notice": ("div", "cookie notice consent gdpr alert cookie-banner popup modal newsletter subscribe paywall message"),
-    "form": ("form", "form search-form login signup subscribe-form contact-form comment-form"),
+    "form": ("form", "form search-form search login signup subscribe-form contact-form comment-form"),
     "comments": ("section", "comments comment-list responses discussion comment reader-comments replies disqus user-comments"),
     "share": ("div", "share social sharing tags meta-links author-box social-links"),
 }
@@ -85,7 +85,8 @@ class _Maker:
             elif kind < 0.9:
                 out.append(f"<blockquote>{self.leaf(_MAIN, 'p', 4, 30)}</blockquote>")
             elif kind < 0.93:
-                out.append("<table>" + "".join(f"<tr>{self.leaf(_MAIN, 'td', 1, 5)}{self.leaf(_MAIN, 'td', 1, 5)}</tr>" for _ in range(3)) + "</table>")
+                rows = "".join(self.leaf(_MAIN, "dt", 1, 3) + self.leaf(_MAIN, "dd", 1, 12) for _ in range(2))
+                out.append(f"<dl>{rows}</dl>" if rng.random() < 0.4 else "<table>" + "".join(f"<tr>{self.leaf(_MAIN, 'td', 1, 5)}{self.leaf(_MAIN, 'td', 1, 5)}</tr>" for _ in range(3)) + "</table>")
             elif kind < 0.96:
                 out.append(self.leaf(_MAIN, rng.choice(["pre", "div", "section"]), 3, 40))
             else:
