@@ -47,7 +47,7 @@ def bags(column: pa.Array | pa.ChunkedArray) -> Bags:
     n = len(w.starts)
     if not n:
         return Bags(features, np.zeros(0, np.int64), np.zeros(len(w) + 1, np.int64), w)
-    marks = np.concatenate([[0], np.cumsum(_terminator[w.data])])
+    marks = np.concatenate([[0], np.cumsum(_terminator[w.data], dtype=np.int32)])
     first = np.ones(n, bool)
     first[1:] = marks[w.starts[1:]] > marks[w.ends[:-1]]
     begins = np.unique(w.at[:-1][w.at[:-1] < n])
@@ -96,29 +96,37 @@ def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 8
     Features of fewer than three documents stay at 0. The word and the long prefix are each left out
     of half of the batches, so that the short prefix alone comes to carry unseen word forms.
     """
-    b = bags(column)
     n = len(toxic)
     size = 1 << _BITS
-    seen = np.zeros(size, np.int32)
-    first, last = b.words.at[:-1], b.words.at[1:]
-    for a, z in zip(first, last):
-        seen[np.unique(b.features[a:z])] += 1
-    ids = np.zeros(size, np.int64)
+    if not n or not 0 < toxic.sum() < n:
+        return Model(np.zeros(size, np.float32), -30.0)
+    # The words of all documents as features, built from a few documents at a time.
+    parts, at, documents, sentences, seen = [], [0], [0], [], np.zeros(size, np.int32)
+    for k in range(0, n, 128):
+        b = bags(column.slice(k, 128))
+        parts.append(b.features)
+        sentences.append(b.sentences + at[-1])
+        documents += (b.documents[1:] + documents[-1]).tolist()
+        for low, high in zip(b.words.at[:-1], b.words.at[1:]):
+            seen[np.unique(b.features[low:high])] += 1
+        at += (b.words.at[1:] + at[-1]).tolist()
     kept = np.flatnonzero(seen >= 3)
+    ids = np.zeros(size, np.int32)
     ids[kept] = np.arange(1, len(kept) + 1)
-    features = ids[b.features]
+    features = ids[np.concatenate(parts)]
+    del parts, ids, seen
+    sentences, documents = np.concatenate(sentences), np.array(documents)
+    first, last = np.array(at[:-1]), np.array(at[1:])
     w, bias, bias_sum = np.zeros(len(kept) + 1), -5.0, 1e-6
     squares = np.full(len(w), 1e-6)
     rng = np.random.default_rng(0)
-    if not n or not 0 < toxic.sum() < n:
-        return Model(np.zeros(size, np.float32), -30.0)
     for _ in range(epochs):
         order = rng.permutation(n)
         for k in range(0, n, batch):
             docs = order[k : k + batch]
             words = np.concatenate([np.arange(first[d], last[d]) for d in docs])
-            sizes = np.concatenate([np.diff(np.append(b.sentences[b.documents[d] : b.documents[d + 1]], last[d])) for d in docs])
-            counts = b.documents[docs + 1] - b.documents[docs]
+            sizes = np.concatenate([np.diff(np.append(sentences[documents[d] : documents[d + 1]], last[d])) for d in docs])
+            counts = documents[docs + 1] - documents[docs]
             if not len(words):
                 continue
             begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
