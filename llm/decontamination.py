@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.frames import slices
+from llm.frames import broadcast_if_few, slices, stored
 from llm.words import PUNCTUATION, Words, mix
 
 NGRAMS = (2, 3, 5, 8)
@@ -237,4 +237,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id
 
 def without_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs whose id has no leak, rows with a null id among them."""
-    return docs.join(leaks.select(id_col).distinct(), id_col, "left_anti").select(docs.columns)
+    ids = stored(leaks.select(id_col).distinct(), "leaking")
+    return docs.join(broadcast_if_few(ids), id_col, "left_anti").select(docs.columns)

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that are worked on at once; a single longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -51,3 +52,12 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = SLICE_
             to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+
+
+#: Ids that a join may broadcast (8 bytes each and as much again for their table); more are joined by a shuffle.
+BROADCAST_IDS = 500_000
+
+
+def broadcast_if_few(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """A stored table of ids, marked for broadcast when a count shows that it has at most ``limit`` rows."""
+    return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components
-from llm.frames import slices, stored
+from llm.frames import broadcast_if_few, slices, stored
 from llm.words import Words, shingles
 
 COORDINATES, TREES, LEVELS = 64, 10, 4
@@ -284,11 +284,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that near_duplicates keeps, with all their columns; of rows with one id, the first in the order of text and columns.
 
-    The ids to drop, and not the texts, are what is gathered; a row is moved only if Spark can't
-    broadcast those ids.
+    The ids to drop, and not the texts, are what is gathered; rows are moved only if those ids are too
+    many to broadcast.
     """
     found = stored(near_duplicates(docs, size, percent, id_col, text_col).groupBy(id_col).agg(F.count("*").alias("rows"), F.max("kept").alias("kept")), "kept")
-    lost = found.where("not kept or rows > 1").select(F.col(id_col).alias("_lost"))
+    lost = broadcast_if_few(found.where("not kept or rows > 1").select(F.col(id_col).alias("_lost")))
     once = docs.join(lost, docs[id_col].eqNullSafe(lost["_lost"]), "left_anti")
     repeated = found.where("kept and rows > 1").select(F.col(id_col).alias("_lost"))
     if repeated.isEmpty():
