@@ -3,8 +3,11 @@
 The model predicts an output: one of the most frequent words, the end, or the class of any other word
 (by its last two bytes). A context vector is the sum of the vectors of the last three outputs, each
 through its position's matrix, and of the mean of the last sixteen through another; its products with
-all output vectors, normalised, give the output's probability. A word of a class then has its share of
-the class by the corpus counts, so that every token of any text has a normalised probability.
+all output vectors, normalised, give the output's probability. The words of a class are the leaves of a
+binary tree, whose nodes have vectors of their own: the context decides at every node, starting from the
+corpus counts, so that a word's cost is the length of its path at any size of the vocabulary. Every word
+that is common in the corpus has a leaf and a context vector to itself; the rarest words of a class share
+one, and within it have their share by the counts. Every token of any text has a normalised probability.
 
 Counts, and with them the noise distribution, come from all training documents. Every partition trains
 on all of its training texts from the same start; the parameters are averaged by tokens.
@@ -12,6 +15,7 @@ on all of its training texts from the same start; the parameters are averaged by
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +30,7 @@ from llm.words import Words
 
 WORDS, CLASSES, DIM, LAST, MEAN = 191, 64, 24, 3, 16
 END, OUTPUTS = WORDS, WORDS + 1 + CLASSES
-#: Words that make up at least one in so many tokens are broadcast with their counts: as many at most.
+#: Words that make up at least one in so many tokens have vectors and are broadcast with their counts: as many at most.
 COMMON = 1 << 20
 SLICE = 512 << 10
 _U = np.uint64
@@ -92,6 +96,58 @@ def _count_batch(h, c, n) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int32)), pa.array(n.astype(np.int64))], ["h", "class", "n"])
 
 
+@dataclass
+class Tree:
+    """Binary trees of the classes' words; leaf c is the rest of class c, the others are common words."""
+
+    of_common: np.ndarray  # the leaf of each common word; n for the frequent ones, which are outputs
+    n: int  # leaves
+    begins: np.ndarray  # of each leaf's path (n+1 entries)
+    nodes: np.ndarray
+    left: np.ndarray  # 1 where the path goes left
+    bias: np.ndarray  # of each node: the log of left to right by the counts
+    log_rest: np.ndarray  # log10 of the smoothed counts of each class's rest
+
+
+def tree(of_common: np.ndarray, classes: np.ndarray, counts: np.ndarray, rest: np.ndarray) -> Tree:
+    """The trees for words of these classes and counts; rest: smoothed counts of the other words of each class."""
+    n = CLASSES + len(classes)
+    leaf_class, weight = np.concatenate([np.arange(CLASSES), classes]), np.concatenate([rest, counts + 0.1])
+    order = np.lexsort((-weight, leaf_class))
+    bounds = np.searchsorted(leaf_class[order], np.arange(CLASSES + 1)).tolist()
+    total = np.concatenate([[0.0], np.cumsum(weight[order])]).tolist()
+    up, left = np.full(n, -1), np.zeros(n, np.int8)
+    node_up, node_left, bias = [], [], []
+    stack = [(a, b, -1, 0) for a, b in zip(bounds[:-1], bounds[1:])]
+    while stack:
+        a, b, parent, side = stack.pop()
+        if b - a == 1:
+            up[order[a]], left[order[a]] = parent, side
+            continue
+        half = (total[a] + total[b]) / 2
+        m = bisect_left(total, half, a + 1, b - 1)
+        m -= m > a + 1 and half - total[m - 1] < total[m] - half
+        stack += [(a, m, len(bias), 1), (m, b, len(bias), 0)]
+        node_up.append(parent)
+        node_left.append(side)
+        bias.append(np.log((total[m] - total[a]) / (total[b] - total[m])))
+    node_up, node_left = np.array(node_up, np.int64), np.array(node_left, np.int8)
+    leaves, nodes, sides = [], [], []
+    at = np.flatnonzero(up >= 0)
+    node, side = up[at], left[at]
+    while len(at):
+        leaves.append(at)
+        nodes.append(node)
+        sides.append(side)
+        on = node_up[node] >= 0
+        at, node, side = at[on], node_up[node[on]], node_left[node[on]]
+    cat = lambda x, kind: np.concatenate([np.zeros(0, kind), *x]).astype(kind)
+    leaves = cat(leaves, np.int64)
+    by_leaf = np.argsort(leaves, kind="stable")
+    begins = np.concatenate([[0], np.cumsum(np.bincount(leaves, minlength=n))])
+    return Tree(of_common, n, begins, cat(nodes, np.int32)[by_leaf], cat(sides, np.int8)[by_leaf], np.array(bias, np.float64), np.log10(rest))
+
+
 @dataclass
 class Vocabulary:
     """What is broadcast of the counts: sizes bounded by WORDS, CLASSES and COMMON."""
@@ -104,6 +160,12 @@ class Vocabulary:
     distinct: int  # V
     output_counts: np.ndarray  # tokens of every output
     class_distinct: np.ndarray  # words of every class outside the frequent ones
+    tree: Tree | None = None
+
+    def __post_init__(self):
+        if self.tree is None:  # no word but the frequent ones has a vector to itself
+            none = np.zeros(0, np.int64)
+            self.tree = tree(np.full(len(self.common), CLASSES), none, none, self.output_counts[END + 1 :] + 0.1 * (self.class_distinct + 1))
 
     @property
     def noise(self) -> np.ndarray:
@@ -129,7 +191,11 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     order = np.argsort(h)
     ch, cn = common["h"].to_numpy().view(np.uint64), common["n"].to_numpy()
     corder = np.argsort(ch)
-    return Vocabulary(h[order], order, ch[corder], cn[corder], n, v, output_counts, distinct)
+    ch, cn, cc = ch[corder], cn[corder], common["class"].to_numpy()[corder]
+    own = ~np.isin(ch, h)
+    of_common = np.where(own, CLASSES + np.cumsum(own) - 1, CLASSES + own.sum())
+    rest = output_counts[END + 1 :] - np.bincount(cc[own], cn[own], CLASSES) + 0.1 * (distinct - np.bincount(cc[own], minlength=CLASSES) + 1)
+    return Vocabulary(h[order], order, ch, cn, n, v, output_counts, distinct, tree(of_common, cc[own], cn[own], rest))
 
 
 _filters: dict[int, tuple[np.ndarray, np.ndarray, np.uint64]] = {}
@@ -172,6 +238,10 @@ class Tokens:
     bounds: np.ndarray
     of_word: np.ndarray
     classes: np.ndarray  # by word; -1 for the frequent ones
+    leaves: np.ndarray  # by token; the tree's n for the frequent words and ends
+    common: np.ndarray  # by word: whether it is among the common words, and its place there
+    at: np.ndarray
+    tree: Tree
 
 
 def tokens(w: Words, v: Vocabulary) -> Tokens:
@@ -185,7 +255,12 @@ def tokens(w: Words, v: Vocabulary) -> Tokens:
     if frequent.any():
         outputs[of_word[frequent]] = v.outputs[at[frequent]]
     places = np.arange(bounds[-1]) - np.repeat(bounds[:-1], counts + 1)
-    return Tokens(outputs, places, bounds, of_word, np.where(frequent, -1, classes))
+    common, place = find(v.common, w.hashes)
+    leaf = np.where(frequent, v.tree.n, classes)
+    leaf[common] = v.tree.of_common[place[common]]
+    leaves = np.full(bounds[-1], v.tree.n, np.int64)
+    leaves[of_word] = leaf
+    return Tokens(outputs, places, bounds, of_word, np.where(frequent, -1, classes), leaves, common, place, v.tree)
 
 
 def fresh(v: Vocabulary, seed: int = 0) -> dict[str, np.ndarray]:
@@ -193,6 +268,9 @@ def fresh(v: Vocabulary, seed: int = 0) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     p = {"q": rng.normal(0, 0.3, (OUTPUTS + 1, DIM)), "t": rng.normal(0, 0.3, (OUTPUTS, DIM)), "b": np.log(v.noise)}
     p["c"] = rng.normal(0, 0.02, (LAST + 1, DIM, DIM))
+    p["e"] = np.zeros((v.tree.n + 1, DIM))  # what a leaf's word adds to its class as context; nothing in the last row
+    p["u"] = np.zeros((len(v.tree.bias), DIM + 1))  # the nodes' vectors and biases
+    p["u"][:, DIM] = v.tree.bias
     return {k: x.astype(np.float32) for k, x in p.items()}
 
 
@@ -201,26 +279,33 @@ class Context:
 
     def __init__(self, p: dict, t: Tokens, low: int, high: int):
         self.base = base = max(low - MEAN, 0)
-        at, place = np.arange(low, high), t.places[low:high]
-        self.last = [np.where(place > k, t.outputs[np.maximum(at - 1 - k, 0)], OUTPUTS) for k in range(LAST)]
-        self.run = t.outputs[base:high]
+        at, self.place = np.arange(low, high), t.places[low:high]
+        self.run, self.leaves = t.outputs[base:high], t.leaves[base:high]
+        # The vectors of the tokens, and what stands before a text at the end.
+        self.x = np.concatenate([p["q"][self.run] + p["e"][self.leaves], p["q"][OUTPUTS:]])
         sums = np.zeros((high - base + 1, DIM), p["q"].dtype)
-        np.cumsum(p["q"][self.run], 0, out=sums[1:])
-        self.to, self.k = at - base, np.minimum(place, MEAN)
+        np.cumsum(self.x[:-1], 0, out=sums[1:])
+        self.to, self.k = at - base, np.minimum(self.place, MEAN)
+        self.last = [np.where(self.place > k, self.to - 1 - k, len(self.run)) for k in range(LAST)]
         self.share = (1 / np.maximum(self.k, 1)).astype(sums.dtype)[:, None]
         self.mean = (sums[self.to] - sums[self.to - self.k]) * self.share
         self.h = self.mean @ p["c"][LAST]
         for k in range(LAST):
-            self.h += (p["q"] @ p["c"][k])[self.last[k]]
+            self.h += (self.x @ p["c"][k])[self.last[k]]
 
     def gradients(self, p: dict, dh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of q and c."""
-        dc = np.stack([p["q"][self.last[k]].T @ dh for k in range(LAST)] + [self.mean.T @ dh])
-        dq = sum(scatter(self.last[k], dh, OUTPUTS + 1) @ p["c"][k].T for k in range(LAST))
+        """Of q and c; those of the tokens' vectors are left in dx."""
+        dc = np.stack([self.x[self.last[k]].T @ dh for k in range(LAST)] + [self.mean.T @ dh])
         each = (dh @ p["c"][LAST].T) * self.share
         edges = scatter(self.to - self.k, each, len(self.run) + 1)
         edges[self.to] -= each
-        return dq + scatter(self.run, np.cumsum(edges, 0)[:-1], OUTPUTS + 1), dc
+        self.dx = np.cumsum(edges, 0)
+        self.dx[-1] = 0
+        for k in range(LAST):
+            d, inside = dh @ p["c"][k].T, self.place > k
+            self.dx[self.last[k][inside]] += d[inside]  # each token once
+            self.dx[-1] += d[~inside].sum(0)
+        return scatter(np.append(self.run, OUTPUTS), self.dx, OUTPUTS + 1), dc
 
 
 def scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -229,8 +314,43 @@ def scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount((rows[:, None] * d + np.arange(d)).ravel(), values.ravel(), n * d).reshape(n, d)
 
 
-def train_step(p: dict, squares: dict, t: Tokens, low: int, high: int, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
-    """One Adagrad step of NCE: the batch's tokens against noise samples that all of them share."""
+@dataclass
+class Paths:
+    """The paths of some tokens: by step its token, node and side, and the score there."""
+
+    rows: np.ndarray
+    nodes: np.ndarray
+    left: np.ndarray
+    z: np.ndarray
+
+
+def paths(p: dict, t: Tokens, low: int, h: np.ndarray) -> Paths:
+    leaves = t.leaves[low : low + len(h)]
+    rows = np.flatnonzero(leaves < t.tree.n)
+    begins, ends = t.tree.begins[leaves[rows]], t.tree.begins[leaves[rows] + 1]
+    n = ends - begins
+    flat = np.arange(n.sum()) + np.repeat(begins - np.cumsum(n) + n, n)
+    rows, nodes = np.repeat(rows, n), t.tree.nodes[flat]
+    u = p["u"][nodes]
+    return Paths(rows, nodes, t.tree.left[flat], np.einsum("ij,ij->i", h[rows], u[:, :DIM]) + u[:, DIM])
+
+
+def nudge(p: dict, squares: dict, seen: dict, key: str, rows: np.ndarray, made: np.ndarray, rate: float) -> None:
+    """An Adagrad step of some rows of a parameter, made having a gradient for each mention of a row; a row has one square."""
+    told = np.zeros(len(p[key]), bool)
+    told[rows] = True
+    found = np.flatnonzero(told)
+    place = np.empty(len(told), np.int64)
+    place[found] = np.arange(len(found))
+    back = place[rows]
+    g = scatter(back, made, len(found))
+    squares[key][found] += (g * g).mean(1)
+    p[key][found] -= (rate * g / np.sqrt(squares[key][found])[:, None]).astype(np.float32)
+    seen[key][found] += np.bincount(back, minlength=len(found))
+
+
+def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: int, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
+    """One Adagrad step of NCE: the batch's tokens against noise samples that all of them share; the paths by their logistic loss."""
     y = t.outputs[low:high]
     c = Context(p, t, low, high)
     shift = (p["b"] - np.log(len(noise)) - log_noise).astype(np.float32)
@@ -245,6 +365,12 @@ def train_step(p: dict, squares: dict, t: Tokens, low: int, high: int, noise: np
     false += 1
     d_false = np.reciprocal(false, out=false)
     dh = d_true[:, None] * own + d_false @ others
+    way = paths(p, t, low, c.h)
+    if len(way.rows):
+        d = (1 / (1 + np.exp(-np.clip(way.z, -30, 30))) - way.left).astype(np.float32)[:, None]
+        begins = np.flatnonzero(np.diff(way.rows, prepend=-1))
+        dh[way.rows[begins]] += np.add.reduceat(d * p["u"][way.nodes, :DIM], begins)
+        nudge(p, squares, seen, "u", way.nodes, np.concatenate([d * c.h[way.rows], d], 1), rate)
     dq, dc = c.gradients(p, dh)
     dt = scatter(y, d_true[:, None] * c.h, OUTPUTS)
     np.add.at(dt, noise, d_false.T @ c.h)
@@ -254,16 +380,32 @@ def train_step(p: dict, squares: dict, t: Tokens, low: int, high: int, noise: np
         g = g / len(y)
         squares[k] += g * g
         p[k] -= (rate * g / np.sqrt(squares[k])).astype(np.float32)
+    told = np.flatnonzero(c.leaves < t.tree.n)
+    if len(told):
+        nudge(p, squares, seen, "e", c.leaves[told], c.dx[told], rate)
+
+
+DENSE, ROWS = ("b", "c", "q", "t"), ("e", "u")
 
 
 def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 64, rate: float = 0.08) -> dict[str, np.ndarray]:
-    """One pass over all rows that aren't held out; each partition's parameters count by its tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast((v, fresh(v)))
+    """One pass over all rows that aren't held out; each partition's parameters count by its tokens, rows of words and nodes by their mentions."""
+    shared = docs.sparkSession.sparkContext.broadcast(v)
+    width, p = DIM + 1, fresh(v)
+    size = sum(p[k].size for k in DENSE)
+    begins = np.cumsum([-(-size // width), *(len(p[k]) for k in ROWS)])
+
+    def emitted(k: np.ndarray, x: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(k), 8192):
+            part = x[a : a + 8192].astype(np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * width), pa.array(part.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 8192].astype(np.int32)), lists, pa.array(n[a : a + 8192].astype(np.int64))], ["k", "x", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, p = shared.value
-        p = {k: x.copy() for k, x in p.items()}
-        squares = {k: np.full(x.shape, 1e-6) for k, x in p.items()}
+        v = shared.value
+        p = fresh(v)
+        squares = {k: np.full(p[k].shape, 1e-6) for k in DENSE} | {k: np.ones(len(p[k])) for k in ROWS}
+        mentions = {k: np.zeros(len(p[k]), np.int64) for k in ROWS}
         rng = np.random.default_rng(1)
         steps, log_noise, seen = np.cumsum(v.noise), np.log(v.noise), 0
         for part in slices(batches, limit=SLICE):
@@ -274,31 +416,53 @@ def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 64,
             n = len(t.outputs)
             for low in range(0, n, batch):
                 noise = np.minimum(np.searchsorted(steps, rng.random(samples)), OUTPUTS - 1)
-                train_step(p, squares, t, low, min(low + batch, n), noise, log_noise, rate)
+                train_step(p, squares, mentions, t, low, min(low + batch, n), noise, log_noise, rate)
             seen += n
         if seen:
-            flat = np.concatenate([p[k].ravel() for k in sorted(p)]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat * seen), pa.array(np.full(len(flat), seen, np.int64))], ["k", "x", "n"])
-
-    p = fresh(v)
-    averaged = docs.select("held_out", "text").mapInArrow(run, "k int, x double, n long").groupBy("k").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()  # one row for each parameter
+            flat = np.zeros(begins[0] * width, np.float32)
+            flat[:size] = np.concatenate([p[k].ravel() for k in DENSE])
+            yield from emitted(np.arange(begins[0]), flat.reshape(-1, width), np.full(begins[0], seen))
+            for key, base in zip(ROWS, begins):
+                told = np.flatnonzero(mentions[key])
+                x = np.zeros((len(told), width), np.float32)
+                x[:, : p[key].shape[1]] = p[key][told]
+                yield from emitted(base + told, x, mentions[key][told])
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, times = np.zeros((begins[-1], width)), np.zeros(begins[-1], np.int64)
+        for b in batches:
+            k, back = np.unique(b.column(0).to_numpy(), return_inverse=True)
+            n = b.column(2).to_numpy()
+            x = b.column(1).flatten().to_numpy().reshape(-1, width)
+            sums[k] += scatter(back, x * n[:, None].astype(np.float64), len(k))
+            times[k] += np.bincount(back, n, len(k)).astype(np.int64)
+        told = np.flatnonzero(times)
+        yield from emitted(told, sums[told] / times[told, None], times[told])
+
+    schema = "k int, x array<float>, n long"
+    averaged = docs.select("held_out", "text").mapInArrow(run, schema).repartition("k").mapInArrow(mean, schema).toArrow()  # one row for each vector
     if averaged.num_rows:
-        flat = np.zeros(averaged.num_rows)
-        flat[averaged["k"].to_numpy()] = averaged["x"].to_numpy()
-        at = 0
-        for k in sorted(p):
-            p[k] = flat[at : at + p[k].size].reshape(p[k].shape).astype(np.float32)
-            at += p[k].size
+        k, x = averaged["k"].to_numpy(), averaged["x"].combine_chunks().flatten().to_numpy().reshape(-1, width)
+        flat = np.zeros((begins[0], width), np.float32)
+        flat[k[k < begins[0]]] = x[k < begins[0]]
+        flat, at = flat.ravel(), 0
+        for key in DENSE:
+            p[key] = flat[at : at + p[key].size].reshape(p[key].shape)
+            at += p[key].size
+        for key, base in zip(ROWS, begins):
+            mine = (k >= base) & (k < base + len(p[key]))
+            p[key][k[mine] - base] = x[mine, : p[key].shape[1]]
     return p
 
 
 def log_probabilities(p: dict, t: Tokens, batch: int = 2048) -> np.ndarray:
-    """The natural log-probability of every token's output, normalised over all outputs."""
+    """The natural log-probability of every token's output and leaf, normalised over all outputs and their leaves."""
     out = np.zeros(len(t.outputs))
     room = np.empty((batch, OUTPUTS), p["t"].dtype)  # one matrix for all batches
     for low in range(0, len(out), batch):
         high = min(low + batch, len(out))
-        z = np.matmul(Context(p, t, low, high).h, p["t"].T, out=room[: high - low])
+        h = Context(p, t, low, high).h
+        z = np.matmul(h, p["t"].T, out=room[: high - low])
         z += p["b"]
         own = z[np.arange(high - low), t.outputs[low:high]]
         top = z.max()
@@ -308,6 +472,8 @@ def log_probabilities(p: dict, t: Tokens, batch: int = 2048) -> np.ndarray:
             top = 0.0
         z -= top
         out[low:high] = own - top - np.log(np.exp(z, out=z).sum(1))
+        way = paths(p, t, low, h)
+        out[low:high] -= np.bincount(way.rows, np.logaddexp(0, np.where(way.left, -way.z, way.z)), high - low)
     return out
 
 
@@ -329,17 +495,16 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, p = shared.value
         log_all = np.log10(v.tokens + 0.1 * (v.distinct + 1))
-        log_class = np.log10(v.output_counts[END + 1 :] + 0.1 * (v.class_distinct + 1))
         ends = v.output_counts[END]
         for part in slices(batches, text=2, limit=SLICE):
             w = Words(part.column(2))
             t = tokens(w, v)
             n = np.diff(t.bounds)
-            common, at = find(v.common, w.hashes)
+            common, at = t.common, t.at
             logs = np.zeros(len(w.hashes))
             logs[common] = np.log10(v.common_counts[at[common]] + 0.1)
-            classed = t.classes >= 0
-            by_word = logs - np.where(classed, log_class[t.classes], logs)  # a frequent word has its output to itself
+            shares = (t.classes >= 0) & ~common
+            by_word = np.where(shares, -v.tree.log_rest[t.classes], 0)  # of a class's rest; any other word has its output or leaf to itself
             add = lambda x: np.diff(np.concatenate([[0.0], np.cumsum(x)])[w.at])
             base = add(logs) + np.log10(ends + 0.1) - n * log_all
             model = np.diff(np.concatenate([[0.0], np.cumsum(log_probabilities(p, t))])[t.bounds]) / np.log(10) + add(by_word)

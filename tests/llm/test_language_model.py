@@ -81,3 +81,41 @@ def test_gradients():
 
 def test_empty(spark):
     assert lm.score_documents(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_contexts_of_words_outside_the_outputs(spark):
+    """Words of one class and like counts: only vectors of their own tell the pairs that go together from others."""
+    rng = random.Random(4)
+    name = lambda side, i: f"{side}{i}xx"
+    text = lambda pairs: " ".join(f"{name('a', i)} {name('b', j)}" for i, j in pairs)
+    frequent, others = range(100), range(100, 160)
+    rows = [(k, text([(i, i) for i in rng.choices([*frequent] * 3 + [*others], k=60)])) for k in range(1500)]
+    ids = [i for i in range(10_000, 20_000) if zlib.crc32(str(i).encode()) % 10 == 0][:60]
+    right = [(i, text([(x, x) for x in rng.sample(others, 30)])) for i in ids]
+    away = [i for i in range(20_000, 40_000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    wrong = [(i, " ".join(w[0] + str((int(w[1:-2]) - 100 + 7 * (w[0] == "b")) % 60 + 100) + "xx" for w in t.split())) for i, (_, t) in zip(away, right)]
+    got = {r.doc_id: r for r in lm.score_documents(spark.createDataFrame([(*r, "x") for r in rows + right + wrong], SCHEMA).coalesce(1)).collect()}
+    mean = lambda some: np.mean([got[i].score - got[i].base_score for i, _ in some]) / 60
+    assert all(got[i].held_out for i, _ in right + wrong) and mean(right) > mean(wrong) + 0.1
+
+
+def test_leaves_of_a_class_add_up_to_one():
+    rng = np.random.default_rng(1)
+    classes, counts = rng.integers(0, 5, 400), rng.integers(1, 1000, 400)
+    rest = np.full(lm.CLASSES, 0.1)
+    tree = lm.tree(np.arange(lm.CLASSES, lm.CLASSES + 400), classes, counts, rest)
+    v = lm.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0), 10, 5, rng.integers(1, 50, lm.OUTPUTS), np.zeros(lm.CLASSES, np.int64), tree)
+    p = lm.fresh(v)
+    at_start = lm.paths(p, leaves_as_tokens(tree), 0, np.zeros((tree.n, lm.DIM)))
+    share = np.exp(-np.bincount(at_start.rows, np.logaddexp(0, np.where(at_start.left, -at_start.z, at_start.z)), tree.n))
+    weight, leaf_class = np.concatenate([rest, counts + 0.1]), np.concatenate([np.arange(lm.CLASSES), classes])
+    assert share == pytest.approx(weight / np.bincount(leaf_class, weight)[leaf_class], rel=1e-4)  # the counts' shares
+    p["u"] += rng.normal(size=p["u"].shape)
+    way = lm.paths(p, leaves_as_tokens(tree), 0, np.tile(rng.normal(size=lm.DIM), (tree.n, 1)))
+    share = np.exp(-np.bincount(way.rows, np.logaddexp(0, np.where(way.left, -way.z, way.z)), tree.n))
+    assert np.bincount(leaf_class, share) == pytest.approx(1)
+
+
+def leaves_as_tokens(tree):
+    none = np.zeros(0, np.int64)
+    return lm.Tokens(none, none, none, none, none, np.arange(tree.n), none, none, tree)
