@@ -1,0 +1,103 @@
+"""Names anywhere in texts: both meet on hashes of the names' first bytes, and are then confirmed."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: A name's key is the hash of its longest beginning of so many bytes.
+WIDTHS = (1, 2, 4, 8, 16, 32)
+#: Bytes of text that are hashed at once; a single longer text is taken as a whole.
+SLICE_BYTES = 2 << 20
+_byte = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def windows(data: np.ndarray) -> Iterator[np.ndarray]:
+    """For each of WIDTHS, the hashes of all windows of so many bytes, as far as data has any."""
+    h = _byte[data]
+    for w in WIDTHS:
+        yield h
+        if len(h) <= w:
+            return
+        h = h[:-w] * _MULTIPLIER + h[w:]
+        h ^= h >> np.uint64(32)
+
+
+def _keyed(names: DataFrame) -> DataFrame:
+    """(item_id, name, width, k): null names and empty ones go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            width, keys = [], []
+            for name in b.column(1).to_pylist():
+                data = np.frombuffer(name.encode()[: WIDTHS[-1]], np.uint8)
+                at = max(i for i, w in enumerate(WIDTHS) if w <= len(data))
+                width.append(at)
+                keys.append(int(next(h[0] for i, h in enumerate(windows(data)) if i == at).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(width, pa.int32()), pa.array(keys, pa.int64())], ["item_id", "name", "width", "k"])
+
+    kind = dict(names.dtypes)["item_id"]
+    return names.select("item_id", "name").where("name <> ''").mapInArrow(run, f"item_id {kind}, name string, width int, k long")
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    ends, at = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def contained(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """(doc_id, item_id, p) for each row (item_id, name) whose name is in the text of a row (doc_id, text): p is its first place, from 1."""
+    keyed = _keyed(names)
+    keys = keyed.select("width", "k").distinct().toArrow()  # twelve bytes for each name
+    wanted = {i: np.sort(keys["k"].to_numpy().view(np.uint64)[keys["width"].to_numpy() == i]) for i in range(len(WIDTHS))}
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    shift = np.uint64(64 - 22)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = {i: k for i, k in shared.value.items() if len(k)}
+        marks = {}
+        for i, k in wanted.items():
+            marks[i] = np.zeros(1 << 22, bool)
+            marks[i][k >> shift] = True
+        for batch in batches:
+            for part in _slices(batch) if wanted else ():
+                text = part.column(1).cast(pa.large_string())
+                offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+                data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+                ends = offsets[1:] - offsets[0]
+                docs_of, keys_of = [], []
+                for i, h in enumerate(windows(data)):
+                    if i not in wanted:
+                        continue
+                    at = np.flatnonzero(marks[i][h >> shift])
+                    place = np.minimum(np.searchsorted(wanted[i], h[at]), len(wanted[i]) - 1)
+                    at = at[wanted[i][place] == h[at]]
+                    doc = np.searchsorted(ends, at, "right")
+                    whole = at + WIDTHS[i] <= ends[doc]
+                    docs_of.append(doc[whole])
+                    keys_of.append(h[at[whole]])
+                if docs_of and sum(map(len, docs_of)):
+                    doc, k = np.concatenate(docs_of), np.concatenate(keys_of)
+                    order = np.lexsort((k, doc))
+                    doc, k = doc[order], k[order]
+                    new = np.ones(len(doc), bool)
+                    new[1:] = (doc[1:] != doc[:-1]) | (k[1:] != k[:-1])
+                    doc, k = doc[new], k[new]
+                    told, begins = np.unique(doc, return_index=True)
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(doc)).astype(np.int32)), pa.array(k.view(np.int64)))
+                    rows = part.take(pa.array(told))
+                    yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), lists], ["doc_id", "text", "keys"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    found = docs.select("doc_id", "text").where("text <> ''").mapInArrow(run, f"doc_id {kind}, text string, keys array<long>")
+    pairs = found.select("doc_id", "text", F.explode("keys").alias("k")).join(keyed, "k")
+    return pairs.select("doc_id", "item_id", F.expr("instr(text, name)").alias("p")).where("p > 0")

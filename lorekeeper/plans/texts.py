@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorekeeper.functions import text as t
+from lorekeeper.operators.contained import contained
 from lorekeeper.operators.ranking import first_by
 from lorekeeper.registry import query
 from lorekeeper.sources.archive import Archive
@@ -205,14 +206,8 @@ def confidence(alias: str, kind: str) -> str:
 
 @query("SELECT doc_id, item_id, CAST(p AS INTEGER) AS p FROM (SELECT doc_id, item_id, instr(d.text, b.text) AS p FROM documents d JOIN benchmark b ON contains(d.text, b.text)) WHERE p > 0")
 def gazetteer_match(a: Archive) -> DataFrame:
-    """Places named in texts: names and texts meet on runs of three words, and are then confirmed, instead of comparing all with all."""
-    words = lambda c: F.split(c, "[ \\n]")
-    three = lambda w, i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-    names = a.table("benchmark").select("item_id", F.col("text").alias("name"), three(words("text"), F.lit(0)).alias("k"))
-    docs = a.table("documents").select("doc_id", "text").withColumn("w", words("text"))
-    runs = docs.select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - 3, F.lit(0))), lambda i: three(F.col("w"), i)))).alias("k"))
-    pairs = runs.join(names, "k").select("doc_id", "item_id", "name").distinct()
-    return pairs.join(docs, "doc_id").select("doc_id", "item_id", F.expr("instr(text, name)").alias("p")).where("p > 0")
+    """Places named in texts, anywhere and of any length: names and texts meet on hashed beginnings, and are then confirmed, instead of comparing all with all."""
+    return contained(a.table("documents"), a.table("benchmark").select("item_id", F.col("text").alias("name")))
 
 
 @query(None)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lorekeeper.functions import text as t
 from lorekeeper.functions.html import text_of
 from lorekeeper.operators import periods
+from lorekeeper.operators.contained import contained
 from lorekeeper.operators.sequential import nearest_pair
 from lorekeeper.operators.similar import near_titles
 
@@ -73,3 +74,12 @@ def test_near_titles(spark):
 def test_token_overlap(spark, other, low, high):
     df = spark.createDataFrame([("The Yowie in Queensland", other)], "a string, b string")
     assert low <= df.select(t.jaccard(t.title_tokens(F.col("a")), t.title_tokens(F.col("b")))).first()[0] <= high
+
+
+def test_contained(spark):
+    """Names of one and two words, beside punctuation and tabs, inside words, and in rows that repeat or have no id."""
+    names = [(1, "Bega"), (2, "Wagga Wagga"), (3, "Foo bar baz"), (4, "é"), (5, "x" * 40), (6, None), (7, "Bega\tValley"), (8, "Bega"), (9, "B"), (10, "Foo bar baz, a long way from the town")]
+    texts = [(1, 'At "Foo bar baz", near Bega.'), (2, "Begans of Wagga Wagga"), (2, "Begans of Wagga Wagga"), (3, "caf\u00e9 Foo bar baz."), (None, "\tBega\tValley" + "x" * 41), (4, None), (5, ""), (6, "Beg"), (7, "a Wagga Wagg"), (8, "Foo bar baz, a long way from the town")]
+    got = contained(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), spark.createDataFrame(names, "item_id long, name string")).collect()
+    want = [(d, i, x.index(n) + 1) for d, x in texts for i, n in names if x and n and n in x]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
