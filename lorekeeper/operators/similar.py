@@ -2,55 +2,84 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from lorekeeper.functions.text import jaccard, title_tokens
+from lorekeeper.functions.text import title_tokens
 
+#: Titles of a year that are compared with each other, or with as many others, at once.
+TILE = 1024
 
-def matching_ratio(threshold: float):
-    """The share of matching blocks (Ratcliff and Obershelp), which no built-in gives; 0 where its bounds are under the threshold."""
 
-    @F.pandas_udf(DoubleType())
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        m = SequenceMatcher(None)
+def _counts(bags: list) -> np.ndarray:
+    """How often each row has each value."""
+    place: dict = {}
+    cells = [(k, place.setdefault(x, len(place)), n) for k, bag in enumerate(bags) for x, n in Counter(bag).items()]
+    out = np.zeros((len(bags), len(place)), np.int32)
+    for k, x, n in cells:
+        out[k, x] = n
+    return out
+
 
-        def one(x: str, y: str) -> float:
-            m.set_seqs(x, y)
-            return m.ratio() if m.real_quick_ratio() >= threshold and m.quick_ratio() >= threshold else 0.0
+def like_pairs(threshold: float):
+    """Of a tile (id, title, tokens, own, i, j): (left, right, score), left having the smaller id.
 
-        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=float)
+    The score is the greater of the tokens' Jaccard likeness and the share of matching blocks (Ratcliff
+    and Obershelp), which is computed where the letters that two titles have in common allow the threshold.
+    """
+
+    def pairs(tile: pd.DataFrame) -> pd.DataFrame:
+        tile = tile.sort_values("id", ignore_index=True)
+        ids, titles, own = tile["id"], tile["title"].tolist(), tile["own"].to_numpy()
+        letters, words = _counts(titles), _counts([list(x) for x in tile["tokens"]]).astype(np.float32)
+        lengths, sizes = letters.sum(1), words.sum(1).astype(np.int64)
+        across = tile["i"].iat[0] != tile["j"].iat[0]  # two blocks of a year: each is compared in itself elsewhere
+        left, right, score = [], [], []
+        m = SequenceMatcher(None)
+        for low in range(0, len(tile), 256):
+            rows = slice(low, low + 256)
+            shared = np.zeros((len(letters[rows]), len(tile)), np.int32)
+            for c in range(letters.shape[1]):
+                shared += np.minimum(letters[rows, c][:, None], letters[:, c])
+            possible = 2 * shared >= threshold * (lengths[rows][:, None] + lengths) - 1e-9
+            both = (words[rows] @ words.T).round().astype(np.int64)
+            alike = both / np.maximum(sizes[rows][:, None] + sizes - both, 1)
+            wanted = np.triu(possible | (alike >= threshold), low + 1)
+            if across:
+                wanted &= own[rows][:, None] != own
+            for j, i in zip(*np.nonzero(wanted.T)):
+                if ids[low + i] == ids[j]:
+                    continue
+                best = alike[i, j]
+                if possible[i, j]:
+                    m.set_seqs(titles[low + i], titles[j])
+                    best = max(best, m.ratio())
+                if best >= threshold:
+                    left.append(ids[low + i])
+                    right.append(ids[j])
+                    score.append(float(best))
+        return pd.DataFrame({"left": pd.Series(left, dtype=ids.dtype), "right": pd.Series(right, dtype=ids.dtype), "score": pd.Series(score, dtype=float)})
 
-    return ratio
+    return pairs
 
 
 def near_titles(titles: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(left, right, score) for pairs of (id, title, year) of one year, null years equal, whose words or letters are alike.
 
-    Blocks: two titles that reach the threshold share a word among the rarest tenth of the shorter one's
-    words plus one, or are letter for letter of nearly one length and first three letters. Exact copies
-    meet once, through their smallest id. Only what shares a block is compared.
+    All different titles of a year are compared, tile by tile: exact and bounded in memory, but quadratic
+    in the titles of a year. Exact copies meet once, through their smallest id.
     """
     norm = F.lower(F.trim(F.regexp_replace("title", r"\s+", " ")))
-    t = titles.select("id", norm.alias("title"), "year").where("title <> ''")
+    t = titles.select("id", norm.alias("title"), "year").where("title <> '' and id is not null")
     distinct = t.groupBy("title", "year").agg(F.min("id").alias("first"))
     copies = t.join(distinct, (t["title"] == distinct["title"]) & t["year"].eqNullSafe(distinct["year"])).where("id <> first").select(F.col("first").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("score"))
-    d = distinct.select(F.col("first").alias("id"), "title", "year", title_tokens(F.col("title")).alias("tokens"))
-    words = d.select("id", "year", F.explode("tokens").alias("w"))
-    rarity = words.groupBy("w").agg(F.count("*").alias("df"))
-    ranked = words.join(rarity, "w").groupBy("id", "year").agg(F.sort_array(F.collect_list(F.struct("df", "w"))).alias("r"))
-    keys = ranked.select("id", "year", F.explode(F.slice("r", F.lit(1), F.greatest(F.lit(1), F.floor(F.size("r") * (1 - threshold)) + 1).cast("int"))).alias("x")).select("id", "year", F.col("x.w").alias("k"))
-    keys = keys.unionAll(d.select("id", "year", F.concat(F.lit("^"), F.substring("title", 1, 3), F.lit("/"), (F.char_length("title") / 8).cast("int").cast("string"))))
-    l, r = keys.alias("l"), keys.alias("r")
-    pairs = l.join(r, (F.col("l.k") == F.col("r.k")) & F.col("l.year").eqNullSafe(F.col("r.year")) & (F.col("l.id") < F.col("r.id"))).select(F.col("l.id").alias("left"), F.col("r.id").alias("right")).distinct()
-    x = d.select(F.col("id").alias("left"), F.col("title").alias("a"), F.col("tokens").alias("ta"))
-    y = d.select(F.col("id").alias("right"), F.col("title").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(x, "left").join(y, "right")
-    words_alike = jaccard(F.col("ta"), F.col("tb"))
-    possible = (words_alike >= threshold) | (2 * F.least(F.char_length("a"), F.char_length("b")) >= threshold * (F.char_length("a") + F.char_length("b")))
-    scored = both.where(possible).select("left", "right", F.greatest(words_alike, matching_ratio(threshold)("a", "b")).alias("score")).where(F.col("score") >= threshold)
-    return scored.unionByName(copies)
+    held = distinct.groupBy(F.col("year").alias("of")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    cut = distinct.join(held, F.col("year").eqNullSafe(F.col("of"))).withColumn("own", F.expr("cast(pmod(xxhash64(title), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    tiles = cut.select(F.col("first").alias("id"), "title", "year", title_tokens(F.col("title")).alias("tokens"), "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    kind = dict(titles.dtypes)["id"]
+    return tiles.groupBy("year", "i", "j").applyInPandas(like_pairs(threshold), f"left {kind}, right {kind}, score double").unionByName(copies)
