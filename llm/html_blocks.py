@@ -21,6 +21,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr input".split())
 #: Elements that an opening tag of the same group closes, up to the nearest scope.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+#: What may stand in a head; any other element ends one whose end tag is left out, as text does.
+_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
+#: Silent elements that hold none of their own name: the next tag of that name must be the end tag.
+_FLAT = frozenset("noscript iframe canvas select button textarea title audio video".split())
 _SCOPE = frozenset("ul ol dl table body html div article section main".split())
 
 
@@ -48,6 +52,8 @@ def leaves(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = silent = links = 0
+    unclosed = foreign = 0  # open silent elements without an end tag, and open svg and math
+    last_end: dict[str, int] = {}
 
     def close_block():
         nonlocal linked
@@ -59,11 +65,28 @@ def leaves(page: str) -> list[Block]:
             linked = 0
 
     def pop():
-        nonlocal silent, links
+        nonlocal silent, links, unclosed, foreign
         name, _ = stack.pop()
+        if name.startswith("?"):
+            unclosed -= 1
+            name = name[1:]
         silent -= name in SILENT
+        foreign -= name in ("svg", "math")
         links -= name == "a"
 
+    def pop_to(k: int):
+        while len(stack) > k:
+            pop()
+
+    def has_end(name: str, at: int) -> bool:
+        """Whether the page closes an element that opens before at."""
+        if name not in last_end:
+            found = [m.start() for m in re.finditer(f"</{name}(?=[\\s/>])", page, re.I)]
+            last_end[name] = found[-1] if found else -1
+        if last_end[name] < at:
+            return False
+        return name not in _FLAT or name in RAW or re.compile(f"<(/?){name}(?=[\\s/>])", re.I).search(page, at)[1] == "/"
+
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.match(page, at)
@@ -71,6 +94,8 @@ def leaves(page: str) -> list[Block]:
             break
         at = m.end()
         if (text := m["text"]) is not None:
+            if stack and stack[-1][0] == "head" and not text.isspace():
+                pop()
             if not silent:
                 parts.append(text)
                 linked += len(text) * (links > 0)
@@ -82,14 +107,26 @@ def leaves(page: str) -> list[Block]:
             parts.append(" ")
         if name not in INLINE and name != "br":
             close_block()
+        if unclosed and name not in INLINE and name != "br" and name not in SILENT:
+            # A silent element without an end tag lasts to the next block at most.
+            pop_to(next(k for k, (x, _) in enumerate(stack) if x.startswith("?")))
         if m["end"]:
-            if any(x == name for x, _ in stack):
-                while stack[-1][0] != name:
-                    pop()
-                pop()
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0].lstrip("?") == name), None)
+            if k is not None:
+                pop_to(k)
             continue
+        if name == "body" and any(x == "head" for x, _ in stack):
+            pop_to(next(k for k, (x, _) in enumerate(stack) if x == "head"))
+        elif stack and stack[-1][0] == "head" and name not in _HEAD:
+            pop()
         if name in VOID:
             continue
+        closed = m["attrs"].endswith("/") and not re.search(r"=[^\s\"'=]*/\Z", m["attrs"])
+        if closed and (foreign or name in ("svg", "math")):
+            continue
+        open_ended = name in SILENT and name not in ("script", "style", "head", "option") and not has_end(name, at) or name == "option" and not any(x == "select" for x, _ in stack)
+        if open_ended and closed:  # written as an empty element
+            continue
         if name not in INLINE and stack:
             # A block tag ends an open paragraph, and with it the inline elements left open there.
             for k in range(len(stack) - 1, -1, -1):
@@ -107,10 +144,12 @@ def leaves(page: str) -> list[Block]:
                     break
                 if stack[k][0] in _SCOPE:
                     break
-        stack.append((name, _steps(name, m["attrs"])))
+        stack.append(("?" * open_ended + name, _steps(name, m["attrs"])))
+        unclosed += open_ended
         silent += name in SILENT
+        foreign += name in ("svg", "math")
         links += name == "a"
-        if name in RAW:
+        if name in RAW and not open_ended:
             end = re.compile(f"</{name}", re.I).search(page, at)
             at = end.start() if end else n
     close_block()

@@ -69,3 +69,24 @@ def test_gradients():
                 value.append(loss())
                 m.p[key][k] -= e
             assert g[key][k] == pytest.approx((value[0] - value[1]) / 2e-3, rel=0.05, abs=2e-5), key
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<html><head><title>T</title><body><article><p>Text</p></article></body></html>", ["Text"]),
+        ("<head><meta charset=x><title>T</title><p>Text<p>More", ["Text", "More"]),
+        ("<head><noscript><link><body><p>Text", ["Text"]),
+        ("<head><title>T</title> Text", ["Text"]),
+        ('<article><svg class="x" /><p>Text</p><svg><path/><title/>no</svg><p>More</p></article>', ["Text", "More"]),
+        ("<article><iframe/>Text<p>More</p></article>", ["Text", "More"]),
+        ("<article><iframe src=/a/><p>More</p></article>", ["More"]),
+        ("<article><button>Share<p>Text</p><button>no</button><p>More</p></article>", ["Text", "More"]),
+        ("<article><video src=x>no<p>Text</p></article>", ["Text"]),
+        ("<article><select><option>no<option>no</select><p>Text</p><datalist><option>no<option>no</datalist><p>More", ["Text", "More"]),
+        ("<title>no<p>Text", ["Text"]),
+        ("<article><button><p>no</p></button><object><object>no</object>no</object><p>Text", ["Text"]),
+    ],
+)
+def test_silent_elements_without_end_tags(page, texts):
+    assert [b.text for b in leaves(page)] == texts
