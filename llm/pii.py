@@ -95,11 +95,14 @@ def _iban_check(country: str, rest: str) -> str:
 
 
 _EPOCH, _LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
+MONTHS = "January February March April May June July August September October November December".split()
+_MONTH = "(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS).replace("Sep(?:tember)?", "Sep(?:t(?:ember)?)?") + r")\.?"
+_NAMED = rf"(?<![A-Za-z0-9])(?:[0-9]{{1,2}}(?i:st|nd|rd|th)?(?: of)?[ -]{_MONTH},?[ -]|{_MONTH} [0-9]{{1,2}}(?i:st|nd|rd|th)?,? )[0-9]{{4}}(?![A-Za-z0-9])"
 #: One alternative per kind; the first that matches at a place and validates wins.
 PATTERN = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<date>(?<![0-9.])(?:[0-9]{4}(?P<sep>[-/])[0-9]{2}(?P=sep)[0-9]{2}|[0-9]{2}(?P<sep2>[./-])[0-9]{2}(?P=sep2)[0-9]{4})(?!\.?[0-9]))"
+    r"|(?P<date>(?<![0-9.])(?:[0-9]{4}(?P<sep>[./-])[0-9]{1,2}(?P=sep)[0-9]{1,2}|[0-9]{1,2}(?P<sep2>[./-])[0-9]{1,2}(?P=sep2)[0-9]{4})(?!\.?[0-9])|" + _NAMED + ")"
     r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9]))"
     r"|(?P<phone>(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])|\+[0-9]{8,15}(?![0-9]))"
@@ -179,6 +182,8 @@ class Pseudonymiser:
             plan = lambda x: x[0] in "23456789" and x[3] in "23456789"  # noqa: E731  of North America
             valid = plan if len(own) == 10 and keep in ("", "1") and plan(own) else lambda x: (x[0] == "0") == (own[0] == "0")
             return _laid_out(keep + self.number("phone" + keep + "p" * (valid is plan), own, valid), s)
+        if named := re.search("[A-Za-z]{3,}", s):
+            return self._named_date(s, named[0])
         parts = re.split("[-/.]", s)
         year_first = len(parts[0]) == 4
         y, m, d = (int(x) for x in (parts if year_first else reversed(parts)))
@@ -192,25 +197,58 @@ class Pseudonymiser:
         # A month-first date that could be read day-first is taken as such; those that can't keep a day over 12.
         valid = (lambda x: date.fromordinal(x + _EPOCH).day > 12) if swapped else lambda x: True
         new = date.fromordinal(_EPOCH + self.feistel("date" + "s" * swapped, _LAST - _EPOCH + 1)(day - _EPOCH, valid))
-        sep = next(c for c in s if not c.isdigit())
-        return sep.join([f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"] if year_first else [f"{new.month:02d}", f"{new.day:02d}", f"{new.year:04d}"] if swapped else [f"{new.day:02d}", f"{new.month:02d}", f"{new.year:04d}"])
+        sep, width = next(c for c in s if not c.isdigit()), min(map(len, parts))
+        y, m, d = f"{new.year:04d}", f"{new.month:0{width}d}", f"{new.day:0{width}d}"
+        return sep.join([y, m, d] if year_first else [m, d, y] if swapped else [d, m, y])
+
+    def _named_date(self, s: str, month: str) -> str | None:
+        """A date with the month's name, full or short and in its case; the day's ordinal ending follows the new day."""
+        k = next(k for k, m in enumerate(MONTHS) if m[:3] == month[:3].title())
+        day, ending = re.search("(?<![0-9])([0-9]{1,2})((?i:st|nd|rd|th)?)(?![0-9])", s).groups()
+        try:
+            x = date(int(s[-4:]), k + 1, int(day)).toordinal()
+        except ValueError:
+            return None
+        if not _EPOCH <= x <= _LAST:
+            return None
+        new = date.fromordinal(_EPOCH + self.feistel("date", _LAST - _EPOCH + 1)(x - _EPOCH))
+        name = MONTHS[new.month - 1]
+        name = name if month.title() == MONTHS[k] else name[:3]
+        name = name.upper() if month.isupper() else name.lower() if month.islower() else name
+        told = f"{new.day:0{len(day) if day[0] == '0' else 1}d}"
+        if ending:
+            other = "th" if 10 < new.day < 14 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+            told += other.upper() if ending.isupper() else other
+        at, to = s.index(month), s.index(day)
+        parts = sorted([(at, at + len(month), name), (to, to + len(day + ending), told), (len(s) - 4, len(s), f"{new.year:04d}")])
+        out, done = "", 0
+        for a, b, x in parts:
+            out, done = out + s[done:a] + x, b
+        return out
 
     def replace(self, text: str) -> tuple[str, list[int]]:
         """The text with pseudonyms, and how many values of each kind it had."""
         counts, out, done = [0] * len(KINDS), [], 0
         for begin, end in _windows(text):
-            at = max(begin, done)
+            at, failed = max(begin, done), 0
             while (m := PATTERN.search(text, at, end)) is not None:
                 kind = m.lastgroup if m.lastgroup in KINDS else "date"
-                new = self.value(kind, m[0])
+                stop, new = m.end(), self.value(kind, m[0]) if kind != "phone" or m.end() > failed else None
+                for cut in [k for k, c in enumerate(m[0]) if c == " "][::-1] if kind == "iban" and new is None else ():
+                    # What follows the number may look like a part of it.
+                    if (new := self.value(kind, m[0][:cut])) is not None:
+                        stop = m.start() + cut
+                        break
                 if new is None and kind != "card" and (m2 := _CARD.match(text, m.start(), end)) is not None:
-                    kind, m = "card", m2
-                    new = self.value(kind, m[0])
+                    stop, new = m2.end(), self.value("card", m2[0])
+                    kind = kind if new is None else "card"
                 if new is None:
-                    at = m.end() if kind == "iban" else m.start() + 1  # a failed IBAN's digits are no phone
+                    if kind == "iban":
+                        failed = max(failed, m.end())  # its digits are no phone, but may be any other value
+                    at = m.start() + 1
                     continue
                 out += [text[done : m.start()], new]
-                done = at = m.end()
+                done = at = stop
                 counts[KINDS.index(kind)] += 1
         return "".join([*out, text[done:]]) if out else text, counts
 
@@ -218,12 +256,15 @@ class Pseudonymiser:
 _CARD = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])", re.ASCII)
 _anchor = re.compile("[0-9@]")
 _white = re.compile(r"\s")
+#: A month's name, a full stop and a space.
+MONTH = 11
 
 
 def _windows(text: str) -> Iterator[tuple[int, int]]:
     """Disjoint parts of the text that hold every value: digits and @ signs less than 64 characters apart, out to white space.
 
-    No value has a longer stretch without digits, and only IBANs and phones hold white space.
+    No value has a longer stretch without digits, and only IBANs, phones and dates with a month's name hold
+    white space; of these only the last have a word before the one with the first digit, in MONTH characters.
     """
     begin = last = None
     floor = 0
@@ -234,7 +275,7 @@ def _windows(text: str) -> Iterator[tuple[int, int]]:
             yield begin, floor
             begin = None
         if begin is None:
-            begin = at
+            begin = max(at - MONTH, floor)
             while begin > floor and not text[begin - 1].isspace():
                 begin -= 1
         last = at

@@ -64,3 +64,28 @@ def test_rows(spark):
     kept = with_pseudonyms(df, b"key")
     assert kept.columns == df.columns and {r.text for r in kept.where("doc_id = 1").collect()} == {got[1].text}
     assert pseudonymise(spark.createDataFrame([], "doc_id long, text string"), b"key").collect() == []
+
+
+def test_values_inside_failed_ibans():
+    p = Pseudonymiser(b"key")
+    for iban, rest in [("ES91 2100 0418 4502 0005 1332", " EUR"), ("AT61 1904 3002 3457 3201", " 2024"), ("ES9121000418450200051332", " EUR 500"), ("DE89 3704 0044 0532 0130 00", " EUR")]:
+        new, counts = p.replace(f"pay {iban}{rest} now")
+        assert new == f"pay {p.replace(iban)[0]}{rest} now" and iban not in new and counts[1] == 1
+    for before, value, after, kind in [("NR12 ", "4111 1111 1111 1111", "", 6), ("NR12 REFX ", "DE89 3704 0044 0532 0130 00", "", 1), ("NR12 ABCD ", "1984-02-29", "", 2), ("NR12 ABCD EFGH ", "192.168.1.1", "", 3), ("NR12 ABCD ", "EFGH@mail.example.com", "", 0)]:
+        new, counts = p.replace(f"{before}{value}{after}.")
+        assert new == f"{before}{p.replace(value)[0]}{after}." and value not in new and counts[kind] == sum(counts) == 1, value
+
+
+def test_date_layouts():
+    p = Pseudonymiser(b"key")
+    layouts = ["5/7/1984", "1.2.2020", "2020.02.01", "1984-7-5", "12/31/1999", "5 July 1984", "July 5, 1984", "JUL 5 1984", "5th of July 1984", "Sept. 21st, 1984", "05-Jul-1984", "1 may 2020"]
+    for x in layouts:
+        new, counts = p.replace(f"{'word ' * 30}born {x}, here")
+        new = new[155:-6]
+        assert new != x and counts[2] == sum(counts) == 1, x
+        assert p.replace(new)[1][2] == 1, new  # valid again
+        assert re.sub("[A-Za-z]+", "a", re.sub("[0-9]+", "0", new)) == re.sub("[A-Za-z]+", "a", re.sub("[0-9]+", "0", x)), x
+    same = {p.replace(x)[0] for x in ("5/7/1984", "05/07/1984")}
+    assert len({tuple(map(int, x.split("/"))) for x in same}) == 1
+    for x in ("31 June 1984", "0/7/1984", "1.2.3.2020", "May 1984", "5 Julys 1984"):
+        assert p.replace(x) == (x, [0] * 7), x
