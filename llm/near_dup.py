@@ -282,17 +282,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that near_duplicates keeps, with all their columns; of rows with one id, the first in the order of text and columns.
+    """One row of docs, with all its columns, for each component of near_duplicates over rows of their own.
 
-    The ids to drop, and not the texts, are what is gathered; rows are moved only if those ids are too
-    many to broadcast.
+    A row's key is its id and its text's digest, so that rows that share an id, or have none, but not a
+    text are documents of their own. Of a component the least key stays, a null id being the last; of
+    rows with one id and text, the first in the order of the columns. The keys to drop, and not the
+    texts, are what is gathered; rows are moved only if those keys are too many to broadcast.
     """
-    found = stored(near_duplicates(docs, size, percent, id_col, text_col).groupBy(id_col).agg(F.count("*").alias("rows"), F.max("kept").alias("kept")), "kept")
-    lost = broadcast_if_few(found.where("not kept or rows > 1").select(F.col(id_col).alias("_lost")))
-    once = docs.join(lost, docs[id_col].eqNullSafe(lost["_lost"]), "left_anti")
-    repeated = found.where("kept and rows > 1").select(F.col(id_col).alias("_lost"))
+    text = docs[text_col]
+    key = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+    found = near_duplicates(docs.select(key.alias("_key"), text.alias("text")), size, percent, "_key", "text")
+    found = stored(found.groupBy("_key").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")), "kept")
+    keyed = docs.withColumn("_key", key)
+    lost = broadcast_if_few(found.where("not kept or rows > 1").select(F.col("_key").alias("_lost")))
+    once = keyed.join(lost, F.col("_key") == F.col("_lost"), "left_anti").select(docs.columns)
+    repeated = found.where("kept and rows > 1").select(F.col("_key").alias("_lost"))
     if repeated.isEmpty():
         return once
-    again = docs.join(repeated, docs[id_col].eqNullSafe(repeated["_lost"]), "left_semi")
-    least = again.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.struct(*[F.col(c) for c in [text_col, *[c for c in docs.columns if c != text_col]]])).alias("_row"))
+    again = keyed.join(repeated, F.col("_key") == F.col("_lost"), "left_semi")
+    least = again.groupBy("_key").agg(F.min(F.struct(*[F.col(c) for c in [text_col, *[c for c in docs.columns if c != text_col]]])).alias("_row"))
     return once.unionByName(least.select("_row.*").select(docs.columns))

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from llm import near_dup
-from llm.near_dup import near_duplicates
+from llm.near_dup import near_duplicates, one_of_each
 
 SCHEMA = "doc_id long, text string, cls string"
 
@@ -67,3 +67,11 @@ def test_against_brute_force(spark, monkeypatch, node, levels):
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_rows_that_share_an_id_but_no_text(spark):
+    text = lambda k, n=40: " ".join(f"{k}w{i}" for i in range(n))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, text("c") + " end"), (None, None), (None, ""), (2, text("c")), (3, text("d")), (7, text("d") + " more"), (7, text("zz")), (7, text("e")), (8, text("f")), (8, text("f")), (9, text("e") + " too"), (5, None), (5, None)]
+    got = one_of_each(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA))
+    want = [(None, text("a")), (None, text("b")), (None, None), (None, ""), (2, text("c")), (3, text("d")), (7, text("zz")), (7, text("e")), (8, text("f")), (5, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr) and got.columns == ["doc_id", "text", "cls"]
