@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.frames import slices
@@ -24,8 +24,8 @@ _PREFIXES = (4, 6)
 _terminator = np.zeros(256, bool)
 _terminator[list(b".!?\n")] = True
 
-#: Bounds of the training sample, in rows of each class and characters of a row; the rows come in the order of a hash.
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2500, 5000, 50_000
+#: Bounds of the training sample, in rows of each class and bytes of each class's whole texts; the rows come in the order of a hash.
+MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 2500, 5000, 24 << 20
 
 
 @dataclass
@@ -157,13 +157,19 @@ def held_out(id_col, folds: int = 5):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
-    """(toxic, text): at most MAX_TOXIC and MAX_CLEAN labelled rows outside the held-out fold, in the order of a hash."""
+    """(doc_id, toxic, text): at most MAX_TOXIC and MAX_CLEAN labelled rows outside the held-out fold, in the order of a hash, with their whole texts.
+
+    A class ends with the document that fills its MAX_BYTES.
+    """
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"), folds))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     pick = lambda t, n: known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = pick(1, MAX_TOXIC).unionAll(pick(0, MAX_CLEAN))  # bounded, so it may be broadcast
-    texts = docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, MAX_CHARS).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sizes = texts.select("doc_id", F.octet_length("text").alias("n")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.sum("n").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))  # over the rows chosen
+    fit_in = sizes.withColumn("before", so_far - F.col("n")).where(F.col("before") < MAX_BYTES).select("doc_id", "toxic")
+    return texts.join(F.broadcast(fit_in), "doc_id").select("doc_id", "toxic", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:

@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from llm.toxicity import bags, fit, noisy_or, score_documents, train, without_toxic
+from llm import toxicity
+from llm.toxicity import bags, fit, noisy_or, score_documents, train, training_sample, without_toxic
 
 
 def corpus(n, seed):
@@ -60,3 +61,18 @@ def test_without_labels(spark):
     model = fit(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
     assert score_documents(docs, model).first().score == pytest.approx(0, abs=1e-6)
     assert score_documents(docs.limit(0), model).collect() == []
+
+
+def test_whole_texts_are_trained_on(spark, monkeypatch):
+    """Long documents whose offending sentence comes last; and a class ends where its bytes are full."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    filler = "thing andly tion ering. " * 2200
+    rows = [(i, filler + ("vilething scumword here." if i % 2 else "thing here."), i % 2) for i in ids[:40]]
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    sample = {r.doc_id: r.text for r in training_sample(docs, labels).collect()}
+    assert sample == {i: t for i, t, _ in rows}
+    got = score_documents(docs, fit(docs, labels)).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 3 * len(filler))
+    few = training_sample(docs, labels).groupBy("toxic").count().collect()
+    assert {r.toxic: r["count"] for r in few} == {0: 3, 1: 3}
