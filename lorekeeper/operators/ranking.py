@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from lorekeeper.operators.storage import shared_folder
+
 
 def first_by(df: DataFrame, keys: list[str], order: list, k: int = 1) -> DataFrame:
     """The first k rows of each key in the given order. Spark keeps k rows a key before it shuffles (window group limit)."""
@@ -14,17 +16,19 @@ def first_by(df: DataFrame, keys: list[str], order: list, k: int = 1) -> DataFra
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Rows numbered from 0 in a total order, without gathering them in one task.
+    """Rows numbered from 0 in the order of columns that no two rows share, without gathering them in one task.
 
-    A range partitioning sorts; each partition counts its rows; the counts of the partitions before, a
-    table of one row a partition, shift the numbers within.
+    The rows are ranged and sorted once, and checkpointed with their partition and their place in it;
+    both the rows and the counts of the partitions before, a table of one row a partition, are read from
+    there. Bounds sampled twice, or partitions merged in two ways, would tear the numbers.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    w = W.partitionBy("_part").orderBy(*order)
-    local = ranged.withColumn("_at", F.row_number().over(w) - 1)
+    shared_folder(df.sparkSession)
+    place = F.monotonically_increasing_id()  # partition << 33 | place
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place).checkpoint()
+    ranged = ranged.withColumn("_part", F.shiftright("_place", 33)).withColumn("_at", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))).alias("_before"))
-    return local.join(F.broadcast(before), "_part").withColumn(name, (F.col("_at") + F.coalesce("_before", F.lit(0))).cast("long")).drop("_part", "_at", "_before")
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_at") + F.col("_before")).drop("_place", "_part", "_at", "_before")
 
 
 def even_positions(n: Column, count: int) -> Column:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorekeeper.operators.storage import shared_folder
+
 
 def term_windows(docs: DataFrame, terms: list[str], width: int = 360, apart: int = 120, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, term, start, end): windows around the terms of a text in order; one whose ends are both within ``apart`` of a kept one's is left out."""
@@ -49,11 +51,7 @@ def first_by_either(df: DataFrame, key_a: list[str], key_b: list[str], order: st
     share a key with a kept one go. Each round keeps the first row left, and most rounds keep a
     constant share of the rest, so a few rounds do; each is checkpointed.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sequential-"))
+    shared_folder(df.sparkSession)
     rows = df.withColumn("_a", F.sha2(F.to_json(F.struct(*key_a)), 256)).withColumn("_b", F.sha2(F.to_json(F.struct(*key_b)), 256))
     left = rows.select(order, "_a", "_b").checkpoint()
     kept = None
