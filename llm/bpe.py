@@ -154,7 +154,8 @@ def encoder_of(data, pattern: str) -> Encoder:
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """(id, ids array<int>, n_tokens, ids_sha256, decoded_sha256, exact) of every row of docs, whatever else docs holds.
 
-    A null text counts as empty; an empty text has no tokens and the digests of no bytes. Equal rows
+    Ids may be of any type and null. A null text counts as empty; an empty text has no tokens and the
+    digests of no bytes; a very long one is encoded whole, in n log n of its longest piece. Equal rows
     give equal rows. ``exact`` says that decoding gave the text's bytes back. ids is left out with
     keep_ids=False. The rank file (under 1 MB, fixed) is read by the driver and broadcast.
     """
@@ -162,7 +163,6 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     with open(ranks_path, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
     kind = dict(docs.dtypes)[id_col]
-    id_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     chosen = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +178,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 backs.append(sha(back))
                 exact.append(back == (text or "").encode())
             lengths = np.fromiter((len(p) // 4 for p in packed), np.int64, len(packed))
-            columns = [batch.column(0).cast(id_type)]
+            columns = [batch.column(0)]
             if keep_ids:
                 ids = pa.array(np.frombuffer(b"".join(packed), "<i4"))
                 columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), ids))

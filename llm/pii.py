@@ -15,12 +15,16 @@ from collections.abc import Iterator
 from datetime import date
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from llm.frames import slices
 
 ROUNDS = 10
+#: Letters and digits that are permuted as one number.
+LONG = 64
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 class Feistel:
@@ -30,7 +34,7 @@ class Feistel:
         self.n = n
         self.a = math.isqrt(max(n - 1, 0)) + 1
         self.b = -(-n // self.a)
-        self.key = hashlib.blake2b(label.encode() + b"\0" + str(n).encode(), key=key[:64], digest_size=32).digest()
+        self.key = hashlib.blake2b(label.encode() + b"\0" + n.to_bytes((n.bit_length() + 7) // 8, "little"), key=key[:64], digest_size=32).digest()
         self.size = (self.a.bit_length() + 7) // 8 + 8
 
     def _f(self, k: int, x: int) -> int:
@@ -118,31 +122,52 @@ class Pseudonymiser:
     def __init__(self, key: bytes):
         self.key = key
         self.feistel = lru_cache(4096)(lambda label, n: Feistel(key, label, n))
-        self.value = lru_cache(100_000)(self._value)
+        self.held = lru_cache(100_000)(self._value)
+
+    def value(self, kind: str, s: str) -> str | None:
+        """The pseudonym, or None if s is no valid value of its kind; those of short values are held."""
+        return self.held(kind, s) if len(s) <= LONG else self._value(kind, s)
 
     def number(self, label: str, digits: str, valid=lambda s: True) -> str:
         n, width = 10 ** len(digits), len(digits)
         return f"{self.feistel(f'{label}{width}', n)(int(digits), lambda y: valid(f'{y:0{width}d}')):0{width}d}" if width else digits
 
     def characters(self, label: str, s: str) -> str:
-        """Digits stay digits and letters stay letters of their case; other characters stay."""
-        sets = [("0123456789" if c.isdigit() else "abcdefghijklmnopqrstuvwxyz" if c.islower() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c.isalnum() else "" for c in s]
+        """Digits stay digits and letters stay letters of their case; other characters stay.
+
+        Up to LONG of them are one number of the format's domain. Longer ones are two halves, each of which
+        moves character by character by what the other half and the key give: a Feistel network as well,
+        and linear in the length.
+        """
+        sets = [(_DIGITS if c.isdigit() else _LOWER if c.islower() else _UPPER) if c.isalnum() else "" for c in s]
         shape = "".join("." if not a else a[0] for a in sets)
-        x, n = 0, 1
-        for c, a in zip(s, sets):
-            if a:
+        moved = [(c, a) for c, a in zip(s, sets) if a]
+        if len(moved) > LONG:
+            new = self._halves(label + shape, np.array([a.index(c) for c, a in moved], np.int64), np.array([len(a) for _, a in moved], np.int64)).tolist()
+        else:
+            x, n = 0, 1
+            for c, a in moved:
                 x, n = x * len(a) + a.index(c), n * len(a)
-        x = self.feistel(label + shape, n)(x)
-        out = []
-        for c, a in zip(reversed(s), reversed(sets)):
-            if a:
+            x = self.feistel(label + shape, n)(x)
+            new = []
+            for _, a in reversed(moved):
                 x, k = divmod(x, len(a))
-                c = a[k]
-            out.append(c)
-        return "".join(reversed(out))
+                new.append(k)
+            new.reverse()
+        it = iter(new)
+        return "".join(a[next(it)] if a else c for c, a in zip(s, sets))
+
+    def _halves(self, label: str, values: np.ndarray, sizes: np.ndarray, back: bool = False) -> np.ndarray:
+        half, out = len(values) // 2, values.copy()
+        key = hashlib.blake2b(label.encode(), key=self.key[:64], digest_size=32).digest()
+        for k in reversed(range(ROUNDS)) if back else range(ROUNDS):
+            to, by = (slice(half, None), slice(0, half)) if k % 2 else (slice(0, half), slice(half, None))
+            stream = np.frombuffer(hashlib.shake_256(key + bytes([k]) + out[by].astype(np.uint8).tobytes()).digest(8 * len(out[to])), "<u8")
+            shift = (stream % sizes[to].astype(np.uint64)).astype(np.int64)
+            out[to] = (out[to] + (-shift if back else shift)) % sizes[to]
+        return out
 
     def _value(self, kind: str, s: str) -> str | None:
-        """The pseudonym, or None if s is no valid value of its kind."""
         if kind == "email":
             local, _, domain = s.partition("@")
             return f"{self.characters('email ' + domain.lower(), local)}@{domain}"
@@ -307,8 +332,8 @@ def with_pseudonyms(docs: DataFrame, key: bytes, text_col: str = "text") -> Data
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, n_<kind> for each kind, n_replaced) for every row of docs.
 
-    A null text stays null and an empty one empty, both with zero counts. Text outside the replaced
-    values keeps every character. Equal rows give equal rows; other columns of docs play no part.
+    A null text stays null and an empty one empty, both with zero counts; very long texts and values are
+    read whole, in time linear in their length. Text outside the replaced values keeps every character. Equal rows give equal rows; other columns of docs play no part.
     """
     kind = dict(docs.dtypes)[id_col]
 

@@ -13,6 +13,7 @@ Every token goes to exactly one section, so the sections' counts add up to the d
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,22 +22,41 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.bpe import read_ranks
+from llm.bpe import Encoder, read_ranks
 from llm.frames import slices
 from llm.words import text_bytes
 
 RULES = ("start", "majority")
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, Tokenizer] = {}
 
 
-def _tokenizer(data: bytes, pattern: str):
-    """The library's encoder and the byte length of every id, made once in each Python worker."""
+#: Runs that the library's pattern matcher can't be trusted with: it recurses over them. Texts that hold one take our own encoder.
+_LONG_RUN = re.compile(r"(?<!\s)\s{4096}|(?<!\S)\S{65536}")
+
+
+class Tokenizer:
+    """Token ids of whole texts: the library's encoder, and our own, which gives the same ids, for texts with very long runs."""
+
+    def __init__(self, data: bytes, pattern: str):
+        ranks = read_ranks(data)
+        self.lengths = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        self.lengths[list(ranks.values())] = [len(t) for t in ranks]
+        self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.own = Encoder(ranks, pattern)
+
+    def ids(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int64)
+        if len(text) >= 4096 and _LONG_RUN.search(text):
+            return np.frombuffer(self.own.encode(text), "<u4").astype(np.int64)
+        return np.array(self.library.encode_ordinary(text), np.int64)
+
+
+def _tokenizer(data: bytes, pattern: str) -> Tokenizer:
+    """Made once in each Python worker."""
     key = hashlib.sha256(data + pattern.encode()).hexdigest()
     if key not in _tokenizers:
-        ranks = read_ranks(data)
-        lengths = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
-        lengths[list(ranks.values())] = [len(t) for t in ranks]
-        _tokenizers[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), lengths
+        _tokenizers[key] = Tokenizer(data, pattern)
     return _tokenizers[key]
 
 
@@ -61,7 +81,8 @@ def count_by_section(docs: DataFrame, ranks_path: str, pattern: str, rule: str =
 
     A section is a line with the line end that closes it; start and end are code points of the text.
     n_crossing counts the section's tokens that reach into another one. A null or empty text has one
-    section without tokens. Equal rows give equal rows; other columns of docs play no part.
+    section without tokens; a very long text is encoded whole, whatever runs it holds. Equal rows give
+    equal rows; other columns of docs play no part.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -70,11 +91,11 @@ def count_by_section(docs: DataFrame, ranks_path: str, pattern: str, rule: str =
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, length_of = _tokenizer(shared.value, pattern)
+        tokenizer = _tokenizer(shared.value, pattern)
         for batch in slices(batches):
             data, offsets = text_bytes(batch.column(1))
-            lists = [encoding.encode_ordinary(t) if t else [] for t in batch.column(1).to_pylist()]
-            ends = np.cumsum(length_of[np.concatenate([np.array(x, np.int64) for x in lists])])
+            lists = [tokenizer.ids(t) for t in batch.column(1).to_pylist()]
+            ends = np.cumsum(tokenizer.lengths[np.concatenate(lists)])
             inner = np.setdiff1d(np.flatnonzero(data == 10) + 1, offsets)
             # Every document opens a section, an empty one too; its sections follow one another.
             bounds = np.sort(np.concatenate([offsets[:-1], inner]), kind="stable")

@@ -4,6 +4,7 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -55,3 +56,26 @@ def test_lowest_rank_made_by_a_merge_comes_next():
 
 def test_empty(spark):
     assert encode_documents(spark.createDataFrame([], "doc_id long, text string"), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_ids_of_any_type(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    for kind in ("short", "int", "long", "decimal(20,0)", "string", "date", "binary", "struct<a:int,b:string>"):
+        value = {"date": "date '2020-01-02'", "struct<a:int,b:string>": "named_struct('a', 1, 'b', 'x')"}.get(kind, f"cast('7' as {'binary' if kind == 'binary' else kind})")
+        docs = spark.sql(f"select {value} as doc_id, 'some text' as text union all select null, null")
+        got = encode_documents(docs, path, public_tokenizers.PATTERN).collect()
+        assert sorted(r.n_tokens > 0 for r in got) == [False, True] and got[0].asDict().keys() >= {"doc_id", "ids"}
+
+
+def test_megabytes_of_one_piece():
+    """Very long pre-tokens against the library, in time that grows little faster than their length."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = read_ranks(f.read())
+    own = Encoder(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(3)
+    letters = "".join(rng.choice("etaoinshrdlucmfwyp") for _ in range(200_000))
+    assert np.frombuffer(own.encode(letters), "<u4").tolist() == library.encode_ordinary(letters)
+    for text in ("a" * 1_000_000, " " * 1_000_000, "\n" * 1_000_000, "=" * 1_000_000):
+        assert own.decode(own.encode(text)) == text.encode()

@@ -1,8 +1,10 @@
 """op1: permutations are one-to-one, pseudonyms are valid values of their format, and all else stays."""
 
 import re
+import time
 from datetime import date
 
+import numpy as np
 import pytest
 
 from llm.pii import Feistel, Pseudonymiser, luhn_digit, pseudonymise, with_pseudonyms
@@ -89,3 +91,37 @@ def test_date_layouts():
     assert len({tuple(map(int, x.split("/"))) for x in same}) == 1
     for x in ("31 June 1984", "0/7/1984", "1.2.3.2020", "May 1984", "5 Julys 1984"):
         assert p.replace(x) == (x, [0] * 7), x
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 66, 500, 4000, 1_000_000])
+def test_long_local_parts(n):
+    p = Pseudonymiser(b"key")
+    local = ("ab7Z.-" * (n // 4 + 1))[: n + n // 2]
+    new = p.replace(f"mail {local}x@example.org now")[0]
+    assert len(new) == len(local) + 22 and new.startswith("mail ") and new.endswith("@example.org now") and new != f"mail {local}x@example.org now"
+    kind = lambda c: "0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c
+    assert [kind(c) for c in new] == [kind(c) for c in f"mail {local}x@example.org now"]
+    assert Pseudonymiser(b"key").replace(f"mail {local}x@example.org now")[0] == new
+
+
+def test_halves_are_a_permutation():
+    p = Pseudonymiser(b"key")
+    rng = np.random.default_rng(0)
+    sizes = rng.choice([10, 26], 301)
+    values = [rng.integers(0, sizes) for _ in range(20)]
+    for v in values:
+        moved = p._halves("x", v, sizes)
+        assert (moved >= 0).all() and (moved < sizes).all() and (p._halves("x", moved, sizes, back=True) == v).all()
+    small = np.array([2, 2, 3])  # all values of a small shape
+    every = {tuple(p._halves("y", np.array([a, b, c]), small)) for a in range(2) for b in range(2) for c in range(3)}
+    assert len(every) == 12
+
+
+def test_broken_and_very_long_texts():
+    """A megabyte of digits, signs, capitals and half values: each is read in time linear in its length."""
+    p = Pseudonymiser(b"key")
+    for unit in ("@", "1", "a@", "1.", "DE12 ", "+1 ", "x@y.z ", "12/12/", "Jan 1 ", "4186133740741811 "):
+        text = unit * (1_000_000 // len(unit))
+        began = time.perf_counter()
+        p.replace(text)
+        assert time.perf_counter() - began < 30, unit

@@ -5,7 +5,7 @@ import pytest
 import tiktoken
 
 from llm.bpe import read_ranks
-from llm.token_counts import count_by_document, count_by_section
+from llm.token_counts import Tokenizer, count_by_document, count_by_section
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = ["", None, "one line", "a\nb\n\nc", "\n\n\n", "é\nüü 漢字\n🙂 end\n", "x  \n\n  y\n", "tail\n", "same", "same", "word " * 3000 + "\n" + "y" * 5000]
@@ -48,3 +48,16 @@ def test_sections(spark, rule):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert count_by_section(docs, PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_runs_that_the_library_cannot_match(spark):
+    """A million spaces, line ends and letters; near the bounds both encoders give the same ids."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    texts = [" " * 1_000_000, "\n" * 1_000_000, "x" * 1_000_000, "a" + " " * 1_000_000 + "b", "\t \n" * 300_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in count_by_document(count_by_section(docs, path, public_tokenizers.PATTERN)).collect()}
+    assert len(got) == 5 and all(r.n_tokens > 0 for r in got.values()) and got[1].n_sections == 1_000_000
+    with open(path, "rb") as f:
+        t = Tokenizer(f.read(), public_tokenizers.PATTERN)
+    for text in ("a" + " " * 4095 + "b", "a" + " " * 4096 + "b", " \n" * 3000 + "c", "ab" * 40_000):
+        assert t.ids(text).tolist() == t.library.encode_ordinary(text)
