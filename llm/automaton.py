@@ -233,33 +233,31 @@ def compile_rules(patterns: list[tuple[str, bool]], reverse: bool = False, anywh
 
 
 class Scanner:
-    """Leftmost-longest, non-overlapping matches of every rule, each rule on its own."""
+    """Leftmost-longest, non-overlapping matches of every rule, each rule on its own.
 
-    def __init__(self, patterns: list[tuple[str, bool]]):
-        self.starts = compile_rules(patterns, reverse=True, anywhere=True)
-        self.rules = [compile_rules([p]) for p in patterns]
+    A rule is a pattern and the pattern of those matches that are kept. Both are accepted by the states of
+    the rule's one automaton: a match that isn't kept still takes its place from later ones.
+    """
 
-    def longest(self, rule: int, data: bytes, at: int) -> int:
-        """The end of the longest match of the rule that starts at ``at``, or -1."""
+    def __init__(self, patterns: list[tuple[str, str]]):
+        self.starts = compile_rules([(p, False) for p, _ in patterns], reverse=True, anywhere=True)
+        self.rules = [compile_rules([(p, False), (keep or p, False)]) for p, keep in patterns]
+        self.dead = [next((s * 256 for s in range(len(d.masks)) if not d.masks[s] and set(d.table[s * 256 : s * 256 + 256]) == {s * 256}), -1) for d in self.rules]
+
+    def longest(self, rule: int, data: bytes, at: int) -> tuple[int, bool]:
+        """The end of the longest match of the rule that starts at ``at``, and whether it is kept."""
         dfa = self.rules[rule]
-        table, accepting, state, end = dfa.table, dfa.accepting, dfa.start, -1
-        dead = self.dead(rule)
+        table, accepting, state, end, last, dead = dfa.table, dfa.accepting, dfa.start, -1, 0, self.dead[rule]
         for i in range(at, len(data)):
             state = table[state + data[i]]
             if state >= accepting:
-                end = i + 1
+                end, last = i + 1, state
             elif state == dead:
                 break
-        return end
-
-    def dead(self, rule: int) -> int:
-        dfa = self.rules[rule]
-        if not hasattr(dfa, "_dead"):
-            dfa._dead = next((s * 256 for s in range(len(dfa.masks)) if not dfa.masks[s] and set(dfa.table[s * 256 : s * 256 + 256]) == {s * 256}), -1)
-        return dfa._dead
+        return end, bool(dfa.masks[last >> 8] & 2)
 
     def scan(self, data: bytes) -> list[tuple[int, int, int]]:
-        """(rule, start, end) in bytes, by rule and start."""
+        """(rule, start, end) in bytes of the matches that are kept, by rule and start."""
         table, state, accepting = self.starts.table, self.starts.start, self.starts.accepting
         hits = []
         for i, byte in enumerate(data[::-1]):
@@ -274,6 +272,7 @@ class Scanner:
             done = 0
             for at, mask in hits:
                 if mask >> rule & 1 and at >= done:
-                    done = self.longest(rule, data, at)
-                    out.append((rule, at, done))
+                    done, kept = self.longest(rule, data, at)
+                    if kept:
+                        out.append((rule, at, done))
         return out

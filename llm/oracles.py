@@ -22,7 +22,7 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_RULES = ", ".join(f"({k}, {_quoted(r.kind)}, {_quoted(r.pattern)}, {_quoted(r.keep)})" for k, r in enumerate(RULES))
+_RULES = ", ".join(f"({k}, {_quoted(r.kind)}, {_quoted(r.pattern)}, {_quoted(r.keep or r.pattern)})" for k, r in enumerate(RULES))
 #: Matches of every rule's pattern and what lies between them give the places.
 OP10 = f"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS t FROM documents), r(k, kind, pattern, keep) AS (VALUES {_RULES}),
 m AS (SELECT doc_id, k, kind, keep, regexp_extract_all(t, pattern) AS ms, string_split_regex(t, pattern) AS gaps FROM d, r WHERE regexp_matches(t, pattern)),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -16,11 +15,10 @@ from llm.frames import slices
 
 
 class Rule(NamedTuple):
-    """kind; the pattern that the automaton scans; whether letters match in either case; and what a match must be besides."""
+    """kind; the pattern whose leftmost longest matches count; and the part of these that is kept (all, if empty)."""
 
     kind: str
     pattern: str
-    fold: bool
     keep: str
 
 
@@ -30,14 +28,14 @@ _NAME = "[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][
 #: The three base kinds, in their order, then those that this operator adds. ``[0-9a-f]{32,}`` stands
 #: for the maximal runs of 32 and more: shorter runs are disjoint from those and can be left out early.
 RULES = (
-    Rule("assign", f"({_NAME}){_ASSIGN}{_VALUE}+", False, f"(?:{_NAME}){_ASSIGN}{_VALUE}{{8,}}"),
-    Rule("access", "AKIA[A-Z0-9]+", False, "AKIA[A-Z0-9]{12,}"),
-    Rule("hex", "[0-9a-f]{32,}", False, "[0-9a-f]{32,}"),
-    Rule("forge", "gh[pousr]_[A-Za-z0-9]+", False, "gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("chat", "xox[abprs]-[A-Za-z0-9-]+", False, "xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("cloud", "AIza[A-Za-z0-9_-]+", False, "AIza[A-Za-z0-9_-]{35,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", False, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----", False, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("assign", f"({_NAME}){_ASSIGN}{_VALUE}+", f"({_NAME}){_ASSIGN}{_VALUE}{{8,}}"),
+    Rule("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{12,}"),
+    Rule("hex", "[0-9a-f]{32,}", ""),
+    Rule("forge", "gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("cloud", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]{35,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", ""),
+    Rule("private", "-----BEGIN [A-Z ]*PRIVATE KEY-----", ""),
 )
 BASE = 3
 
@@ -45,13 +43,12 @@ BASE = 3
 class SecretScanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.scanner = Scanner([(r.pattern, r.fold) for r in rules])
-        self.keep = [re.compile(r.keep.encode()) for r in rules]
+        self.scanner = Scanner([(r.pattern, r.keep) for r in rules])
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(start, end, rule) in code points, by start and then rule. A null text has none."""
         data = (text or "").encode()
-        kept = [(s, e, k) for k, s, e in self.scanner.scan(data) if self.keep[k].fullmatch(data, s, e)]
+        kept = [(s, e, k) for k, s, e in self.scanner.scan(data)]
         if kept and not text.isascii():
             chars = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
             kept = [(int(chars[s]), int(chars[e]), k) for s, e, k in kept]
@@ -69,7 +66,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
 
     A span is kind:start:end in code points, end exclusive. Matches of a rule are leftmost, longest and
     don't overlap one another; those of different rules may. Null and empty texts have no spans and
-    the digest of the empty string. Columns of docs other than the two named play no part.
+    the digest of the empty string; a very long text is read whole, byte by byte. Equal rows give equal
+    rows. Columns of docs other than the two named play no part.
     """
     kind = dict(docs.dtypes)[id_col]
 

@@ -47,7 +47,7 @@ def test_automaton_is_minimal_and_leftmost_longest():
     assert len(compile_rules([("a(b|c)*d|a(c|b)*d", False)]).masks) == 4  # start, inside, accepting, dead
     rng = random.Random(1)
     patterns = ["ab+c?", "[a-b]{2,3}c", "(ab|a)(c|bcd)", "b.?a"]
-    scanner = Scanner([(p, False) for p in patterns])
+    scanner = Scanner([(p, "") for p in patterns])
     for _ in range(500):
         t = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 14)))
         for k, p in enumerate(patterns):
@@ -67,3 +67,17 @@ def test_rows(spark):
     assert got[0].spans == "assign:0:17,access:20:40" and got[0].base_sha256 == hashlib.sha256(got[0].spans.encode()).hexdigest()
     assert got[1].base_sha256 == hashlib.sha256(b"").hexdigest() and got[3].spans == "assign:100001:100018"
     assert find_secrets(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_a_match_that_is_not_kept_takes_its_place():
+    scanner = Scanner([("a+b?", "a{3,}b?"), ("[ab]+", "")])
+    assert scanner.scan(b"aab aaab aaa ab") == [(0, 4, 8), (0, 9, 12), (1, 0, 3), (1, 4, 8), (1, 9, 12), (1, 13, 15)]
+    spans = SecretScanner().spans('password=api_key : "abcdefghij"')  # the first match takes the second's name
+    assert spans == base('password=api_key : "abcdefghij"') == []
+
+
+def test_megabytes():
+    scanner = SecretScanner()
+    for unit in ("a", "password=", "eyJa.", "AKIA", "-----BEGIN ", "ghp_", "0123456789abcdef"):
+        text = unit * (1_000_000 // len(unit))
+        assert [x for x in scanner.spans(text) if x[2] < 3] == base(text), unit
