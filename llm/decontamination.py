@@ -176,14 +176,11 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, f
         told = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(told, -1)), pa.array(np.append(counts[told], total))], ["k", "n"])
 
+    told = docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # two numbers for each word of the block at most
+    k, n = (told[c].to_numpy() for c in ("k", "n"))
     out = np.zeros(len(vocabulary), np.int64)
-    total = 0
-    for k, n in docs.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():  # a row for each word of the block
-        if k < 0:
-            total = n
-        else:
-            out[k] = n
-    return out, float(total)
+    out[k[k >= 0]] = n[k >= 0]
+    return out, float(n[k < 0].sum())
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -191,8 +188,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id
 
     Words are runs of letters, digits and all characters that aren't ASCII, with A-Z folded. score is the
     local alignment's score over that of the whole item; start and end are the code points of the best
-    place. Null and empty texts and items hold no words and give no row. Equal rows of docs or of the
-    benchmark each give rows; other columns play no part.
+    place: of several windows with the best score the first, and in it the first place to reach that score.
+    Null and empty texts and items hold no words and give no row; a very long text is read whole. Ids may
+    be null or repeated: equal rows of docs or of the benchmark each give rows. Other columns play no part.
     """
     spark = docs.sparkSession
     kinds = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
@@ -235,6 +233,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id
     return out.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
 
+def without_leaking_texts(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose own text has no leak.
+
+    What is found, and what goes, is keyed by a digest of the text (128 bits) and not by the id: of rows
+    that share an id, or have none, only those with a leaking text go. Rows without a text stay.
+    """
+    digest = F.struct(F.xxhash64(docs[text_col]).alias("h1"), F.xxhash64(F.lit(1), docs[text_col]).alias("h2"))
+    found = find_leaks(docs.select(digest.alias("_digest"), docs[text_col].alias("text")), benchmark, threshold, "_digest", "text")
+    leaking = stored(found.select("_digest").distinct(), "leaking")
+    return docs.withColumn("_digest", digest).join(broadcast_if_few(leaking), "_digest", "left_anti").select(docs.columns)
+
+
 def without_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs whose id has no leak, rows with a null id among them."""
     ids = stored(leaks.select(id_col).distinct(), "leaking")

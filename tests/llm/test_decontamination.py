@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from llm.decontamination import align, find_leaks, without_leaks
+from llm.decontamination import align, find_leaks, without_leaking_texts
 
 
 def words(text):
@@ -65,7 +65,7 @@ def test_against_brute_force(spark, monkeypatch, block):
         assert r.score == pytest.approx(want[key])
         span = words(dict(docs)[r.doc_id][r.start : r.end])
         assert score(words(dict(items)[r.item_id]), span) / (2 * len(words(dict(items)[r.item_id]))) == pytest.approx(r.score)
-    kept = {r.doc_id for r in without_leaks(d, leaks).collect()}
+    kept = {r.doc_id for r in without_leaking_texts(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert kept == {i for i, _ in docs} - {i for i, _ in want}
 
 
@@ -74,3 +74,19 @@ def test_empty(spark):
     some = spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert find_leaks(none[0], some[1]).collect() == find_leaks(some[0], none[1]).collect() == []
     assert [(r.doc_id, r.score) for r in find_leaks(*some).collect()] == [(1, 1.0)]
+
+
+def test_rows_go_by_their_own_text(spark):
+    """Null and shared ids: what leaks goes, what doesn't stays."""
+    item = " ".join(f"rare{k}" for k in range(20))
+    rows = [(None, f"before {item} after"), (None, "clean text"), (None, None), (7, item), (7, "clean too"), (8, ""), (9, "x " * 400_000 + item)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _digest string").drop("_digest")
+    got = without_leaking_texts(docs, spark.createDataFrame([(1, item), (1, item), (None, None)], "item_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(None, "clean text"), (None, None), (7, "clean too"), (8, "")], key=repr)
+
+
+def test_ties(spark):
+    """Two places with the same score: the first is told; both of two equal items are."""
+    docs = spark.createDataFrame([(1, "one two three four. x y z q r s t u v w x one two three four.")], "doc_id long, text string")
+    got = find_leaks(docs, spark.createDataFrame([(1, "one two three four"), (2, "one two three four")], "item_id long, text string")).collect()
+    assert sorted((r.item_id, r.score, r.start, r.end) for r in got) == [(1, 1.0, 0, 18), (2, 1.0, 0, 18)]
