@@ -26,6 +26,9 @@ from llm.words import Words, shingles
 COORDINATES, TREES, LEVELS = 64, 10, 4
 #: Classes in a node that are compared at once.
 NODE = 2048
+#: Shingles whose sets are held at once for one block of a group (8 bytes each); a group of more is compared block by block.
+SET_MEMBERS = 4 << 20
+GROUP_BYTES = 32 << 20
 #: Five standard deviations under what a pair at the threshold shares of 64 coordinates.
 LEAST_SHARED = 36
 _rng = np.random.default_rng(5)
@@ -69,9 +72,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Rows sorted by a column of longs or binaries, in tables that cut no group, with the groups' bounds."""
+    """Rows sorted by a column of longs or binaries, in tables that cut no group, with the groups' bounds.
+
+    A table is passed on once it holds 4096 rows or GROUP_BYTES, so memory is bounded where groups are.
+    """
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
 
     def flush(table: pa.Table):
         key = table.column(column).combine_chunks()
@@ -83,13 +89,14 @@ def whole_groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tup
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows < 4096:
+        size += batch.nbytes
+        if rows < 4096 and size < GROUP_BYTES:
             continue
         table, bounds = flush(pa.Table.from_batches(held))
         if len(bounds) > 2:
             yield table.slice(0, bounds[-2]), bounds[:-1]
             held = table.slice(bounds[-2]).to_batches()
-            rows = sum(b.num_rows for b in held)
+            rows, size = sum(b.num_rows for b in held), sum(b.nbytes for b in held)
     if rows:
         yield flush(pa.Table.from_batches(held))
 
@@ -112,7 +119,9 @@ def candidates(nodes: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
     """Of rows (path, cls, sig, n, own, i, j) of small nodes: (gid, cls), groups that could hold a link.
 
     A group is joined by pairs whose signatures and sizes allow the threshold; equal groups of several
-    nodes get one gid.
+    nodes get one gid. A group whose sets hold over SET_MEMBERS members is cut into blocks, and every two
+    blocks, the same ones in all nodes that give the group, are a group of their own: no pair is lost and
+    what is compared at once stays bounded by two blocks or by two texts.
     """
     for table, bounds in whole_groups(nodes, 0):
         sig = table["sig"].combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
@@ -141,14 +150,30 @@ def candidates(nodes: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             root = _roots(b - a, i, j)
             used = np.unique(np.concatenate([i, j]))
             for r in np.unique(root[used]):
-                group = sorted(cls[a + used[root[used] == r]])
-                gid = hashlib.blake2b(b"".join(group), digest_size=16).digest()
-                gids += [gid] * len(group)
-                members += group
+                at = a + used[root[used] == r]
+                at = at[np.argsort(cls[at])]
+                for part in _parts(n[at]):
+                    group = cls[at[part]].tolist()
+                    gids += [hashlib.blake2b(b"".join(group), digest_size=16).digest()] * len(group)
+                    members += group
         if gids:
             yield pa.RecordBatch.from_arrays([pa.array(gids, pa.binary()), pa.array(members, pa.binary())], ["gid", "cls"])
 
 
+def _parts(sizes: np.ndarray) -> list[np.ndarray]:
+    """Places of members of these sizes that are compared together: all of them, or every two blocks of at most SET_MEMBERS (or one member)."""
+    if sizes.sum() <= SET_MEMBERS:
+        return [np.arange(len(sizes))]
+    block, held, of = 0, 0, []
+    for size in sizes.tolist():
+        if held and held + size > SET_MEMBERS:
+            block, held = block + 1, 0
+        held += size
+        of.append(block)
+    of = np.array(of)
+    return [np.flatnonzero((of == i) | (of == j)) for i in range(block + 1) for j in range(i if not block else i + 1, block + 1)]
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all pairs of sets, from those members that several sets hold."""
     if len(sets) == 2:
@@ -261,7 +286,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     of ``size`` words, or its whole sequence when shorter. Two documents link when
     100 * |intersection| >= percent * |union|. component_id is the smallest id reachable over links and
     kept says that it is the row's own. A null or empty text, or one of white space, has an empty set
-    and links with nothing. Repeated rows are documents of their own; a null id is never the smallest.
+    and links with nothing. A very long text is read whole. Pairs exactly at the threshold are links, and
+    so are pairs above it, but for those that all trees miss (see the README). Repeated rows are documents of their own; a null id is never the smallest.
     Other columns of docs play no part.
     """
     docs = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from llm import near_dup
@@ -75,3 +76,32 @@ def test_rows_that_share_an_id_but_no_text(spark):
     got = one_of_each(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA))
     want = [(None, text("a")), (None, text("b")), (None, None), (None, ""), (2, text("c")), (3, text("d")), (7, text("zz")), (7, text("e")), (8, text("f")), (5, None)]
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr) and got.columns == ["doc_id", "text", "cls"]
+
+
+@pytest.mark.parametrize("members", [1, 200, 2000])
+def test_groups_whose_sets_are_cut_into_blocks(spark, monkeypatch, members):
+    monkeypatch.setattr(near_dup, "SET_MEMBERS", members)
+    monkeypatch.setattr(near_dup, "GROUP_BYTES", 1 << 12)
+    rows = corpus(4)
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    assert sorted(tuple(r) for r in near_duplicates(df, 4, 80).collect()) == brute(rows, 4, 80)
+
+
+def test_blocks_hold_every_pair():
+    for sizes in ([5], [5, 5], [1] * 30, [50, 1, 1, 50, 3, 3, 3]):
+        near_dup_members, near_dup.SET_MEMBERS = near_dup.SET_MEMBERS, 10
+        try:
+            parts = near_dup._parts(np.array(sizes))
+        finally:
+            near_dup.SET_MEMBERS = near_dup_members
+        assert {(i, j) for p in parts for i in p for j in p} == {(i, j) for i in range(len(sizes)) for j in range(len(sizes))}
+        assert all(sum(sizes[k] for k in p) <= 20 or len(p) <= 2 or max(sizes) > 10 for p in parts)
+
+
+def test_very_long_texts(spark):
+    """A million words, a copy of it with a word changed, one word a million times, and one word of a million letters twice."""
+    words = [f"w{k % 99_991}x{k % 7}" for k in range(400_000)]
+    other = [*words[:-1], "changed"]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, "same " * 400_000), (4, "y" * 1_000_000), (5, "Y" * 1_000_000), (6, "y" * 999_999)]
+    got = sorted(tuple(r)[0:1] + tuple(r)[2:] for r in near_duplicates(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA), 5, 80).collect())
+    assert got == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True), (5, 4, False), (6, 6, True)]
