@@ -7,28 +7,45 @@ from pyspark.sql import functions as F
 
 from llm.frames import shared_folder
 
+#: Nodes whose least neighbours a join may broadcast, and the least degree that makes a node one of these.
+HUBS, HUB_DEGREE = 50_000, 256
+
+
+def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
+    """edges (u, v) with the m of their u from least (u, m, degree), no node's edges being gathered.
+
+    A hub is a node of more than 2 n / HUBS edges: as the degrees add up to 2 n at most, there are no more
+    than HUBS of them and their rows are broadcast, so a hub's edges stay where they are. The edges of
+    all other nodes, few for each node, meet their row by a shuffle.
+    """
+    bound = max(HUB_DEGREE, 2 * n_edges // HUBS)
+    hubs = F.broadcast(least.where(F.col("degree") > bound).select("u", "m"))
+    others = least.where(F.col("degree") <= bound).select("u", "m")
+    return edges.join(hubs, "u").unionAll(edges.join(hubs, "u", "left_anti").join(others, "u"))
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b), root being the smallest node of its component.
 
     Nodes may be of any orderable type. Self-loops, repeated edges and both directions are fine; an
-    empty table gives an empty one. Minima are combined before they are shuffled, edges are never
-    gathered by node, and each round is checkpointed.
+    empty table gives an empty one. Minima and degrees are combined before they are shuffled, the edges
+    of a hub are never gathered, and each round is checkpointed.
     """
     shared_folder(edges.sparkSession)
     proper = edges.where("a <> b")
     e = proper.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().checkpoint()
-    before = None
-    while True:
+    n, before = e.count(), None
+    minima = lambda x: x.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    while n:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = minima(both).withColumn("m", F.least("u", "m"))
+        large = _with_least(both, least, n).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint()
+        lowest = minima(large)
+        small = _with_least(large, lowest, n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = small.unionAll(lowest.select("u", F.col("m").alias("v"))).distinct().checkpoint()
         # The sum of hashes changes whenever the edges do.
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if now == before:
             break
-        before = now
+        n, before = now[0], now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
