@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from llm.frames import shared_folder
 
-#: Nodes whose least neighbours a join may broadcast, and the least degree that makes a node one of these.
+#: Keys whose values a lookup may broadcast, and the least number of rows that makes a key one of these.
 HUBS, HUB_DEGREE = 50_000, 256
 
 
-def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
-    """edges (u, v) with the m of their u from least (u, m, degree), no node's edges being gathered.
+def lookup(rows: DataFrame, values: DataFrame, key: str, total: int) -> DataFrame:
+    """rows with the values (key, ..., degree) of their key, no key's rows being gathered.
 
-    A hub is a node of more than 2 n / HUBS edges: as the degrees add up to 2 n at most, there are no more
-    than HUBS of them and their rows are broadcast, so a hub's edges stay where they are. The edges of
-    all other nodes, few for each node, meet their row by a shuffle.
+    degree says how many rows a key has, and total is at least the sum of degrees. A hub is a key of more
+    than total / HUBS rows: there are no more than HUBS of them and their values are broadcast, so a hub's
+    rows stay where they are. The rows of all other keys, few for each, meet their values by a shuffle.
     """
-    bound = max(HUB_DEGREE, 2 * n_edges // HUBS)
-    hubs = F.broadcast(least.where(F.col("degree") > bound).select("u", "m"))
-    others = least.where(F.col("degree") <= bound).select("u", "m")
-    return edges.join(hubs, "u").unionAll(edges.join(hubs, "u", "left_anti").join(others, "u"))
+    bound = max(HUB_DEGREE, total // HUBS)
+    hubs = F.broadcast(values.where(F.col("degree") > bound).drop("degree"))
+    others = values.where(F.col("degree") <= bound).drop("degree")
+    return rows.join(hubs, key).unionAll(rows.join(hubs, key, "left_anti").join(others, key))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,9 +39,9 @@ def components(edges: DataFrame) -> DataFrame:
     while n:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = minima(both).withColumn("m", F.least("u", "m"))
-        large = _with_least(both, least, n).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint()
+        large = lookup(both, least, "u", 2 * n).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint()
         lowest = minima(large)
-        small = _with_least(large, lowest, n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = lookup(large, lowest, "u", 2 * n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = small.unionAll(lowest.select("u", F.col("m").alias("v"))).distinct().checkpoint()
         # The sum of hashes changes whenever the edges do.
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
@@ -49,3 +49,13 @@ def components(edges: DataFrame) -> DataFrame:
             break
         n, before = now[0], now
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def named_components(members: DataFrame, roots: DataFrame, total: int) -> DataFrame:
+    """members (cls, least_id, ...) with component_id, the smallest least_id of their component; a class without a root is its own.
+
+    roots is what components gives, with nodes named cls; total is the number of members or more.
+    """
+    told = members.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    smallest = told.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("degree"))
+    return lookup(told, smallest, "root", total).drop("root", "least_id")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.components import components
+from llm.components import components, named_components
 from llm.frames import broadcast_if_few, stored
 from llm.words import mix
 
@@ -208,11 +208,10 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
         return pa.table({"a": cls.take(pa.array(told)), "b": cls.take(pa.array(root[told])), "degree": pa.array(degree[told])})
 
     links = stored(tiles.groupBy("part", "t", "cell", "i", "j").applyInArrow(compare, "a binary, b binary, degree long"), "links")
-    degrees = links.groupBy(F.col("a").alias("cls")).agg(F.sum("degree").alias("degree"))
+    degrees = links.groupBy(F.col("a").alias("cls")).agg(F.sum("degree").alias("linked"))
     roots = components(links.select("a", "b")).withColumnRenamed("node", "cls")
-    least = classes.select("cls", "least_id", "copies").join(degrees, "cls", "left").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = least.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    told = least.join(smallest, "root").select("cls", "component_id", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    members = classes.select("cls", "least_id", "copies").join(degrees, "cls", "left")
+    told = named_components(members, roots, classes.count()).select("cls", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = named.join(told, "cls", "left")
     component = F.coalesce("component_id", "id").cast(kinds[id_col])
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))

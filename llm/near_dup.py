@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.components import components
+from llm.components import components, named_components
 from llm.frames import broadcast_if_few, slices, stored
 from llm.words import Words, shingles
 
@@ -300,9 +300,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     full = groups.join(sets, "cls").select("gid", "cls", "members").repartition("gid").sortWithinPartitions("gid")
     links = stored(full.mapInArrow(lambda it: confirmed(it, percent), "a binary, b binary"), "links")
     roots = components(links).withColumnRenamed("node", "cls")
-    joined = classes.select("cls", "least_id").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    least = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = joined.join(least, "root").select("cls", "component_id")
+    named = named_components(classes.select("cls", "least_id"), roots, classes.count())
     out = rows.select("id", "n_shingles", "cls").join(named, "cls", "left").withColumn("component_id", F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
