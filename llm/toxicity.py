@@ -1,9 +1,12 @@
 """Toxicity by multiple-instance learning: document labels train a sentence model through noisy-or.
 
-A sentence's logit is a bias plus the weights of its words' features (the word, its first four and
-its first six bytes, hashed); a document is toxic unless every sentence is harmless:
-p = 1 - prod(1 - p_s). The gradient of the document's loss therefore falls on the sentences that
-explain the label, and the trained sentence scores point at the offending ones.
+A sentence's logit is the sum of the weights of its words' features (the word, its first four and its
+first six bytes, hashed) over that of a neutral sentence, one without any told word. What a sentence adds to
+its document is its softplus less that of a neutral one, and never less than 0, so that length alone
+makes nothing toxic; a document is toxic unless every sentence, and a leak as large as one neutral
+sentence, are harmless: p = 1 - exp(-(leak + sum)). This is what is trained and what is scored. The
+gradient of a document's loss falls on the sentences that explain the label, and the trained sentence
+scores point at the offending ones.
 """
 
 from __future__ import annotations
@@ -51,23 +54,28 @@ def bags(column: pa.Array | pa.ChunkedArray) -> Bags:
     first = np.ones(n, bool)
     first[1:] = marks[w.starts[1:]] > marks[w.ends[:-1]]
     begins = np.unique(w.at[:-1][w.at[:-1] < n])
+    first[begins] = True  # whatever the text before ends with
     owner = np.searchsorted(begins, np.arange(n), "right") - 1
     at = np.flatnonzero(first)
     block = (at - begins[owner[at]]) // 8
     once = np.ones(len(at), bool)
     once[1:] = (block[1:] != block[:-1]) | (owner[at][1:] != owner[at][:-1])
-    sentences = np.union1d(at[once], begins)
+    sentences = at[once]
     return Bags(features, sentences, np.searchsorted(sentences, w.at), w)
 
 
+#: The logit of a neutral sentence, and what it would add: the leak of every document.
+NEUTRAL = -5.0
+LEAK = float(np.logaddexp(0, NEUTRAL))
+
+
 @dataclass
 class Model:
     weights: np.ndarray
-    bias: float
 
     def sentence_logits(self, b: Bags) -> np.ndarray:
         """A word that a sentence repeats counts once; most words weigh nothing and drop out early."""
-        z = np.full(len(b.sentences), self.bias)
+        z = np.full(len(b.sentences), NEUTRAL)
         by_word = self.weights[b.features].sum(1, dtype=np.float64)
         if len(told := np.flatnonzero(by_word)):
             owner = np.searchsorted(b.sentences, told, "right") - 1
@@ -79,27 +87,29 @@ class Model:
         return z
 
 
-def noisy_or(logits: np.ndarray, documents: np.ndarray, bias: float = -np.inf) -> np.ndarray:
-    """1 - prod(1 - p_s) for each document; 0 without sentences.
+def added(logits: np.ndarray) -> np.ndarray:
+    """What sentences of these logits add to their documents."""
+    return np.maximum(np.logaddexp(0, logits) - LEAK, 0)
 
-    With the model's bias, each p_s counts as far as it exceeds that of a sentence without any told
-    word, so that length alone never makes a document toxic.
-    """
-    told = np.maximum(np.logaddexp(0, logits) - np.logaddexp(0, bias), 0)
-    sums = np.concatenate([[0.0], np.cumsum(told)])
-    return -np.expm1(-(sums[documents[1:]] - sums[documents[:-1]]))
+
+def noisy_or(logits: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """1 - exp(-(leak + what the sentences add)) for each document; the leak alone without sentences."""
+    sums = np.concatenate([[0.0], np.cumsum(added(logits))])
+    return -np.expm1(-(LEAK + sums[documents[1:]] - sums[documents[:-1]]))
 
 
-def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.4, lasso: float = 1e-3) -> Model:
-    """Adagrad with an L1 step on the noisy-or log-loss of document labels.
+def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.4, lasso: float = 1e-3) -> Model:
+    """Adagrad with an L1 step on the log-loss of document labels under noisy_or.
 
-    Features of fewer than three documents stay at 0. The word and the long prefix are each left out
+    At the neutral logit a sentence's gradient is that from above, so that training can start there; below,
+    it adds nothing and has none, but in a toxic document keeps the slope of its softplus, so that what
+    fell too far can come back. Features of fewer than three documents stay at 0. The word and the long prefix are each left out
     of half of the batches, so that the short prefix alone comes to carry unseen word forms.
     """
     n = len(toxic)
     size = 1 << _BITS
     if not n or not 0 < toxic.sum() < n:
-        return Model(np.zeros(size, np.float32), -30.0)
+        return Model(np.zeros(size, np.float32))
     # The words of all documents as features, built from a few documents at a time.
     parts, at, documents, sentences, seen = [], [0], [0], [], np.zeros(size, np.int32)
     for k in range(0, n, 128):
@@ -117,7 +127,7 @@ def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 8
     del parts, ids, seen
     sentences, documents = np.concatenate(sentences), np.array(documents)
     first, last = np.array(at[:-1]), np.array(at[1:])
-    w, bias, bias_sum = np.zeros(len(kept) + 1), -5.0, 1e-6
+    w = np.zeros(len(kept) + 1)
     squares = np.full(len(w), 1e-6)
     rng = np.random.default_rng(0)
     for _ in range(epochs):
@@ -132,11 +142,12 @@ def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 8
             begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             f = features[words]
             f[:, [k for k in (0, 2) if rng.random() < 0.5]] = 0
-            z = bias + np.add.reduceat(w[f].sum(1), begins)
+            z = NEUTRAL + np.add.reduceat(w[f].sum(1), begins)
             owner = np.repeat(np.arange(len(docs)), counts)
-            s = np.maximum(np.bincount(owner, np.logaddexp(0, z), len(docs)), 1e-9)
+            s = LEAK + np.bincount(owner, added(z), len(docs))
             slope = np.where(toxic[docs] == 1, -1 / np.expm1(np.minimum(s, 50)), 1.0)
-            g = slope[owner] / (1 + np.exp(-np.maximum(z, -500)))
+            live = (z >= NEUTRAL) | (toxic[docs] == 1)[owner]
+            g = slope[owner] * live / (1 + np.exp(-np.maximum(z, -500)))
             g_word = np.repeat(g, sizes)
             gradient = np.bincount(f.ravel(), np.repeat(g_word, f.shape[1]), len(w)) / len(docs)
             gradient[0] = 0
@@ -144,32 +155,32 @@ def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 8
             step = rate / np.sqrt(squares)
             w -= step * gradient
             w = np.sign(w) * np.maximum(np.abs(w) - step * lasso, 0)
-            g_bias = g.sum() / len(docs)
-            bias_sum += g_bias**2
-            bias -= rate * g_bias / np.sqrt(bias_sum)
     full = np.zeros(size, np.float32)
     full[kept] = w[1:]
-    return Model(full, float(bias))
+    return Model(full)
 
 
 def held_out(id_col, folds: int = 5):
-    return F.crc32(id_col.cast("string").cast("binary")) % folds == 0
+    """Whether a row is kept from training; one with a null id isn't, and has no label either."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """(doc_id, toxic, text): at most MAX_TOXIC and MAX_CLEAN labelled rows outside the held-out fold, in the order of a hash, with their whole texts.
 
-    A class ends with the document that fills its MAX_BYTES.
+    Rows that share an id and a text are one. A class ends with the row that fills its MAX_BYTES.
     """
     known = labels.select("doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id"), folds))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    pick = lambda t, n: known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    chosen = pick(1, MAX_TOXIC).unionAll(pick(0, MAX_CLEAN))  # bounded, so it may be broadcast
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sizes = texts.select("doc_id", F.octet_length("text").alias("n")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.sum("n").alias("n"))
-    so_far = F.sum("n").over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))  # over the rows chosen
-    fit_in = sizes.withColumn("before", so_far - F.col("n")).where(F.col("before") < MAX_BYTES).select("doc_id", "toxic")
-    return texts.join(F.broadcast(fit_in), "doc_id").select("doc_id", "toxic", "text")
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    pick = lambda rows, t, n: rows.where(F.col("toxic") == t).orderBy(*order[: len(rows.columns)]).limit(n)
+    ids = pick(known, 1, MAX_TOXIC).unionAll(pick(known, 0, MAX_CLEAN))  # bounded, so it may be broadcast
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    sizes = texts.select("doc_id", "h", F.octet_length("text").cast("long").alias("n")).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic", "h").agg(F.max("n").alias("n"))
+    rows = pick(sizes, 1, MAX_TOXIC).unionAll(pick(sizes, 0, MAX_CLEAN))  # an id may have many texts
+    so_far = F.sum("n").over(Window.partitionBy("toxic").orderBy(*order))  # over the rows chosen
+    fit_in = rows.withColumn("before", so_far - F.col("n")).where(F.col("before") < MAX_BYTES).select("doc_id", "toxic", "h")
+    return texts.join(F.broadcast(fit_in), ["doc_id", "h"]).groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text")).select("doc_id", "toxic", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
@@ -179,14 +190,14 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5) -> Model:
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs, with all their columns, whose text scores under 0.5; null and empty texts among them."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shared.value)
+        m = Model(shared.value)
         for batch in slices(batches, text=at):
             b = bags(batch.column(at))
-            yield batch.filter(pa.array(noisy_or(m.sentence_logits(b), b.documents, m.bias) < 0.5))
+            yield batch.filter(pa.array(noisy_or(m.sentence_logits(b), b.documents) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -194,19 +205,19 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
 def score_documents(docs: DataFrame, model: Model, folds: int = 5) -> DataFrame:
     """(doc_id, held_out, score, predicted, n_sentences, offending) for every row of docs.
 
-    score is the noisy-or of the sentences of the whole text (0 for null and empty texts and those
-    without words); predicted is 1 from 0.5; offending lists start:end in bytes of UTF-8 of the
+    score is the noisy-or of the sentences of the whole text, however long (the leak, under 0.01, for null
+    and empty texts and those without words); held_out is false for a null id; predicted is 1 from 0.5; offending lists start:end in bytes of UTF-8 of the
     sentences whose own score is 0.5 or more. Equal rows get equal rows; other columns of docs play no part.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shared.value)
+        m = Model(shared.value)
         for batch in slices(batches):
             b = bags(batch.column(1))
             z = m.sentence_logits(b)
-            scores = noisy_or(z, b.documents, m.bias)
+            scores = noisy_or(z, b.documents)
             offending = [""] * len(scores)
             if len(hot := np.flatnonzero(z >= 0)):
                 last = np.append(b.sentences[1:], len(b.words.starts)) - 1
