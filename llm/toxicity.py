@@ -64,6 +64,7 @@ def bags(column: pa.Array | pa.ChunkedArray) -> Bags:
     return Bags(features, sentences, np.searchsorted(sentences, w.at), w)
 
 
+STEPS = 300
 #: The logit of a neutral sentence, and what it would add: the leak of every document.
 NEUTRAL = -5.0
 LEAK = float(np.logaddexp(0, NEUTRAL))
@@ -103,7 +104,7 @@ def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 1
 
     At the neutral logit a sentence's gradient is that from above, so that training can start there; below,
     it adds nothing and has none, but in a toxic document keeps the slope of its softplus, so that what
-    fell too far can come back. Features of fewer than three documents stay at 0. The word and the long prefix are each left out
+    fell too far can come back. Small samples are passed over more often, for STEPS steps at least. Features of fewer than three documents stay at 0. The word and the long prefix are each left out
     of half of the batches, so that the short prefix alone comes to carry unseen word forms.
     """
     n = len(toxic)
@@ -130,7 +131,7 @@ def train(column: pa.Array | pa.ChunkedArray, toxic: np.ndarray, epochs: int = 1
     w = np.zeros(len(kept) + 1)
     squares = np.full(len(w), 1e-6)
     rng = np.random.default_rng(0)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS * batch // n))):
         order = rng.permutation(n)
         for k in range(0, n, batch):
             docs = order[k : k + batch]

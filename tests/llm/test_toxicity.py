@@ -76,12 +76,13 @@ def test_scores_against_brute_force(spark):
         assert got[k].score == pytest.approx(brute(t, model.weights), abs=1e-6), t
 
 
-def test_gradient_is_that_of_the_scored_function():
+def test_gradient_is_that_of_the_scored_function(monkeypatch):
     """One step of training moves the loss of what is scored down, from the start and from anywhere else."""
     rows = corpus(200, 4)
     column, y = pa.array([t for t, _ in rows]), np.array([y for _, y in rows])
     b = bags(column)
     loss = lambda m: -np.mean(np.log(np.where(y == 1, p := noisy_or(m.sentence_logits(b), b.documents), 1 - p)))
+    monkeypatch.setattr(toxicity, "STEPS", 0)
     losses = [loss(toxicity.Model(np.zeros(1 << 20, np.float32))), *(loss(train(column, y, epochs=k)) for k in (4, 8, 16))]
     assert losses[0] > losses[1] > losses[2] > losses[3] and losses[3] < 0.15
 
