@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from llm.frames import slices, stored
 from llm.words import Words
 
-WORDS, CLASSES, DIM, LAST, MEAN = 191, 64, 24, 3, 16
+WORDS, CLASSES, DIM, LAST, MEAN = 191, 64, 16, 3, 16
+#: The leading coordinates of a context that the nodes of the trees read.
+STEER = 8
 END, OUTPUTS = WORDS, WORDS + 1 + CLASSES
 #: Words that make up at least one in so many tokens have vectors and are broadcast with their counts: as many at most.
 COMMON = 1 << 20
@@ -177,7 +179,8 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     n, v = total[0] or 0, total[1]
     words = counts.where("class >= 0")
     top = words.orderBy(F.desc("n"), "h").limit(WORDS).toArrow()
-    common = counts.where((F.col("class") >= 0) & (F.col("n") * COMMON >= n)).toArrow()  # at most COMMON rows, as their counts add up to n at most
+    # At most COMMON rows, as their counts add up to n at most, and the frequent words, whatever their counts.
+    common = counts.where((F.col("class") >= 0) & ((F.col("n") * COMMON >= n) | F.col("h").isin(top["h"].to_pylist()))).toArrow()
     by_class = {r["class"]: (r.n, r.v) for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     output_counts, distinct = np.zeros(OUTPUTS, np.int64), np.zeros(CLASSES, np.int64)
     for c in range(CLASSES):
@@ -269,49 +272,86 @@ def fresh(v: Vocabulary, seed: int = 0) -> dict[str, np.ndarray]:
     p = {"q": rng.normal(0, 0.3, (OUTPUTS + 1, DIM)), "t": rng.normal(0, 0.3, (OUTPUTS, DIM)), "b": np.log(v.noise)}
     p["c"] = rng.normal(0, 0.02, (LAST + 1, DIM, DIM))
     p["e"] = np.zeros((v.tree.n + 1, DIM))  # what a leaf's word adds to its class as context; nothing in the last row
-    p["u"] = np.zeros((len(v.tree.bias), DIM + 1))  # the nodes' vectors and biases
-    p["u"][:, DIM] = v.tree.bias
+    p["u"] = np.zeros((len(v.tree.bias), STEER + 1))  # the nodes' vectors and biases
+    p["u"][:, STEER] = v.tree.bias
     return {k: x.astype(np.float32) for k, x in p.items()}
 
 
 class Context:
-    """The context vectors of tokens low:high of a batch, and what their gradients need."""
+    """The context vectors of tokens low:high of a batch, and what their gradients need.
+
+    All tokens look back equally far, so that whole slices are moved; the few whose text has just begun
+    are then put right.
+    """
 
     def __init__(self, p: dict, t: Tokens, low: int, high: int):
-        self.base = base = max(low - MEAN, 0)
-        at, self.place = np.arange(low, high), t.places[low:high]
+        base = max(low - MEAN, 0)
+        self.place, self.m = t.places[low:high], high - low
         self.run, self.leaves = t.outputs[base:high], t.leaves[base:high]
-        # The vectors of the tokens, and what stands before a text at the end.
-        self.x = np.concatenate([p["q"][self.run] + p["e"][self.leaves], p["q"][OUTPUTS:]])
-        sums = np.zeros((high - base + 1, DIM), p["q"].dtype)
-        np.cumsum(self.x[:-1], 0, out=sums[1:])
-        self.to, self.k = at - base, np.minimum(self.place, MEAN)
-        self.last = [np.where(self.place > k, self.to - 1 - k, len(self.run)) for k in range(LAST)]
-        self.share = (1 / np.maximum(self.k, 1)).astype(sums.dtype)[:, None]
-        self.mean = (sums[self.to] - sums[self.to - self.k]) * self.share
+        # MEAN rows of what stands before a text, and the vectors of the tokens.
+        self.x = np.empty((MEAN + high - base, DIM), p["q"].dtype)
+        self.x[:MEAN] = p["q"][OUTPUTS]
+        np.add(p["q"].take(self.run, 0), p["e"].take(self.leaves, 0), out=self.x[MEAN:])
+        self.off = MEAN + low - base  # the first token's row
+        self.fresh = [np.flatnonzero(self.place <= k) for k in range(LAST)]
+        self.short = np.flatnonzero(self.place < MEAN)
+        sums = np.zeros((len(self.x) + 1, DIM), self.x.dtype)
+        np.cumsum(self.x, 0, out=sums[1:])
+        self.mean = sums[self.off : self.off + self.m] - sums[self.off - MEAN : self.off - MEAN + self.m]
+        self.mean *= 1 / MEAN
+        if len(self.short):
+            at, k = self.off + self.short, self.place[self.short]
+            self.mean[self.short] = (sums[at] - sums[at - k]) / np.maximum(k, 1)[:, None]
         self.h = self.mean @ p["c"][LAST]
         for k in range(LAST):
-            self.h += (self.x @ p["c"][k])[self.last[k]]
+            y = self.x[self._slice(k)] @ p["c"][k]
+            y[self.fresh[k]] = p["q"][OUTPUTS] @ p["c"][k]
+            self.h += y
+
+    def _slice(self, k: int) -> slice:
+        return slice(self.off - 1 - k, self.off - 1 - k + self.m)
 
     def gradients(self, p: dict, dh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of q and c; those of the tokens' vectors are left in dx."""
-        dc = np.stack([self.x[self.last[k]].T @ dh for k in range(LAST)] + [self.mean.T @ dh])
-        each = (dh @ p["c"][LAST].T) * self.share
-        edges = scatter(self.to - self.k, each, len(self.run) + 1)
-        edges[self.to] -= each
-        self.dx = np.cumsum(edges, 0)
-        self.dx[-1] = 0
+        dx, start = np.zeros_like(self.x, shape=(len(self.x) + 1, DIM)), np.zeros(DIM, self.x.dtype)
+        each = dh @ (p["c"][LAST].T / MEAN)
+        if len(self.short):
+            begun = self.place[self.short]
+            few = dh[self.short] @ p["c"][LAST].T / np.maximum(begun, 1)[:, None]
+            each[self.short] = 0
+        dx[self.off - MEAN : self.off - MEAN + self.m] = each
+        dx[self.off : self.off + self.m] -= each
+        if len(self.short):
+            np.add.at(dx, self.off + self.short - begun, few)
+            dx[self.off + self.short] -= few
+        np.cumsum(dx, 0, out=dx)
+        dc = np.empty_like(p["c"])
         for k in range(LAST):
-            d, inside = dh @ p["c"][k].T, self.place > k
-            self.dx[self.last[k][inside]] += d[inside]  # each token once
-            self.dx[-1] += d[~inside].sum(0)
-        return scatter(np.append(self.run, OUTPUTS), self.dx, OUTPUTS + 1), dc
+            part, d, few = self._slice(k), dh @ p["c"][k].T, self.fresh[k]
+            dc[k] = self.x[part].T @ dh
+            if len(few):
+                dc[k] += np.outer(p["q"][OUTPUTS], dh[few].sum(0)) - self.x[part][few].T @ dh[few]
+                start += d[few].sum(0)
+                d[few] = 0
+            dx[part] += d
+        dc[LAST] = self.mean.T @ dh
+        self.dx = dx[MEAN:-1]
+        out = scatter(self.run, self.dx, OUTPUTS + 1)
+        out[OUTPUTS] = start
+        return out, dc
 
 
 def scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """The sums of the rows of values by row number."""
-    d = values.shape[1]
-    return np.bincount((rows[:, None] * d + np.arange(d)).ravel(), values.ravel(), n * d).reshape(n, d)
+    if n > 1 << 15:
+        return np.stack([np.bincount(rows, values[:, k], n) for k in range(values.shape[1])], 1)
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    if len(rows):
+        order = np.argsort(rows.astype(np.int16), kind="stable")  # short keys are sorted in linear time
+        told = rows[order]
+        begins = np.flatnonzero(np.diff(told, prepend=-1))
+        out[told[begins]] = np.add.reduceat(values.take(order, 0), begins)
+    return out
 
 
 @dataclass
@@ -322,6 +362,8 @@ class Paths:
     nodes: np.ndarray
     left: np.ndarray
     z: np.ndarray
+    h: np.ndarray  # what the nodes read
+    u: np.ndarray  # their vectors
 
 
 def paths(p: dict, t: Tokens, low: int, h: np.ndarray) -> Paths:
@@ -331,22 +373,23 @@ def paths(p: dict, t: Tokens, low: int, h: np.ndarray) -> Paths:
     n = ends - begins
     flat = np.arange(n.sum()) + np.repeat(begins - np.cumsum(n) + n, n)
     rows, nodes = np.repeat(rows, n), t.tree.nodes[flat]
-    u = p["u"][nodes]
-    return Paths(rows, nodes, t.tree.left[flat], np.einsum("ij,ij->i", h[rows], u[:, :DIM]) + u[:, DIM])
+    u, read = p["u"].take(nodes, 0), np.ones((len(h), STEER + 1), p["u"].dtype)
+    read[:, :STEER] = h[:, :STEER]
+    read = read.take(rows, 0)
+    return Paths(rows, nodes, t.tree.left[flat], np.einsum("ij,ij->i", read, u), read, u)
 
 
 def nudge(p: dict, squares: dict, seen: dict, key: str, rows: np.ndarray, made: np.ndarray, rate: float) -> None:
     """An Adagrad step of some rows of a parameter, made having a gradient for each mention of a row; a row has one square."""
-    told = np.zeros(len(p[key]), bool)
-    told[rows] = True
-    found = np.flatnonzero(told)
-    place = np.empty(len(told), np.int64)
-    place[found] = np.arange(len(found))
-    back = place[rows]
-    g = scatter(back, made, len(found))
-    squares[key][found] += (g * g).mean(1)
-    p[key][found] -= (rate * g / np.sqrt(squares[key][found])[:, None]).astype(np.float32)
-    seen[key][found] += np.bincount(back, minlength=len(found))
+    order = np.argsort(rows)
+    told = rows[order]
+    begins = np.flatnonzero(np.diff(told, prepend=-1))
+    found = told[begins]
+    g = np.add.reduceat(made.take(order, 0), begins)
+    square = squares[key][found] + np.einsum("ij,ij->i", g, g) / g.shape[1]
+    squares[key][found] = square
+    p[key][found] -= g * (rate / np.sqrt(square)).astype(np.float32)[:, None]
+    seen[key][found] += np.diff(begins, append=len(told))
 
 
 def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: int, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
@@ -354,14 +397,14 @@ def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: in
     y = t.outputs[low:high]
     c = Context(p, t, low, high)
     shift = (p["b"] - np.log(len(noise)) - log_noise).astype(np.float32)
-    own, others = p["t"][y], p["t"][noise]
+    own, others = p["t"].take(y, 0), p["t"][noise]
     true = np.einsum("ij,ij->i", c.h, own) + shift[y]
     false = c.h @ others.T
     false += shift[noise]
     d_true = -1 / (1 + np.exp(np.clip(true, -30, 30)))
-    # The logistic function of the noise scores, in place.
-    np.clip(false, -30, 30, out=false)
-    np.exp(np.negative(false, out=false), out=false)
+    # The logistic function of the noise scores, in place; 0 where the exponential overflows.
+    with np.errstate(over="ignore"):
+        np.exp(np.negative(false, out=false), out=false)
     false += 1
     d_false = np.reciprocal(false, out=false)
     dh = d_true[:, None] * own + d_false @ others
@@ -369,8 +412,8 @@ def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: in
     if len(way.rows):
         d = (1 / (1 + np.exp(-np.clip(way.z, -30, 30))) - way.left).astype(np.float32)[:, None]
         begins = np.flatnonzero(np.diff(way.rows, prepend=-1))
-        dh[way.rows[begins]] += np.add.reduceat(d * p["u"][way.nodes, :DIM], begins)
-        nudge(p, squares, seen, "u", way.nodes, np.concatenate([d * c.h[way.rows], d], 1), rate)
+        dh[way.rows[begins], :STEER] += np.add.reduceat(np.multiply(way.u, d, out=way.u), begins)[:, :STEER]
+        nudge(p, squares, seen, "u", way.nodes, np.multiply(way.h, d, out=way.h), rate)
     dq, dc = c.gradients(p, dh)
     dt = scatter(y, d_true[:, None] * c.h, OUTPUTS)
     np.add.at(dt, noise, d_false.T @ c.h)
@@ -382,13 +425,13 @@ def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: in
         p[k] -= (rate * g / np.sqrt(squares[k])).astype(np.float32)
     told = np.flatnonzero(c.leaves < t.tree.n)
     if len(told):
-        nudge(p, squares, seen, "e", c.leaves[told], c.dx[told], rate)
+        nudge(p, squares, seen, "e", c.leaves[told], c.dx.take(told, 0), rate)
 
 
 DENSE, ROWS = ("b", "c", "q", "t"), ("e", "u")
 
 
-def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 64, rate: float = 0.08) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 24, rate: float = 0.08) -> dict[str, np.ndarray]:
     """One pass over all rows that aren't held out; each partition's parameters count by its tokens, rows of words and nodes by their mentions."""
     shared = docs.sparkSession.sparkContext.broadcast(v)
     width, p = DIM + 1, fresh(v)
@@ -458,20 +501,19 @@ def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 64,
 def log_probabilities(p: dict, t: Tokens, batch: int = 2048) -> np.ndarray:
     """The natural log-probability of every token's output and leaf, normalised over all outputs and their leaves."""
     out = np.zeros(len(t.outputs))
+    vectors = np.concatenate([p["t"], p["b"][:, None]], 1)  # the bias as one more coordinate
+    longest, flat = np.sqrt((vectors * vectors).sum(1).max()), np.ones(OUTPUTS, p["t"].dtype)
     room = np.empty((batch, OUTPUTS), p["t"].dtype)  # one matrix for all batches
     for low in range(0, len(out), batch):
         high = min(low + batch, len(out))
-        h = Context(p, t, low, high).h
-        z = np.matmul(h, p["t"].T, out=room[: high - low])
-        z += p["b"]
-        own = z[np.arange(high - low), t.outputs[low:high]]
-        top = z.max()
-        if top - z.min() > 80:  # beyond what single precision exponentiates
-            z -= z.max(1)[:, None]
-            own = z[np.arange(high - low), t.outputs[low:high]]
-            top = 0.0
-        z -= top
-        out[low:high] = own - top - np.log(np.exp(z, out=z).sum(1))
+        h = np.ones((high - low, DIM + 1), p["t"].dtype)
+        h[:, :DIM] = Context(p, t, low, high).h
+        z = np.matmul(h, vectors.T, out=room[: high - low])
+        own, top = z[np.arange(high - low), t.outputs[low:high]], 0.0
+        if np.sqrt((h * h).sum(1).max()) * longest > 80:  # beyond what single precision surely exponentiates
+            top = z.max(1)
+            z -= top[:, None]
+        out[low:high] = own - top - np.log(np.exp(z, out=z) @ flat)
         way = paths(p, t, low, h)
         out[low:high] -= np.bincount(way.rows, np.logaddexp(0, np.where(way.left, -way.z, way.z)), high - low)
     return out
@@ -527,7 +569,7 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
     schema = f"id {kind}, held_out boolean, n_tokens long, known long, base double, model double, rare array<long>, times array<int>"
     scored = stored(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("times"))
-    told = rare.join(counts.where(F.col("n") * COMMON < v.tokens).select("h", "n"), "h", "left")
+    told = rare.join(counts.where(F.col("n") * COMMON < v.tokens).select("h", "n"), "h", "left")  # the documents' own words only
     sums = told.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("logs"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"))
     out = scored.drop("rare", "times").join(sums, "row", "left")
     logs = F.coalesce("logs", F.lit(0.0))

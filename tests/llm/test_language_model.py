@@ -119,3 +119,63 @@ def test_leaves_of_a_class_add_up_to_one():
 def leaves_as_tokens(tree):
     none = np.zeros(0, np.int64)
     return lm.Tokens(none, none, none, none, none, np.arange(tree.n), none, none, tree)
+
+
+@pytest.mark.parametrize("common", [1 << 20, 50, 4])
+def test_every_word_has_its_share(spark, monkeypatch, common):
+    """After two contexts, the probabilities of all words, of one unknown word of each class and of the end add up to one."""
+    monkeypatch.setattr(lm, "COMMON", common)
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choice([f"word{rng.randrange(600)}", f"w{rng.randrange(100)}q", "the"]) for _ in range(40))) for k in range(120)]
+    docs = spark.createDataFrame([(False, t) for _, t in rows], "held_out boolean, text string")
+    counts = lm.stored(lm.word_counts(docs), "counts")
+    v = lm.vocabulary(counts)
+    p = lm.train(docs, v)
+    c = Counter(w for _, t in rows for w in t.split())
+    unknown = {}
+    while len(unknown) < lm.CLASSES:
+        x = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+        unknown.setdefault(int(lm.word_classes(Words(pa.array([x], pa.large_string())))[0]), x)
+    for context in ("", "the word3 word77 w5q "):
+        total = 0.0
+        words = [*c, *unknown.values()]
+        w = Words(pa.array([context + x for x in words], pa.large_string()))
+        t = lm.tokens(w, v)
+        last = t.bounds[1:] - 2
+        log = lm.log_probabilities(p, t)[last] / math.log(10)
+        at = w.at[1:] - 1
+        rest = (t.classes[at] >= 0) & ~t.common[at]
+        n = np.array([c[x] for x in words])
+        total = np.sum(10 ** (log + np.where(rest, np.log10(n + 0.1) - v.tree.log_rest[t.classes[at]], 0)))
+        end = lm.tokens(Words(pa.array([context], pa.large_string())), v)
+        total += np.exp(lm.log_probabilities(p, end)[-1])
+        assert total == pytest.approx(1, abs=2e-3)
+        assert common > 4 or not rest.all()
+
+
+def test_scores_add_up_from_their_tokens(spark):
+    """score of whole texts against the model's own token probabilities, text by text."""
+    rows = corpus()
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).coalesce(1)
+    got = sorted((r.doc_id, r.score) for r in lm.score_documents(docs).collect())
+    from pyspark.sql import functions as F
+
+    kept = docs.select(lm.held_out(F.col("doc_id")).alias("held_out"), "text")
+    counts = lm.stored(lm.word_counts(kept), "counts")
+    v = lm.vocabulary(counts)
+    p, n_of = lm.train(kept, v), {r.h: r.n for r in counts.collect()}
+    want = []
+    for i, text in rows:
+        w = Words(pa.array([text or ""], pa.large_string()))
+        t = lm.tokens(w, v)
+        score = lm.log_probabilities(p, t).sum() / math.log(10)
+        for h, klass, common in zip(w.hashes.view(np.int64).tolist(), t.classes, t.common):
+            score += 0 if klass < 0 or common else math.log10(n_of.get(h, 0) + 0.1) - v.tree.log_rest[klass]
+        want.append((i, score))
+    assert [i for i, _ in got] == [i for i, _ in sorted(want)] and [s for _, s in got] == pytest.approx([s for _, s in sorted(want)], rel=1e-4, abs=1e-3)
+
+
+def test_very_long_texts(spark):
+    rows = [(k, f"a{k} b c " * 20) for k in range(40)] + [(100, "word " * 300_000), (101, "x" * 1_000_000), (102, "\n" * 1_000_000)]
+    got = {r.doc_id: r for r in lm.score_documents(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect()}
+    assert got[100].n_tokens == 300_001 and got[101].n_tokens == 2 and got[102].n_tokens == 1 and all(np.isfinite(r.score) for r in got.values())
