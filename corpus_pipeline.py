@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.bpe import encode_documents
-from llm.decontamination import find_leaks, without_leaks
+from llm.decontamination import without_leaking_texts
 from llm.frames import stored, table
 from llm.near_dup import one_of_each
 from llm.pii import with_pseudonyms
@@ -26,8 +26,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, edited or not, go."""
-    return without_leaks(docs, find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    """Documents whose own text holds a benchmark item, edited or not, go; ids play no part."""
+    return without_leaking_texts(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
