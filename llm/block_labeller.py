@@ -7,37 +7,36 @@ lengths; both directions of the recurrence see the page's whole block sequence.
 from __future__ import annotations
 
 import math
-import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-from llm.html_blocks import Block
+from llm.html_blocks import STEP_BITS, Block, step
 from llm.words import PUNCTUATION, Words
 
-_BITS, _PATH, _WORD, _PLAIN, _HIDDEN = 12, 16, 6, 6, 20
+_BITS, _PATH, _WORD, _PLAIN, _HIDDEN = 14, 16, 12, 6, 20
 _INPUT = _PATH + _WORD + _PLAIN
 
 
-@lru_cache(50_000)
-def _path_ids(path: tuple[str, ...]) -> np.ndarray:
-    """Hashes of the steps; repeated steps count once, and the last element also as a leaf."""
-    last = next((s for s in reversed(path) if s[0] != "."), "")
-    return np.array(sorted({zlib.crc32(s.encode()) >> (32 - _BITS) for s in [*path, "leaf " + last]}), np.int64)
+@lru_cache(20_000)
+def _path_ids(steps: int, leaf: str) -> np.ndarray:
+    """The hashes of the steps, and the last element also as a leaf."""
+    bits = np.unpackbits(np.frombuffer(steps.to_bytes((1 << STEP_BITS) // 8, "little"), np.uint8), bitorder="little")
+    return np.append(np.flatnonzero(bits), step("leaf " + leaf))
 
 
 def encode(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Flat path ids and their counts by block, flat word ids and theirs, and plain features, of all blocks in order."""
     blocks = [b for page in pages for b in page]
-    paths = [_path_ids(b.path) for b in blocks]
+    paths = [_path_ids(b.steps, b.leaf) for b in blocks]
     w = Words(pa.array([b.text for b in blocks], pa.large_string()), PUNCTUATION)
     plain = np.zeros((len(blocks), _PLAIN), np.float32)
     k = 0
     for page in pages:
         for i, b in enumerate(page):
             n = len(b.text)
-            plain[k] = (math.log1p(n) / 6, min(1.0, b.link_chars / n), i / len(page), math.log1p(len(page)) / 5, b.text[-1] in ".!?", len(b.path) / 20)
+            plain[k] = (math.log1p(n) / 6, min(1.0, b.link_chars / n), i / len(page), math.log1p(len(page)) / 5, b.text[-1] in ".!?", b.depth / 20)
             k += 1
     word_ids = (w.hashes >> np.uint64(64 - _BITS)).astype(np.int64)
     return np.concatenate(paths) if paths else np.zeros(0, np.int64), np.array([len(p) for p in paths], np.int64), word_ids, np.diff(w.at), plain
@@ -66,7 +65,7 @@ class Labeller:
     def fresh(cls, seed: int) -> Labeller:
         rng = np.random.default_rng(seed)
         normal = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
-        p = {"path": normal(0.5, 1 << _BITS, _PATH), "word": normal(0.1, 1 << _BITS, _WORD), "out": normal(0.2, 2 * _HIDDEN), "c": np.zeros(1, np.float32)}
+        p = {"path": normal(0.5, 1 << STEP_BITS, _PATH), "word": normal(0.1, 1 << _BITS, _WORD), "out": normal(0.2, 2 * _HIDDEN), "c": np.zeros(1, np.float32)}
         for d in "01":
             p |= {f"x{d}": normal(0.2, _INPUT, 4 * _HIDDEN), f"h{d}": normal(0.15, _HIDDEN, 4 * _HIDDEN), f"b{d}": np.zeros(4 * _HIDDEN, np.float32)}
             p[f"b{d}"][_HIDDEN : 2 * _HIDDEN] = 1  # remember at first
@@ -156,8 +155,8 @@ class Labeller:
         return out
 
 
-def train(pages: list[list[Block]], labels: list[list[int]], epochs: int = 10, batch: int = 24, rate: float = 0.01, seed: int = 0) -> Labeller:
-    """Adam on the blocks' log-loss, at a falling rate. Path steps are dropped at random, so that no single name decides."""
+def train(pages: list[list[Block]], labels: list[list[int]], epochs: int = 10, batch: int = 48, rate: float = 0.015, seed: int = 0) -> Labeller:
+    """Adam on the blocks' log-loss, at a falling rate. Path steps and words are dropped at random, so that no single one decides."""
     model = Labeller.fresh(seed)
     rng = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in model.p.items()}
@@ -172,6 +171,10 @@ def train(pages: list[list[Block]], labels: list[list[int]], epochs: int = 10, b
             stays = rng.random(len(path_ids)) > 0.05
             owner = np.repeat(np.arange(len(path_n)), path_n)
             path_ids, path_n = path_ids[stays], np.bincount(owner[stays], minlength=len(path_n))
+            # All words of a fifth of the blocks go: where the structure is clear it has to do without them.
+            owner = np.repeat(np.arange(len(word_n)), word_n)
+            stays = (rng.random(len(word_n)) > 0.2)[owner]
+            word_ids, word_n = word_ids[stays], np.bincount(owner[stays], minlength=len(word_n))
             encoded = (path_ids, path_n, word_ids, word_n, plain)
             flat = model.inputs(encoded)
             counts = [len(p) for p in chosen]
@@ -184,12 +187,12 @@ def train(pages: list[list[Block]], labels: list[list[int]], epochs: int = 10, b
             g, dx = model.gradients(x, mask, y)
             dflat = np.concatenate([dx[: counts[j], j] for j in range(len(group))])
             for key, ids, n, part in (("path", path_ids, path_n, dflat[:, :_PATH]), ("word", word_ids, word_n, dflat[:, _PATH : _PATH + _WORD])):
-                g[key] = np.zeros_like(model.p[key])
-                np.add.at(g[key], ids, np.repeat(part / np.maximum(n, 1)[:, None], n, 0))
+                each = np.repeat(part / np.maximum(n, 1)[:, None], n, 0)
+                g[key] = np.stack([np.bincount(ids, each[:, k], len(model.p[key])) for k in range(each.shape[1])], 1)
             step += 1
             slower = rate * (1.05 - step / steps_in_all)  # to a twentieth
             for key, v in g.items():
-                pace = slower * (0.1 if key == "word" else 1)  # words are many and tell little
+                pace = slower * (0.25 if key == "word" else 1)  # words are many, and most tell nothing
                 first[key] += 0.1 * (v - first[key])
                 second[key] += 0.01 * (v**2 - second[key])
                 model.p[key] -= (pace * (first[key] / (1 - 0.9**step)) / (np.sqrt(second[key] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)

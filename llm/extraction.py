@@ -28,10 +28,11 @@ def extract_text(pages: DataFrame, model: Labeller, id_col: str = "page_id", url
 
     text joins the blocks labelled as main text by one line end; a null or empty page, or one without
     main text, gives the empty string. Character references are decoded and white space inside a block
-    is one space; nothing else of a kept block changes. Equal rows give equal rows; other columns of
+    is one space; nothing else of a kept block changes. A very long, deep or broken page is read whole, in
+    time linear in its length; a tag that never ends takes the rest of its page. Equal rows give equal rows; other columns of
     pages play no part.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(model.p)  # fixed size, under 1 MB
+    shared = pages.sparkSession.sparkContext.broadcast(model.p)  # fixed size, about 1 MB
     kinds = dict(pages.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
