@@ -243,9 +243,3 @@ def without_leaking_texts(docs: DataFrame, benchmark: DataFrame, threshold: floa
     found = find_leaks(docs.select(digest.alias("_digest"), docs[text_col].alias("text")), benchmark, threshold, "_digest", "text")
     leaking = stored(found.select("_digest").distinct(), "leaking")
     return docs.withColumn("_digest", digest).join(broadcast_if_few(leaking), "_digest", "left_anti").select(docs.columns)
-
-
-def without_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of docs whose id has no leak, rows with a null id among them."""
-    ids = stored(leaks.select(id_col).distinct(), "leaking")
-    return docs.join(broadcast_if_few(ids), id_col, "left_anti").select(docs.columns)

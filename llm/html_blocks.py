@@ -121,6 +121,10 @@ class _Page:
         self.silent += name in SILENT
         self.foreign += name in ("svg", "math")
 
+    def within_silent(self) -> bool:
+        """Whether a silent element is open that has an end tag."""
+        return self.silent > len(self.open_ended)
+
     def has_end(self, name: str, at: int) -> bool:
         """Whether the page closes an element that opens before at."""
         if name not in self.last_end:
@@ -148,9 +152,10 @@ class _Page:
         open_ended = name in SILENT and name not in ("script", "style", "head", "option") and not self.has_end(name, at) or name == "option" and not self.open.get("select")
         if open_ended and closed:  # written as an empty element
             return at
-        if name not in FLOW and self.walls and stack[self.walls[-1]].name == "p":
+        within = self.within_silent()  # where elements mean nothing to those outside
+        if name not in FLOW and not within and self.walls and stack[self.walls[-1]].name == "p":
             self.pop_to(self.walls[-1])  # a block tag ends an open paragraph, and with it the inline elements left open there
-        if any(self.open.get(x) for x in _CLOSES.get(name, ())):
+        if not within and any(self.open.get(x) for x in _CLOSES.get(name, ())):
             for k in reversed(self.walls):
                 if stack[k].name in _CLOSES[name]:
                     self.pop_to(k)
@@ -186,7 +191,7 @@ class _Page:
             at, name = m.end(), m["name"].lower()
             if name in ("br", "hr"):
                 self.parts.append(" ")
-            if name not in FLOW:
+            if name not in FLOW and not self.within_silent():
                 self.close_block()
                 if self.open_ended:  # a silent element without an end tag lasts to the next block at most
                     self.pop_to(self.open_ended[0])

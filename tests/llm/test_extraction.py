@@ -103,7 +103,9 @@ def test_silent_elements_without_end_tags(page, texts):
         ("a <select><option>x<option>y</select>b <textarea>no</textarea>c", ["a b c"]),
         ("<p>x<!-- <p>no</p> --> y <!doctype z> z</ p>w<?php no ?>", ["x y zw"]),
         ("1 < 2 & 3 > 2 &lt;b&gt; &#233;&eacute;", ["1 < 2 & 3 > 2 <b> \u00e9\u00e9"]),
-        ("<p>kept</p><a href='never closed <p>lost", ["kept"]),
+        ("<p>kept</p><a href='never closed <p>text", ["kept", "text"]),
+        ("<p>kept</p><a href=x never closed", ["kept"]),
+        ("<p>a <noscript><p>no</p><li>no</li></noscript> b</p>", ["a b"]),
         ("<script>if (a < b) '</p>'</script >text", ["text"]),
     ],
 )
