@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -10,13 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: Quotes and dashes and what they become (fixed values).
-SMART = "‘’‚‛“”„–—−"
-PLAIN = "''''\"\"\"---"
+SMART = "‘’“”–—−"
+PLAIN = "''\"\"---"
 #: Query parameters that don't belong to an address (fixed values).
-TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid", "utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term", "ref")
-#: Accented letters and their base letters, for addresses of pages (fixed values).
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-BASE = "aaaaaaceeeeiiiinooooouuuuyy"
+TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid", "mc_cid", "mc_eid")
 
 
 def collapsed(text: Column) -> Column:
@@ -25,20 +23,41 @@ def collapsed(text: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def compatible_fold(text: pd.Series) -> pd.Series:
-    """NFKC and full case folding, which have no built-in."""
-    return text.map(lambda t: unicodedata.normalize("NFKC", t).casefold(), na_action="ignore")
+def _compatible(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def _folded(text: pd.Series) -> pd.Series:
+    return text.map(str.casefold, na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def _bare(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)), na_action="ignore")
+
+
+def _beyond_ascii(f, text: Column, ascii_form: Column) -> Column:
+    """f where a text has characters beyond ASCII; Python workers are sent nulls for all others."""
+    wide = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    return F.coalesce(f(wide), ascii_form)
 
 
 def normalised(text: Column) -> Column:
-    """Compatibility form, plain quotes and dashes, case folded, white space collapsed."""
-    return collapsed(compatible_fold(F.translate(F.coalesce(text, F.lit("")), SMART, PLAIN)))
+    """Compatibility form (NFKC), then plain quotes and dashes, case folded, white space collapsed; null as empty."""
+    text = F.coalesce(text, F.lit(""))
+    plain = F.translate(_beyond_ascii(_compatible, text, text), SMART, PLAIN)
+    return collapsed(_beyond_ascii(_folded, plain, F.lower(plain)))
 
 
-def slug(text: Column, fallback: str = "item") -> Column:
-    """Lower-case letters and digits joined by hyphens."""
-    ascii_ = F.translate(F.lower(F.coalesce(text, F.lit(""))), ACCENTED, BASE)
-    return F.coalesce(F.nullif(F.regexp_replace(F.regexp_replace(ascii_, "[^a-z0-9]+", "-"), "^-+|-+$", ""), F.lit("")), F.lit(fallback))
+def slug(text: Column, fallback: str = "item", max_length: int | None = None) -> Column:
+    """Lower-case ASCII letters and digits joined by hyphens, marks off their letters (NFKD); the first max_length characters if given."""
+    plain = normalised(text)
+    joined = F.regexp_replace(_beyond_ascii(_bare, plain, plain), "[^a-z0-9]+", "-")
+    out = F.regexp_replace(joined, "^-+|-+$", "")
+    if max_length is not None:
+        out = F.regexp_replace(F.left(out, F.lit(max_length)), "-+$", "")
+    return F.coalesce(F.nullif(out, F.lit("")), F.lit(fallback))
 
 
 def host(url: Column) -> Column:
@@ -46,15 +65,27 @@ def host(url: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1)), r"^www\.", "")
 
 
+def _quoted(part: Column) -> Column:
+    """A name or value of a query, decoded where it can be and encoded again: spaces as plus, ~ and _.- as they are."""
+    plain = F.coalesce(F.try_url_decode(part), part)
+    return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, without www, fragment, tracking parameters and closing slashes."""
-    bare = F.regexp_replace(F.trim(url), "#.*$", "")
+    """Scheme (https, if none) and host in lower case, without www, fragment, tracking parameters and closing slashes.
+
+    Ports stay, and so does a path of nothing but slashes. Null gives the empty string.
+    """
+    bare = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), "#.*$", "")
     full = F.when(bare.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), bare).otherwise(F.concat(F.lit("https://"), bare))
-    scheme = F.lower(F.regexp_extract(full, "^([^:]+)://", 1))
-    path = F.regexp_replace(F.regexp_extract(full, r"^[^:]+://[^/?]+([^?]*)", 1), "/+$", "")
-    parameters = F.filter(F.split(F.regexp_extract(full, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(F.regexp_extract(p, "^([^=]*)", 1)).isin(*TRACKING))
-    joined = F.array_join(parameters, "&")
-    return F.concat(scheme, F.lit("://"), host(full), path, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(""))
+    place = F.regexp_replace(F.lower(F.regexp_extract(full, r"^[^:]+://([^/?]*)", 1)), r"^www\.", "")
+    path = F.regexp_extract(full, r"^[^:]+://[^/?]*([^?]*)", 1)
+    cut = F.regexp_replace(path, "/+$", "")
+    parts = F.filter(F.split(F.regexp_extract(full, r"\?(.*)$", 1), "&"), lambda p: p != "")
+    pairs = F.transform(parts, lambda p: F.struct(_quoted(F.regexp_extract(p, "^([^=]*)", 1)).alias("k"), _quoted(F.regexp_extract(p, "=(.*)$", 1)).alias("v")))
+    query = F.array_join(F.transform(F.filter(pairs, lambda x: ~F.lower(x["k"]).isin(*TRACKING)), lambda x: F.concat(x["k"], F.lit("="), x["v"])), "&")
+    address = F.concat(F.lower(F.regexp_extract(full, "^([^:]+)://", 1)), F.lit("://"), place, F.when(cut == "", path).otherwise(cut), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(bare == "", "").otherwise(address)
 
 
 def excerpt(text: Column, limit: int) -> Column:
@@ -70,17 +101,61 @@ def context(text: Column, position: Column, length: int, width: int) -> Column:
 
 
 def strip_tags(html: Column) -> Column:
-    """Text of HTML by patterns: silent elements dropped, block ends as line ends, common references decoded."""
-    t = F.regexp_replace(html, r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|section|article)>", "\n"), r"<[^>]+>", "")
+    """Text of HTML by patterns: scripts and styles and all other tags a space, block ends line ends, common references decoded, empty lines gone."""
+    t = F.regexp_replace(html, r"(?is)<(script|style).*?</\1>", " ")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr)>", "\n"), r"<[^>]+>", " ")
     for reference, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         t = F.replace(t, F.lit(reference), F.lit(char))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t]+", " "), r" ?\n[ \n]*", "\n"))
+    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[ \t]+", " "), r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+
+
+def evidence_hash(text: Column) -> Column:
+    """The digest of a text in lower case with white space collapsed."""
+    return F.sha2(F.lower(collapsed(text)), 256)
+
+
+def cropped(text: Column, start: str | None, end: str | None) -> Column:
+    """A text from the first start marker on, then up to the first end marker that doesn't begin it; a marker that isn't there cuts nothing."""
+    if start:
+        at = F.instr(F.lower(text), start.lower())
+        text = F.when(at > 0, F.substring(text, at, F.char_length(text))).otherwise(text)
+    if end:
+        at = F.instr(F.lower(text), end.lower())
+        text = F.when(at > 1, F.substring(text, F.lit(1), at - 1)).otherwise(text)
+    return text
+
+
+def sentence_around(text: Column, word: str, limit: int = 520) -> Column:
+    """What surrounds the first mention of a word within its sentence, else the text's beginning."""
+    flat = collapsed(text)
+    quoted = re.sub(r"([^A-Za-z0-9 ])", r"\\\1", word)
+    found = F.regexp_extract(flat, rf"(?i)[^.?!]{{0,180}}{quoted}[^.?!]{{0,240}}[.?!]?", 0)
+    return F.left(F.when(found != "", F.trim(found)).otherwise(flat), F.lit(limit))
+
+
+def place_of(text: Column, state: Column, country: str = "Australia") -> Column:
+    """The place that a heading is about: without years, brackets, the state and the country, up to a dash, colon or comma; else the state, else the country."""
+    t = F.regexp_replace(F.regexp_replace(text, r"\b(1[7-9][0-9]{2}|20[0-9]{2})\b", ""), r"\([^)]*\)", "")
+    t = F.when(F.coalesce(state, F.lit("")) != "", F.regexp_replace(t, F.concat(F.lit(r"(?i)\b\Q"), state, F.lit(r"\E\b")), F.lit(""))).otherwise(t)
+    t = F.replace(F.regexp_replace(t, rf"(?i)\b{country}\b", ""), F.lit("&amp;"), F.lit("&"))
+    t = F.trim(F.regexp_replace(F.regexp_extract(t, r"(?s)^(.*?)(?:\s+-\s+|\s+:|$)", 1), r"^[ ,.-]+|[ ,.-]+$", ""))
+    return F.coalesce(F.nullif(collapsed(F.regexp_extract(t, "^([^,]*)", 1)), F.lit("")), F.nullif(state, F.lit("")), F.lit(country))
+
+
+def place_state_year(title: Column, states: dict[str, str], unwanted: tuple[str, ...]) -> Column:
+    """struct<place, state, year> of a title "place, state year", the state by name or code; null for others and for places that hold an unwanted word."""
+    t = collapsed(title)
+    names = "|".join(sorted([*states, *states.values()], key=len, reverse=True))
+    pattern = rf"(?i)^([A-Za-z][A-Za-z0-9'&./ -]{{2,80}}?),\s*({names})\s+([0-9]{{4}})$"
+    place, state = F.trim(F.regexp_extract(t, pattern, 1)), F.upper(F.regexp_extract(t, pattern, 2))
+    codes = F.create_map(*[F.lit(x) for name, code in states.items() for x in (name.upper(), code)])
+    known = F.struct(place.alias("place"), F.coalesce(F.element_at(codes, state), state).alias("state"), F.regexp_extract(t, pattern, 3).cast("int").alias("year"))
+    return F.when((place != "") & ~F.lower(place).rlike("|".join(unwanted)), known)
 
 
 def title_tokens(text: Column, stop: tuple[str, ...] = ("a", "an", "and", "in", "of", "on", "the", "to")) -> Column:
-    """Distinct lower-case words of a title but for the most common ones, sorted."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("([a-z0-9]+)"), 1)
+    """Distinct words of a title, normalised, but for the most common ones, sorted."""
+    words = F.regexp_extract_all(normalised(text), F.lit("([a-z0-9]+)"), 1)
     return F.array_sort(F.array_except(F.array_distinct(words), F.array(*map(F.lit, stop))))
 
 

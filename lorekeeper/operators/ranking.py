@@ -37,6 +37,13 @@ def even_positions(n: Column, count: int) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.bround(i * step, 0).cast("long")))
 
 
+def spread(df: DataFrame, order: list[str], count: int) -> DataFrame:
+    """count rows spread evenly over a total order, first and last included; all rows where there are no more."""
+    at = numbered(df, order, "_slot")
+    wanted = df.agg(F.count("*").alias("n")).select(F.explode(F.when(F.col("n") > count, even_positions(F.col("n"), count)).otherwise(F.sequence(F.lit(0), F.greatest(F.col("n") - 1, F.lit(0))))).alias("_slot"))
+    return at.join(F.broadcast(wanted), "_slot", "left_semi").drop("_slot")  # count rows at most
+
+
 def top_label(df: DataFrame, key: str, label: str) -> DataFrame:
     """The most frequent label of each key, the smaller label on a tie."""
     counted = df.where(F.col(label).isNotNull()).groupBy(key, label).agg(F.count("*").alias("_n"))

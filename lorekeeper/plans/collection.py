@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from lorekeeper.operators.periods import band_of
+from lorekeeper.operators.ranking import spread
 from lorekeeper.operators.sequential import first_by_either, term_windows
 from lorekeeper.registry import query
 from lorekeeper.sources.archive import BANDS, Archive
@@ -41,10 +42,13 @@ def page_places(a: Archive) -> DataFrame:
     return p.select("page_id", F.col("x.place").alias("place"), F.coalesce("x.override", "host").alias("label"))
 
 
-@query("SELECT year, CAST(min(record_id) AS BIGINT) AS first_record, CAST(count(*) AS BIGINT) AS n FROM public_records WHERE year IS NOT NULL GROUP BY year")
+@query(
+    """WITH o AS (SELECT record_id, year, row_number() OVER (ORDER BY COALESCE(year, 9999), record_id) - 1 AS slot, count(*) OVER () AS n FROM public_records)
+    SELECT record_id, year FROM o WHERE slot IN (SELECT CAST(round_even(i * (n - 1) / 39.0, 0) AS BIGINT) FROM (SELECT unnest(generate_series(0, 39)) AS i) CROSS JOIN (SELECT count(*) AS n FROM public_records))"""
+)
 def spread_select(a: Archive) -> DataFrame:
-    """One record a year: the spread selection where there are no more years than places."""
-    return a.public_records.where("year is not null").groupBy("year").agg(F.min("record_id").alias("first_record"), F.count("*").alias("n"))
+    """Forty records spread evenly over the order of years, undated ones last."""
+    return spread(a.public_records.select("record_id", "year", F.coalesce("year", F.lit(9999)).alias("_year")), ["_year", "record_id"], 40).select("record_id", "year")
 
 
 @query("SELECT COALESCE(band, CASE WHEN year IS NULL THEN 'undated' ELSE 'outside_scope' END) AS band, min(record_id) AS first_record, count(*) AS mapped FROM public_records LEFT JOIN bands ON year BETWEEN first_year AND last_year WHERE record_id IN (SELECT record_id FROM record_places WHERE relation = 'R') GROUP BY 1")

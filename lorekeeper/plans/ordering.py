@@ -33,16 +33,16 @@ def primary_alias(a: Archive) -> DataFrame:
     return first_by(a.figures, ["figure"], [F.desc("tier"), F.desc(F.char_length("label")), "label", "figure_id"]).select("figure", F.col("label").alias("alias"))
 
 
-@query("SELECT record_id, year FROM public_records ORDER BY COALESCE(year, 9999), record_id LIMIT 500")
+@query("SELECT record_id, year FROM public_records ORDER BY COALESCE(year, 9999), record_id")
 def undated_last(a: Archive) -> DataFrame:
-    return a.public_records.select("record_id", "year").orderBy(F.coalesce("year", F.lit(9999)), "record_id").limit(500)
+    return a.public_records.select("record_id", "year").orderBy(F.coalesce("year", F.lit(9999)), "record_id")
 
 
-@query("SELECT source_id, source_type, n FROM (SELECT source_id, NULLIF(source_type, '') AS source_type, count(record_id) AS n FROM sources LEFT JOIN public_records USING (source_id) GROUP BY 1, 2) ORDER BY source_type ASC NULLS FIRST, n DESC, source_id LIMIT 200")
+@query("SELECT source_id, source_type, n FROM (SELECT source_id, NULLIF(source_type, '') AS source_type, count(record_id) AS n FROM sources LEFT JOIN public_records USING (source_id) GROUP BY 1, 2) ORDER BY source_type ASC NULLS FIRST, n DESC, source_id")
 def nulls_first_sort(a: Archive) -> DataFrame:
     n = a.public_records.groupBy("source_id").agg(F.count("*").alias("n"))
     out = a.sources.select("source_id", F.nullif("source_type", F.lit("")).alias("source_type")).join(n, "source_id", "left").na.fill(0, ["n"])
-    return out.orderBy(F.asc_nulls_first("source_type"), F.desc("n"), "source_id").limit(200)
+    return out.orderBy(F.asc_nulls_first("source_type"), F.desc("n"), "source_id")
 
 
 @query(
@@ -76,11 +76,10 @@ def diversity_sample(a: Archive) -> DataFrame:
     return passes.groupBy("record_id").agg(F.min("pass").alias("pass")).orderBy("pass", "record_id").limit(60)
 
 
-@query("SELECT count(*) AS n, count(DISTINCT record_id) AS records FROM (SELECT record_id FROM public_records ORDER BY md5('7:' || CAST(record_id AS VARCHAR)), record_id LIMIT 100)")
+@query("SELECT record_id FROM public_records ORDER BY md5('7:' || CAST(record_id AS VARCHAR)), record_id LIMIT 100")
 def seeded_sample(a: Archive) -> DataFrame:
-    """A repeatable sample by the order of a seeded hash."""
-    pick = a.public_records.select("record_id").orderBy(F.md5(F.concat(F.lit("7:"), F.col("record_id").cast("string")).cast("binary")), "record_id").limit(100)
-    return pick.agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("records"))
+    """A repeatable sample of a hundred rows by the order of a seeded hash."""
+    return a.public_records.select("record_id").orderBy(F.md5(F.concat(F.lit("7:"), F.col("record_id").cast("string")).cast("binary")), "record_id").limit(100)
 
 
 @query("SELECT event_id, event_type FROM (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events) WHERE k <= 25")
@@ -103,13 +102,13 @@ def collision_jitter(a: Archive) -> DataFrame:
     return a.places.select("location_id", slot.cast("long").alias("slot"), crowd.alias("crowd"), F.round(F.when(crowd > 1, 3 * F.sin(slot * 2.399963)).otherwise(0.0), 4).alias("dy"))
 
 
-@query("SELECT source_id, CAST(CASE WHEN n >= 8 THEN 30 ELSE 0 END + CASE WHEN source_type = 'BUILDING' THEN 20 ELSE 0 END + CASE WHEN latest >= 2000 THEN 10 ELSE 0 END - CASE WHEN source_type = '' THEN 15 ELSE 0 END AS INTEGER) AS score FROM (SELECT source_id, source_type, count(record_id) AS n, max(year) AS latest FROM sources LEFT JOIN public_records USING (source_id) GROUP BY 1, 2) ORDER BY score DESC, source_id LIMIT 100")
+@query("SELECT source_id, CAST(CASE WHEN n >= 8 THEN 30 ELSE 0 END + CASE WHEN source_type = 'BUILDING' THEN 20 ELSE 0 END + CASE WHEN latest >= 2000 THEN 10 ELSE 0 END - CASE WHEN source_type = '' THEN 15 ELSE 0 END AS INTEGER) AS score FROM (SELECT source_id, source_type, count(record_id) AS n, max(year) AS latest FROM sources LEFT JOIN public_records USING (source_id) GROUP BY 1, 2) ORDER BY score DESC, source_id")
 def route_rank(a: Archive) -> DataFrame:
     n = a.public_records.groupBy("source_id").agg(F.count("*").alias("n"), F.max("year").alias("latest"))
     j = a.sources.join(n, "source_id", "left")
     bonus = lambda c, x: F.when(c, x).otherwise(0)
     score = bonus(F.col("n") >= 8, 30) + bonus(F.col("source_type") == "BUILDING", 20) + bonus(F.col("latest") >= 2000, 10) - bonus(F.col("source_type") == "", 15)
-    return j.select("source_id", score.alias("score")).orderBy(F.desc("score"), "source_id").limit(100)
+    return j.select("source_id", score.alias("score")).orderBy(F.desc("score"), "source_id")
 
 
 @query("SELECT conv_id, turn, role, prev_role, next_role, CAST(gap AS BIGINT) AS gap FROM (SELECT conv_id, turn, role, lag(role) OVER w AS prev_role, lead(role) OVER w AS next_role, turn - lag(turn) OVER w AS gap FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))")

@@ -35,8 +35,8 @@ def url_host(a: Archive) -> DataFrame:
 
 
 @query(
-    r"""WITH p AS (SELECT page_id, regexp_replace(trim(url), '#.*$', '') AS u FROM pages), q AS (SELECT page_id, u, array_to_string([x FOR x IN string_split(regexp_extract(u, '\?(.*)$', 1), '&') IF x <> '' AND lower(regexp_extract(x, '^([^=]*)', 1)) NOT IN ('fbclid','gclid','mc_cid','mc_eid','utm_campaign','utm_content','utm_medium','utm_source','utm_term','ref')], '&') AS ps FROM p)
-    SELECT page_id, lower(regexp_extract(u, '^([^:]+)://', 1)) || '://' || regexp_replace(lower(regexp_extract(u, '^[^:]+://([^/?#:]+)', 1)), '^www\.', '') || regexp_replace(regexp_extract(u, '^[^:]+://[^/?]+([^?]*)', 1), '/+$', '') || CASE WHEN ps <> '' THEN '?' || ps ELSE '' END AS canonical FROM q"""
+    r"""WITH p AS (SELECT page_id, regexp_replace(trim(url), '#.*$', '') AS u FROM pages), q AS (SELECT page_id, u, regexp_extract(u, '^[^:]+://[^/?]*([^?]*)', 1) AS path, array_to_string([replace(url_encode(url_decode(replace(regexp_extract(x, '^([^=]*)', 1), '+', ' '))), '%20', '+') || '=' || replace(url_encode(url_decode(replace(regexp_extract(x, '=(.*)$', 1), '+', ' '))), '%20', '+') FOR x IN string_split(regexp_extract(u, '\?(.*)$', 1), '&') IF x <> '' AND lower(regexp_extract(x, '^([^=]*)', 1)) NOT IN ('utm_source','utm_medium','utm_campaign','utm_term','utm_content','fbclid','gclid','mc_cid','mc_eid')], '&') AS ps FROM p)
+    SELECT page_id, lower(regexp_extract(u, '^([^:]+)://', 1)) || '://' || regexp_replace(lower(regexp_extract(u, '^[^:]+://([^/?]*)', 1)), '^www\.', '') || CASE WHEN regexp_replace(path, '/+$', '') = '' THEN path ELSE regexp_replace(path, '/+$', '') END || CASE WHEN ps <> '' THEN '?' || ps ELSE '' END AS canonical FROM q"""
 )
 def canonical_url(a: Archive) -> DataFrame:
     return a.table("pages").select("page_id", t.canonical_url(F.col("url")).alias("canonical"))
@@ -52,9 +52,10 @@ def domain_policy(a: Archive) -> DataFrame:
     return found.select("page_id", F.coalesce("policy", F.lit("default")).alias("policy"))
 
 
-@query("SELECT doc_id, sha256(text) AS hash, left(sha256(text), 16) AS short_hash FROM documents")
+@query(r"SELECT doc_id, sha256(c) AS hash, left(sha256(c), 16) AS short_hash, left(sha256(c), 20) AS id_hash FROM (SELECT doc_id, lower(trim(regexp_replace(COALESCE(text, ''), '[\s\x{00A0}\x{2000}-\x{200A}\x{3000}]+', ' ', 'g'))) AS c FROM documents)")
 def evidence_hash(a: Archive) -> DataFrame:
-    return a.table("documents").select("doc_id", F.sha2("text", 256).alias("hash"), F.left(F.sha2("text", 256), F.lit(16)).alias("short_hash"))
+    h = t.evidence_hash(F.col("text"))
+    return a.table("documents").select("doc_id", h.alias("hash"), F.left(h, F.lit(16)).alias("short_hash"), F.left(h, F.lit(20)).alias("id_hash"))
 
 
 @query(r"SELECT doc_id, CASE WHEN length(c) <= 200 THEN c ELSE regexp_replace(substr(c, 1, 200), '\s\S*$', '') || '.' END AS excerpt FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS c FROM documents)")
@@ -79,15 +80,15 @@ def labelled_field(a: Archive) -> DataFrame:
     return a.table("documents").select("doc_id", F.regexp_extract("text", r'(?i)(?:password|token)\s*[:=]\s*"?([A-Za-z0-9]+)', 1).alias("value"))
 
 
-@query("WITH w AS (SELECT doc_id, list_distinct([w FOR w IN regexp_extract_all(lower(substr(text, 1, 120)), '[a-z0-9]+') IF w NOT IN ('a','an','and','in','of','on','the','to')]) AS l FROM documents) SELECT doc_id, array_to_string(list_sort(l), ' ') AS tokens, len(l) AS n FROM w")
+@query("WITH w AS (SELECT item_id, list_distinct([w FOR w IN regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+') IF w NOT IN ('a','an','and','in','of','on','the','to')]) AS l FROM benchmark) SELECT item_id, array_to_string(list_sort(l), ' ') AS tokens, len(l) AS n FROM w")
 def title_tokens(a: Archive) -> DataFrame:
-    """Titles are the first 120 characters here."""
-    tokens = t.title_tokens(F.substring("text", 1, 120))
-    return a.table("documents").select("doc_id", F.array_join(tokens, " ").alias("tokens"), F.size(tokens).cast("long").alias("n"))
+    """Distinct words of the benchmark's items, read as titles."""
+    tokens = t.title_tokens(F.col("text"))
+    return a.table("benchmark").select("item_id", F.array_join(tokens, " ").alias("tokens"), F.size(tokens).cast("long").alias("n"))
 
 
 @query(
-    """WITH x AS (SELECT conv_id, turn, list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM conversations)
+    """WITH x AS (SELECT conv_id, turn, list_distinct(regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[a-z0-9]+')) AS w FROM conversations)
     SELECT a.conv_id, a.turn, round(CASE WHEN len(list_distinct(list_concat(a.w, b.w))) > 0 THEN len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) ELSE 0 END, 6) AS similarity FROM x a JOIN x b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1"""
 )
 def token_jaccard(a: Archive) -> DataFrame:
@@ -105,7 +106,7 @@ def state_from_text(a: Archive) -> DataFrame:
 
 
 @query(
-    r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<!--.*?-->', '', 'g'), '(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|section|article)>', chr(10), 'g'), '<[^>]+>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'))) AS h FROM pages"""
+    r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>', ' ', 'g'), '(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr)>', chr(10), 'g'), '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '[ \t]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10))) AS h FROM pages"""
 )
 def html_strip_tags(a: Archive) -> DataFrame:
     return a.table("pages").select("page_id", F.md5(t.strip_tags(F.col("html")).cast("binary")).alias("h"))

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -36,9 +37,23 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def texts_by_path(spark: SparkSession, folder: str, paths: DataFrame, path_col: str = "path") -> DataFrame:
-    """paths with the text of each file; a missing file has the empty text."""
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_name"), F.col("value").alias("_text"))
-    return paths.join(files, F.element_at(F.split(path_col, "/"), -1) == F.col("_name"), "left").select(*paths.columns, F.coalesce("_text", F.lit("")).alias("text"))
+    """paths, relative to the folder, with the text of each file; a missing file has the empty text."""
+    below = F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), re.escape(folder.rstrip("/")) + "/(.*)$", 1)
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(below.alias("_name"), F.col("value").alias("_text"))
+    return paths.join(files, F.col(path_col) == F.col("_name"), "left").select(*paths.columns, F.coalesce("_text", F.lit("")).alias("text"))
+
+
+def has_table(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    """Whether a folder's table is there and can be read."""
+    return columns_of(spark, sf_dir, name) is not None
+
+
+def columns_of(spark: SparkSession, sf_dir: str, name: str) -> list[str] | None:
+    """The columns of a folder's table, from its footer alone; None where there is no such table."""
+    try:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet").columns
+    except AnalysisException:
+        return None
 
 
 def read_config(path: str, section: str | None = None) -> dict | list:

@@ -39,7 +39,7 @@ def test_years(spark):
 
 def test_canonical_url(spark):
     urls = "HTTPS://WWW.Example.org/a/b/?utm_source=x&id=2&fbclid=1#top", "example.org/", "http://example.org/?ref=1"
-    assert one(spark, t.canonical_url(F.col("v")), *urls) == ["https://example.org/a/b?id=2", "https://example.org", "http://example.org"]
+    assert one(spark, t.canonical_url(F.col("v")), *urls) == ["https://example.org/a/b?id=2", "https://example.org/", "http://example.org/?ref=1"]
 
 
 def test_bands(spark):
@@ -112,3 +112,39 @@ def test_near_titles_against_all_pairs(spark, monkeypatch, tile):
     got = {(r.left, r.right): round(r.score, 9) for r in near_titles(spark.createDataFrame(rows, "id long, title string, year int")).collect()}
     copies = {(i, j) for i, j in got if titles[i] == titles[j]}
     assert (1, 2) in got and {k: v for k, v in got.items() if k not in copies} == {k: v for k, v in want.items() if titles[k[0]] != titles[k[1]]}
+
+
+def test_reference_forms_of_texts(spark):
+    assert one(spark, t.normalised(F.col("v")), "A\ufe58B", "\u201eX\u201d", "STRASSE \u00df") == ["a-b", "\u201ex\"", "strasse ss"]
+    assert one(spark, t.slug(F.col("v")), "\u014ctautahi", "Stra\u00dfe", "\ufb01n") == ["otautahi", "strasse", "fin"]
+    assert one(spark, t.slug(F.col("v"), max_length=6), "abcde fgh", "ab") == ["abcde", "ab"]
+    assert one(spark, t.canonical_url(F.col("v")), "http://Example.org:8080/a//", "http://www.x.org", "http://x.org//", "http://x.org/?q=a b&e&utm_term=1&x=%7e%2A", None, "") == ["http://example.org:8080/a", "http://x.org", "http://x.org//", "http://x.org/?q=a+b&e=&x=~%2A", "", ""]
+    assert one(spark, t.strip_tags(F.col("v")), "<td>a</td><td>b</td>", "<p>x</p><script>no</script>\n<p> y&amp;z </p>") == ["a b", "x\ny&z"]
+    assert one(spark, t.evidence_hash(F.col("v")), " A  b ") == one(spark, F.sha2(F.lit("a b"), 256), "")
+
+
+def test_parts_of_texts(spark):
+    assert one(spark, t.cropped(F.col("v"), "START", "end"), "x start y END z", "end start y", "none") == ["start y ", "start y", "none"]
+    assert one(spark, t.sentence_around(F.col("v"), "Ghost"), "One. A  ghost was seen here! Two.", "nothing") == ["A ghost was seen here!", "nothing"]
+    places = spark.createDataFrame([("Ballarat Gold (1890) Victoria 1901 - notes", "Victoria"), ("Bega, NSW", "NSW"), ("(1999)", ""), ("Victoria", "Victoria"), ("Tom &amp; Co : x", None)], "v string, s string")
+    assert [r[0] for r in places.select(t.place_of(F.col("v"), F.col("s"))).collect()] == ["Ballarat Gold", "Bega", "Australia", "Victoria", "Tom & Co"]
+    found = one(spark, t.place_state_year(F.col("v"), {"Victoria": "VIC", "New South Wales": "NSW"}, ("news",)), "Bega, new south wales 1999", "Ararat, VIC 2001", "Daily News, VIC 2001", "Bega 1999", None)
+    assert [tuple(x) if x else None for x in found] == [("Bega", "NSW", 1999), ("Ararat", "VIC", 2001), None, None, None]
+
+
+def test_visible_lines(spark):
+    from lorekeeper.functions.html import lines_of
+
+    assert lines_of("<p>a <b>b</b></p><table><tr><td>no<table><p>no</table></table>c<br>d<sup>1</sup><script>if (a<b) '</p>'</script> e &amp; f") == "a b\nc\nd e & f"
+    assert lines_of("") == "" and lines_of("<nav>no") == ""
+
+
+def test_texts_by_path(spark, tmp_path):
+    from lorekeeper.sources.readers import columns_of, has_table, texts_by_path
+
+    for folder in ("a", "b c"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x+1.txt").write_text(f"text of {folder}")
+    paths = spark.createDataFrame([("a/x+1.txt",), ("b c/x+1.txt",), ("x+1.txt",)], "path string")
+    assert {tuple(r) for r in texts_by_path(spark, str(tmp_path), paths).collect()} == {("a/x+1.txt", "text of a"), ("b c/x+1.txt", "text of b c"), ("x+1.txt", "")}
+    assert columns_of(spark, "/root/testdata/sf0.001", "region") == ["r_regionkey", "r_name"] and not has_table(spark, str(tmp_path), "region")
