@@ -54,8 +54,11 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         at = to
 
 
-def contained(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """(doc_id, item_id, p) for each row (item_id, name) whose name is in the text of a row (doc_id, text): p is its first place, from 1."""
+def contained(docs: DataFrame, names: DataFrame, words: bool = False) -> DataFrame:
+    """(doc_id, item_id, p) for each row (item_id, name) whose name is in the text of a row (doc_id, text): p is its first place, from 1.
+
+    With ``words`` a name counts only where no letter, digit or underscore touches it.
+    """
     keyed = _keyed(names)
     keys = keyed.select("width", "k").distinct().toArrow()  # twelve bytes for each name
     wanted = {i: np.sort(keys["k"].to_numpy().view(np.uint64)[keys["width"].to_numpy() == i]) for i in range(len(WIDTHS))}
@@ -100,4 +103,5 @@ def contained(docs: DataFrame, names: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     found = docs.select("doc_id", "text").where("text <> ''").mapInArrow(run, f"doc_id {kind}, text string, keys array<long>")
     pairs = found.select("doc_id", "text", F.explode("keys").alias("k")).join(keyed, "k")
-    return pairs.select("doc_id", "item_id", F.expr("instr(text, name)").alias("p")).where("p > 0")
+    place = r"regexp_instr(text, concat('(?<![\\p{L}\\p{N}_])\\Q', name, '\\E(?![\\p{L}\\p{N}_])'))" if words else "instr(text, name)"
+    return pairs.select("doc_id", "item_id", F.expr(place).alias("p")).where("p > 0")

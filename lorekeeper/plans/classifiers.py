@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorekeeper.operators import lexicon as lex
 from lorekeeper.operators.ranking import first_by
 from lorekeeper.operators.rules import described, hits, ladder, mentions
 from lorekeeper.registry import query
@@ -150,3 +151,27 @@ def first_place_wins(a: Archive) -> DataFrame:
     rank = ladder([(F.col("state") == "CHINA", 0), (F.col("state") == "INDIA", 1)], 2)
     j = a.record_places.where("trim(evidence) <> ''").select("record_id", "location_id", "priority").join(a.places.select("location_id", rank.alias("rank")), "location_id")
     return first_by(j, ["record_id"], ["rank", "location_id", "priority"]).select("record_id", "location_id")
+
+
+#: A lexicon as a table: alias_id, alias, kind, figure, priority.
+LEXICON = [(1, "Idiot", "noise_sensitive", "fool", 2), (2, "pathetic", "plain", "mourner", 2), (3, "than", "plain", "giant", 1), (4, "the  of", "historical_descriptor", "title", 3), (5, "und", "plain", "water being", 1), (6, "password", "plain", "keeper", 3)]
+_LEXICON_SQL = "(VALUES (1, 'idiot', 'noise_sensitive', 'fool', 2), (2, 'pathetic', 'plain', 'mourner', 2), (3, 'than', 'plain', 'giant', 1), (4, 'the of', 'historical_descriptor', 'title', 3), (5, 'und', 'plain', 'water being', 1), (6, 'password', 'plain', 'keeper', 3)) v(alias_id, alias, kind, figure, priority)"
+_MATCHES_SQL = rf"SELECT doc_id, toxic, v.*, length(regexp_extract(c, '(?s)^(|.*?[^\p{{L}}\p{{N}}_])' || alias || '($|[^\p{{L}}\p{{N}}_])', 1)) + 1 AS p FROM (SELECT doc_id, lower(trim(regexp_replace(COALESCE(text, ''), '[\s\x{{00A0}}\x{{2000}}-\x{{200A}}\x{{3000}}]+', ' ', 'g'))) AS c FROM documents) LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) USING (doc_id) JOIN {_LEXICON_SQL} ON regexp_matches(c, '(^|[^\p{{L}}\p{{N}}_])' || alias || '($|[^\p{{L}}\p{{N}}_])')"
+_CONFIDENCE_SQL = "CASE WHEN length(alias) <= 4 THEN 'low' WHEN kind IN ('noise_sensitive', 'historical_descriptor') THEN 'medium' ELSE 'high' END"
+
+
+def _lexicon(a: Archive) -> DataFrame:
+    return a.spark.createDataFrame(LEXICON, "alias_id int, alias string, kind string, figure string, priority int")
+
+
+@query(f"WITH m AS ({_MATCHES_SQL}) SELECT doc_id, alias_id, figure, CAST(p AS INTEGER) AS p, CASE WHEN alias = 'the of' THEN 'medium' ELSE {_CONFIDENCE_SQL} END AS confidence FROM m")
+def lexicon_match(a: Archive) -> DataFrame:
+    """All aliases of a lexicon table in all texts, as words."""
+    return lex.matches(a.table("documents"), _lexicon(a)).select("doc_id", "alias_id", "figure", "p", "confidence")
+
+
+@query(f"WITH m AS ({_MATCHES_SQL}), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY priority DESC, length(alias) DESC, alias, alias_id) AS k FROM m) WHERE k = 1) SELECT d.doc_id, COALESCE(figure, 'unmatched') AS figure, CASE WHEN figure IS NULL THEN 'lead_only' WHEN l.toxic = 1 THEN 'requires_review' ELSE 'relevant' END AS relevance, CASE WHEN figure IS NULL THEN 'none' ELSE {_CONFIDENCE_SQL} END AS confidence FROM documents d LEFT JOIN b USING (doc_id) LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) l ON l.doc_id = d.doc_id")
+def lexicon_classify(a: Archive) -> DataFrame:
+    """Figure, relevance and confidence of every text by the best alias of a lexicon table."""
+    flags = a.table("labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return lex.classify(a.table("documents").select("doc_id", "text").join(flags, "doc_id", "left"), _lexicon(a), F.col("toxic") == 1)

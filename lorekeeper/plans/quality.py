@@ -68,32 +68,59 @@ def checks(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 @query(
-    """SELECT 'orders_without_places' AS check_name, count(*) AS failures FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT 'sources_without_records', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-    UNION ALL SELECT 'repeated_place_slots', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL SELECT 'labels_without_document', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)"""
+    """SELECT 'duplicate_record_ids' AS check_name, count(*) AS failures FROM (SELECT 1 FROM records GROUP BY record_id HAVING count(*) > 1) UNION ALL SELECT 'orphan_label_rows', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+    UNION ALL SELECT 'orphan_place_links', count(*) FROM record_places WHERE record_id NOT IN (SELECT record_id FROM records) OR location_id NOT IN (SELECT location_id FROM places) UNION ALL SELECT 'orphan_figure_links', count(*) FROM record_places WHERE figure_id NOT IN (SELECT figure_id FROM figures)
+    UNION ALL SELECT 'vectors_without_document', count(*) FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT 'sources_without_records', count(*) FROM sources WHERE source_id NOT IN (SELECT source_id FROM records)
+    UNION ALL SELECT 'places_of_one_slot', count(*) FROM (SELECT 1 FROM record_places GROUP BY record_id, priority HAVING count(DISTINCT location_id) > 1) UNION ALL SELECT 'records_without_source', count(*) FROM records WHERE source_id NOT IN (SELECT source_id FROM sources)
+    UNION ALL SELECT 'public_without_code', count(*) FROM public_records WHERE trim(COALESCE(code, '')) = '' UNION ALL SELECT 'public_without_date', count(*) FROM public_records WHERE trim(COALESCE(date_text, '')) = '' UNION ALL SELECT 'public_without_place', count(*) FROM public_records WHERE record_id NOT IN (SELECT record_id FROM record_places)
+    UNION ALL SELECT 'public_without_relevance', count(*) FROM public_records WHERE trim(COALESCE(relevance, '')) = '' UNION ALL SELECT 'public_marked_suppressed', count(*) FROM public_records WHERE level = 'restricted_excluded' OR code = 'restricted_excluded' OR relevance = 'scope_excluded'"""
 )
 def structural_audit(a: Archive) -> DataFrame:
-    o, l, c, d = (a.table(n) for n in ("orders", "lineitem", "customer", "documents"))
+    """Thirteen counts of rows that shouldn't be: repeated and orphaned keys, and what public records lack."""
+    r, public, links = a.records, a.public_records, a.record_places
+    orphan = links.join(r.select("record_id"), "record_id", "left_anti").unionByName(links.join(r.select("record_id"), "record_id", "left_semi").select(links.columns).join(a.places.select("location_id"), "location_id", "left_anti"))
+    lacks = lambda c: public.where(F.trim(F.coalesce(c, F.lit(""))) == "")
+    docs = a.table("documents").select("doc_id")
     return checks({
-        "orders_without_places": o.join(l, o["o_orderkey"] == l["l_orderkey"], "left_anti"),
-        "sources_without_records": c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti"),
-        "repeated_place_slots": l.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n")).where("n > 1"),
-        "labels_without_document": a.table("labels").join(d, "doc_id", "left_anti"),
+        "duplicate_record_ids": r.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1"),
+        "orphan_label_rows": a.table("labels").join(docs, "doc_id", "left_anti"),
+        "orphan_place_links": orphan,
+        "orphan_figure_links": links.join(a.figures.select("figure_id"), "figure_id", "left_anti"),
+        "vectors_without_document": a.table("embeddings").select(F.col("vec_id").alias("doc_id")).join(docs, "doc_id", "left_anti"),
+        "sources_without_records": a.sources.join(r.select("source_id"), "source_id", "left_anti"),
+        "places_of_one_slot": links.groupBy("record_id", "priority").agg(F.min("location_id").alias("a"), F.max("location_id").alias("b")).where("a <> b"),
+        "records_without_source": r.join(a.sources.select("source_id"), "source_id", "left_anti"),
+        "public_without_code": lacks("code"),
+        "public_without_date": lacks("date_text"),
+        "public_without_place": public.join(links.select("record_id"), "record_id", "left_anti"),
+        "public_without_relevance": lacks("relevance"),
+        "public_marked_suppressed": public.where(~is_public()),
     })
 
 
 @query(
     """SELECT name, failures = 0 AS passed, failures FROM (SELECT 'unique_record_ids' AS name, count(*) AS failures FROM (SELECT 1 FROM records GROUP BY record_id HAVING count(*) > 1) UNION ALL SELECT 'years_in_scope', count(*) FROM records WHERE year NOT BETWEEN 1995 AND 2001 UNION ALL SELECT 'restricted_in_public', count(*) FROM public_records WHERE level = 'restricted_excluded'
-    UNION ALL SELECT 'contradiction', CAST(0 AS BIGINT) UNION ALL SELECT 'known_sources', count(*) FROM records WHERE source_id NOT IN (SELECT source_id FROM sources) UNION ALL SELECT 'blank_codes', count(*) FROM records WHERE code = '')"""
+    UNION ALL SELECT 'contradiction', CAST(0 AS BIGINT) UNION ALL SELECT 'known_sources', count(*) FROM records WHERE source_id NOT IN (SELECT source_id FROM sources) UNION ALL SELECT 'blank_codes', count(*) FROM records WHERE code = '' UNION ALL SELECT 'unique_sources', count(*) FROM (SELECT 1 FROM sources GROUP BY source_id HAVING count(*) > 1)
+    UNION ALL SELECT 'unique_links', count(*) FROM (SELECT 1 FROM record_places GROUP BY record_id, priority HAVING count(*) > 1) UNION ALL SELECT 'links_with_evidence', count(*) FROM record_places WHERE trim(evidence) = '' UNION ALL SELECT 'mapped_inside_bounds', count(*) FROM places WHERE lat NOT BETWEEN -46 AND -6 OR lon NOT BETWEEN 110 AND 156
+    UNION ALL SELECT 'months_in_year', count(*) FROM records WHERE month NOT BETWEEN 1 AND 12 UNION ALL SELECT 'values_not_negative', count(*) FROM records WHERE value < 0 UNION ALL SELECT 'dates_agree_with_years', count(*) FROM records WHERE year IS NOT NULL AND left(date_text, 4) <> CAST(year AS VARCHAR))"""
 )
 def invariant_checks(a: Archive) -> DataFrame:
-    """Named invariants with their verdicts. 'contradiction' (a column equal to one value and among others) can't fail and reads nothing."""
+    """Thirteen named invariants with their verdicts. 'contradiction' (a column equal to one value and among others) can't fail and reads nothing."""
+    repeated = lambda df, *keys: df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
     out = checks({
-        "unique_record_ids": a.records.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1"),
+        "unique_record_ids": repeated(a.records, "record_id"),
         "years_in_scope": a.records.where(~F.col("year").between(1995, 2001)),
         "restricted_in_public": a.public_records.where("level = 'restricted_excluded'"),
         "contradiction": a.spark.range(0),
         "known_sources": a.records.join(a.sources, "source_id", "left_anti"),
         "blank_codes": a.records.where("code = ''"),
+        "unique_sources": repeated(a.sources, "source_id"),
+        "unique_links": repeated(a.record_places, "record_id", "priority"),
+        "links_with_evidence": a.record_places.where("trim(evidence) = ''"),
+        "mapped_inside_bounds": a.places.where(~(F.col("lat").between(-46, -6) & F.col("lon").between(110, 156))),
+        "months_in_year": a.records.where(~F.col("month").between(1, 12)),
+        "values_not_negative": a.records.where("value < 0"),
+        "dates_agree_with_years": a.records.where("year is not null and left(date_text, 4) <> cast(year as string)"),
     })
     return out.select(F.col("check_name").alias("name"), (F.col("failures") == 0).alias("passed"), "failures")
 
@@ -253,6 +280,39 @@ def promote_candidates(a: Archive) -> DataFrame:
     return report("records", first, "record_id").unionAll(report("mappings", first, "candidate_id")).unionAll(report("second_run", second, "record_id"))
 
 
+@query(
+    """WITH c AS (SELECT page_id, url, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') AS u, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title FROM pages WHERE page_id % 3 <> 0), f AS (SELECT u, min(page_id) AS candidate_id, arg_min(title, page_id) AS title FROM c GROUP BY u)
+    SELECT candidate_id, 1000 + row_number() OVER (ORDER BY candidate_id) AS record_id, 'c' || CAST(candidate_id AS VARCHAR) AS external_id, COALESCE(NULLIF(title, ''), u) AS title, u AS url, 'public_page' AS publicness, left(sha256(u), 16) AS source_item FROM f"""
+)
+def promoted_rows(a: Archive) -> DataFrame:
+    """The records, mappings and source items that accepted candidates become: one row each, with ids after those that are there."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    accepted = a.table("pages").where("page_id % 3 <> 0").select("page_id", plain_url().alias("u"), title.alias("title"))
+    candidates = accepted.groupBy("u").agg(F.min("page_id").alias("candidate_id"), F.min_by("title", "page_id").alias("title"))
+    existing = a.spark.createDataFrame([(1000,)], "record_id long")
+    rows = merge.numbered_after(existing, candidates, "record_id", ["candidate_id"])
+    told = F.coalesce(F.nullif("title", F.lit("")), "u")
+    return rows.select("candidate_id", "record_id", F.concat(F.lit("c"), F.col("candidate_id").cast("string")).alias("external_id"), told.alias("title"), F.col("u").alias("url"), F.lit("public_page").alias("publicness"), F.left(F.sha2("u", 256), F.lit(16)).alias("source_item"))
+
+
+@query(
+    """SELECT 'source_items' AS entity, source_id AS parent, date_text AS value, min(record_id) AS first_record FROM records GROUP BY 2, 3 UNION ALL SELECT 'narratives', source_id, relevance, record_id FROM public_records UNION ALL SELECT 'exclusions', source_id, level, record_id FROM records WHERE record_id NOT IN (SELECT record_id FROM public_records)
+    UNION ALL SELECT 'labels', record_id, code, record_id FROM public_records WHERE code <> '' UNION ALL SELECT 'mappings', record_id, 'r' || record_id, record_id FROM records"""
+)
+def migrated_rows(a: Archive) -> DataFrame:
+    """Flat records taken apart into the normalised relations: source items, narratives, exclusions, labels and mappings, as rows."""
+    rows = lambda df, entity, parent, value: df.select(F.lit(entity).alias("entity"), F.col(parent).cast("long").alias("parent"), value.alias("value"), F.col("record_id").alias("first_record"))
+    items = a.records.groupBy("source_id", "date_text").agg(F.min("record_id").alias("record_id"))
+    parts = [
+        rows(items, "source_items", "source_id", F.col("date_text")),
+        rows(a.public_records, "narratives", "source_id", F.col("relevance")),
+        rows(a.records.where(~is_public()), "exclusions", "source_id", F.col("level")),
+        rows(a.public_records.where("code <> ''"), "labels", "record_id", F.col("code")),
+        rows(a.records, "mappings", "record_id", F.concat(F.lit("r"), F.col("record_id").cast("string"))),
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query(
     """SELECT 'source_items' AS entity, count(*) AS n FROM (SELECT DISTINCT source_id, date_text FROM records) UNION ALL SELECT 'narratives', count(*) FROM public_records UNION ALL SELECT 'exclusions', count(*) FROM records WHERE record_id NOT IN (SELECT record_id FROM public_records) UNION ALL SELECT 'labels', count(*) FROM (SELECT DISTINCT record_id, code FROM public_records WHERE code <> '')"""
 )

@@ -112,3 +112,37 @@ def test_stream_counts_each_event_once(spark, tmp_path):
     run_available(windowed_counts(event_stream(spark, str(tmp_path / "in"))), str(tmp_path), str(tmp_path / "out"))
     closed = rows(spark.read.parquet(str(tmp_path / "out")))
     assert closed and set(closed) <= set(rows(windowed_counts(batch)))
+
+
+def test_passes_until_targets_are_met():
+    from lorekeeper.operators.decisions import until_met
+
+    found = []
+    step = lambda k: found.append(k) is None and k < 5
+    assert until_met(step, lambda: len(found) >= 3) == 3  # met
+    assert until_met(lambda k: False, lambda: False) == 1  # nothing new
+    assert until_met(lambda k: True, lambda: False, passes=4) == 4  # as many as allowed
+    assert until_met(step, lambda: True) == 0
+
+
+def test_decisions_on_nulls_and_empty_tables(spark):
+    from pyspark.sql import functions as F
+
+    from lorekeeper.operators import decisions as d
+
+    rows = spark.createDataFrame([(None, None, None, None), ("u", "", "", "")], "url string, text string, label string, place string")
+    got = rows.select(d.seed_decision(F.col("url"), F.col("text"), F.col("label"), F.col("place"), F.lit(None).cast("string"), F.lit(True)).alias("s")).select("s.*").collect()
+    assert [tuple(r) for r in got] == [("rejected", "seed_missing_url"), ("accepted", "")]
+    results = spark.sql("select array(named_struct('lat', -30.0, 'lon', 140.0, 'state', 'VIC', 'kind', 'state'), named_struct('lat', -30.0, 'lon', 141.0, 'state', 'Vic', 'kind', cast(null as string))) as r union all select array()")
+    assert [(x.c.result and x.c.result.lon, x.c.reason) for x in results.select(d.choose_result(F.col("r"), F.lit("vic")).alias("c")).collect()] == [(141.0, "accepted"), (None, "no_result")]
+    pages = spark.createDataFrame([], "page_id long, url string, text string")
+    assert d.placed_evidence(pages, spark.createDataFrame([("a", "b")], "place string, alias string"), "x", None).collect() == []
+    assert d.candidate_rows(rows, ["a", "url"], {"url": F.col("url")}, {"a": "1"}).collect() == [("1", ""), ("1", "u")]
+
+
+def test_lexicon_words(spark):
+    from lorekeeper.operators.lexicon import matches
+
+    docs = spark.createDataFrame([(1, "The Drop\n Bear's claw; bears"), (2, "xbear bear_ BEAR"), (3, None), (4, "")], "doc_id long, text string")
+    lexicon = spark.createDataFrame([(1, "drop bear", "plain"), (2, "bear", "plain"), (3, "", "plain"), (4, "BEARS", "noise_sensitive")], "alias_id int, alias string, kind string")
+    assert sorted((r.doc_id, r.alias_id, r.p, r.confidence) for r in matches(docs, lexicon).collect()) == [(1, 1, 5, "high"), (1, 2, 10, "low"), (1, 4, 23, "medium"), (2, 2, 13, "low")]
