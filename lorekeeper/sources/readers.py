@@ -37,10 +37,16 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def texts_by_path(spark: SparkSession, folder: str, paths: DataFrame, path_col: str = "path") -> DataFrame:
-    """paths, relative to the folder, with the text of each file; a missing file has the empty text."""
-    below = F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), re.escape(folder.rstrip("/")) + "/(.*)$", 1)
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(below.alias("_name"), F.col("value").alias("_text"))
-    return paths.join(files, F.col(path_col) == F.col("_name"), "left").select(*paths.columns, F.coalesce("_text", F.lit("")).alias("text"))
+    """paths with the text of each file; a missing file has the empty text.
+
+    A path is relative to the folder, or else begins with the folder's own name.
+    """
+    folder = folder.rstrip("/")
+    below = F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), re.escape(folder) + "/(.*)$", 1)
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(below.alias("_below"), F.col("value").alias("_text"))
+    names = F.posexplode(F.array("_below", F.concat(F.lit(folder.rsplit("/", 1)[-1] + "/"), "_below"))).alias("_rank", "_name")
+    named = files.select("_text", names).groupBy("_name").agg(F.min_by("_text", "_rank").alias("_text"))
+    return paths.join(named, F.col(path_col) == F.col("_name"), "left").select(*paths.columns, F.coalesce("_text", F.lit("")).alias("text"))
 
 
 def has_table(spark: SparkSession, sf_dir: str, name: str) -> bool:
