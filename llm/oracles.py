@@ -30,3 +30,28 @@ e AS (SELECT doc_id, k, kind, keep, unnest(ms) AS x, unnest([list_sum([length(g)
 f AS (SELECT doc_id, k, kind, CAST(s AS BIGINT) AS s, CAST(s AS BIGINT) + length(x) AS z FROM e WHERE regexp_full_match(x, keep)),
 g AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex, count(*) FILTER (WHERE k >= {BASE}) AS n_added, string_agg(kind || ':' || s || ':' || z, ',' ORDER BY s, k) FILTER (WHERE k < {BASE}) AS base, string_agg(kind || ':' || s || ':' || z, ',' ORDER BY s, k) AS spans FROM f GROUP BY doc_id)
 SELECT d.doc_id, COALESCE(n_assign, 0) AS n_assign, COALESCE(n_access, 0) AS n_access, COALESCE(n_hex, 0) AS n_hex, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans, COALESCE(n_added, 0) AS n_added FROM d LEFT JOIN g USING (doc_id)"""
+
+
+def _lloyd(k: int, rounds: int) -> str:
+    """Rounds over all vectors, one common table expression each; sums are floored by an exact division."""
+    nearest = lambda c: f"SELECT a.vec_id, a.v, min_by((a.c, a.d), (a.d, a.c)) AS m FROM (SELECT q.vec_id, q.v, {c}.c, list_sum([(q.v[i] - {c}.v[i]) * (q.v[i] - {c}.v[i]) FOR i IN range(1, 65)])::BIGINT AS d FROM q, {c}) a GROUP BY a.vec_id, a.v"
+    parts = [
+        "q AS MATERIALIZED (SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('3:' || vec_id) AS h, v FROM q ORDER BY h LIMIT {k}))",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS MATERIALIZED ({nearest(f'c{r}')})")
+        parts.append(f"s{r} AS MATERIALIZED (SELECT m[1] AS c, [list_sum([w[i] FOR w IN ws]) FOR i IN range(1, 65)] AS s, len(ws) AS n FROM (SELECT m, list(v) AS ws FROM (SELECT [m[1]] AS m, v FROM a{r}) GROUP BY m))")
+        parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c{r}.c, CASE WHEN n IS NULL THEN v ELSE [(CAST(x AS BIGINT) - ((CAST(x AS BIGINT) % n) + n) % n) // n FOR x IN s] END AS v FROM c{r} LEFT JOIN s{r} ON s{r}.c = c{r}.c)")
+    parts.append(f"f AS MATERIALIZED ({nearest(f'c{rounds}')})")
+    return f"WITH {', '.join(parts)} SELECT f.vec_id, CAST(f.m[1] AS INTEGER) AS cluster, f.m[2] AS distance, CAST(sum(f.m[2]) OVER (PARTITION BY f.m[1]) AS BIGINT) AS cluster_inertia, CAST(sum(f.m[2]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM f JOIN c{rounds} c ON c.c = f.m[1]"
+
+
+OP11 = _lloyd(8, 10)
+
+#: All anchors against all vectors.
+OP13 = """WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""

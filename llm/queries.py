@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.bpe import encode_documents
+from llm.clustering import cluster
 from llm.decontamination import find_leaks
 from llm.embeddings import near_vectors
 from llm.extraction import extract_text, labeller
 from llm.frames import table
+from llm.hard_negatives import hard_negatives
 from llm.language_model import score_documents as score_language
 from llm.near_dup import near_duplicates
-from llm.oracles import OP5, OP6, OP10
+from llm.oracles import OP5, OP6, OP10, OP11, OP13
 from llm.pii import pseudonymise
 from llm.secrets import find_secrets
 from llm.token_counts import count_by_section
@@ -68,6 +70,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html": op2_html,
@@ -79,7 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
+    "op11_clustering": op11_clustering,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: The others are beyond SQL and held against brute force, libraries or held-out accuracy in tests/llm.
-ORACLE_SQL: dict[str, str] = {"op5_near_dup": OP5, "op6_embeddings": OP6, "op10_secrets": OP10}
+ORACLE_SQL: dict[str, str] = {"op5_near_dup": OP5, "op6_embeddings": OP6, "op10_secrets": OP10, "op11_clustering": OP11, "op13_hard_negatives": OP13}
