@@ -14,6 +14,7 @@ from llm.embeddings import near_vectors
 from llm.extraction import extract_text, labeller
 from llm.frames import table
 from llm.hard_negatives import hard_negatives
+from llm.language_id import fit as fit_languages, identify
 from llm.language_model import score_documents as score_language
 from llm.near_dup import near_duplicates
 from llm.oracles import OP5, OP6, OP10, OP11, OP13
@@ -74,6 +75,11 @@ def op11_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit_languages(docs))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_secrets": op10_secrets,
     "op11_clustering": op11_clustering,
+    "op12_language_id": op12_language_id,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
