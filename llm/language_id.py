@@ -156,12 +156,15 @@ def training_sample(docs: DataFrame) -> tuple[list[str], DataFrame]:
     """
     rows = docs.select("text", F.col("lang").cast("string").alias("lang")).where(~held_out(docs["doc_id"])).where("lang is not null").where(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
     known = stored(rows.groupBy("lang", "h").agg(F.count("*").alias("copies"), F.max(F.octet_length("text")).cast("long").alias("n")), "texts")
-    languages = [r["lang"] for r in known.groupBy("lang").agg(F.sum("copies").alias("c")).orderBy(F.desc("c"), "lang").limit(LANGUAGES).collect()]
-    names = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(languages)), "k int, lang string"))  # LANGUAGES rows at most
+    counted = known.groupBy("lang").agg(F.sum("copies").alias("c"), F.count("*").alias("n")).orderBy(F.desc("c"), "lang").limit(LANGUAGES).collect()
+    languages = [r["lang"] for r in counted]
+    # Hashes under a bound that about twice MAX_TEXTS of them keep, so that no language's texts are ranked in one task.
+    bounds = [(k, r["lang"], min(1 << 20, -(-(2 * MAX_TEXTS << 20) // r["n"]))) for k, r in enumerate(counted)]
+    names = F.broadcast(docs.sparkSession.createDataFrame(bounds, "k int, lang string, bound int"))  # LANGUAGES rows at most
     by_hash = Window.partitionBy("k").orderBy("h")
-    some = known.join(names, "lang").select("k", "h", "n").withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= MAX_TEXTS)
+    some = known.join(names, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("bound")).select("k", "h", "n").withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= MAX_TEXTS)
     some = some.withColumn("before", F.sum("n").over(by_hash) - F.col("n")).where(F.col("before") < MAX_BYTES).select("k", "h")
-    picked = rows.join(names, "lang").join(broadcast_if_few(stored(some, "sample")), ["k", "h"]).groupBy("k", "h").agg(F.min("text").alias("text"))
+    picked = rows.join(names.drop("bound"), "lang").join(broadcast_if_few(stored(some, "sample")), ["k", "h"]).groupBy("k", "h").agg(F.min("text").alias("text"))
     return languages, stored(picked.select("k", "text"), "training")
 
 
