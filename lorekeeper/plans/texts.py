@@ -221,7 +221,7 @@ def html_visible_text(a: Archive) -> DataFrame:
 
 @query(None)
 def near_dup_titles(a: Archive) -> DataFrame:
-    """Pairs of like titles of one year (null equals null): all titles of a year are compared, tile by tile."""
+    """Like titles of one year (null equals null): copies with their class, and pairs of classes."""
     from lorekeeper.operators.similar import near_titles
 
     titles = a.figures.select(F.col("figure_id").alias("id"), F.concat_ws(" ", "label", "figure", "cluster").alias("title"), F.col("tier").alias("year"))

@@ -13,7 +13,6 @@ from lorekeeper.functions.html import text_of
 from lorekeeper.operators import periods, similar
 from lorekeeper.operators.contained import contained
 from lorekeeper.operators.sequential import nearest_pair
-from lorekeeper.operators.similar import near_titles
 
 
 def one(spark, column, *values):
@@ -69,12 +68,6 @@ def test_nearest_pair():
     assert nearest_pair("nothing", "Bega", ["ghost"]) is None
 
 
-def test_near_titles(spark):
-    rows = [(1, "A strange hairy man in the bush", None), (2, "Strange hairy man in bush", None), (3, "Quite another title", None), (4, "Strange hairy man in bush", 1990), (5, "Strange hairy man in bush", None)]
-    got = {(r.left, r.right): r.score for r in near_titles(spark.createDataFrame(rows, "id long, title string, year int")).collect()}
-    assert set(got) == {(1, 2), (2, 5)} and got[2, 5] == 1.0 and got[1, 2] >= 0.9
-
-
 @pytest.mark.parametrize("other, low, high", [("Yowie in Queensland", 0.7, 1.0), ("", 0.0, 0.0)])
 def test_token_overlap(spark, other, low, high):
     df = spark.createDataFrame([("The Yowie in Queensland", other)], "a string, b string")
@@ -90,30 +83,6 @@ def test_contained(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("tile", [1024, 20])
-def test_near_titles_against_all_pairs(spark, monkeypatch, tile):
-    monkeypatch.setattr(similar, "TILE", tile)
-    rng = random.Random(5)
-    rows = [(1, "Yowie seen by Bulahdelah", 1990), (2, "Yowie seen by Bulahdela", 1990), (3, "a big yowie near bega", 1990), (4, "the pig yowie near begas", 1990)]
-    for k in range(60):
-        base = " ".join(rng.choice(["yowie", "seen", "near", "bega", "hairy", "man", "bush", f"w{k}"]) for _ in range(rng.randint(2, 12)))
-        for _ in range(3):
-            at = rng.randrange(len(base))
-            rows.append((len(rows) + 1, base[:at] + rng.choice(["", "x", base[at]]) + base[at + 1 :], rng.choice([None, 1990])))
-    titles = {i: (" ".join(x.lower().split()), y) for i, x, y in rows}
-    stop = {"a", "an", "and", "in", "of", "on", "the", "to"}
-    want = {}
-    for (i, (a, y)), (j, (b, z)) in itertools.combinations(titles.items(), 2):
-        ta, tb = (set(re.findall("[a-z0-9]+", x)) - stop for x in (a, b))
-        score = max(SequenceMatcher(None, a, b).ratio(), len(ta & tb) / max(len(ta | tb), 1))
-        first = all(titles[k] != titles[i] for k in range(1, i)) and all(titles[k] != titles[j] for k in range(1, j) if k != i or a != b)
-        if y == z and score >= 0.9 and first:
-            want[i, j] = round(score, 9)
-    got = {(r.left, r.right): round(r.score, 9) for r in near_titles(spark.createDataFrame(rows, "id long, title string, year int")).collect()}
-    copies = {(i, j) for i, j in got if titles[i] == titles[j]}
-    assert (1, 2) in got and {k: v for k, v in got.items() if k not in copies} == {k: v for k, v in want.items() if titles[k[0]] != titles[k[1]]}
-
-
 def test_reference_forms_of_texts(spark):
     assert one(spark, t.normalised(F.col("v")), "A\ufe58B", "\u201eX\u201d", "STRASSE \u00df") == ["a-b", "\u201ex\"", "strasse ss"]
     assert one(spark, t.slug(F.col("v")), "\u014ctautahi", "Stra\u00dfe", "\ufb01n") == ["otautahi", "strasse", "fin"]
