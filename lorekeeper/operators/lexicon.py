@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorekeeper.functions import text as t
-from lorekeeper.operators.contained import contained
+from lorekeeper.operators.gazetteer import first_mentions
 from lorekeeper.operators.ranking import first_by
 from lorekeeper.operators.rules import ladder
 
@@ -26,7 +26,7 @@ def matches(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """
     flat = docs.select("doc_id", F.lower(t.collapsed(F.col("text"))).alias("text"))
     names = lexicon.select(F.col("alias_id").alias("item_id"), F.lower(t.collapsed(F.col("alias"))).alias("name"))
-    found = contained(flat, names, words=True).withColumnRenamed("item_id", "alias_id")
+    found = first_mentions(flat, names, 0).select("doc_id", F.col("item_id").alias("alias_id"), (F.col("start") + 1).alias("p"))
     return found.join(lexicon, "alias_id").withColumn("confidence", confidence(F.col("alias"), F.col("kind")))
 
 

@@ -32,17 +32,6 @@ def term_windows(docs: DataFrame, terms: list[str], width: int = 360, apart: int
     return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInPandas(run, f"id {kind}, term string, start long, end long").withColumnRenamed("id", id_col)
 
 
-def nearest_pair(text: str, place: str, terms: list[str], width: int = 520) -> tuple[int, int] | None:
-    """The window that holds a place and the nearest of some terms."""
-    low = text.lower()
-    at = low.find(place.lower())
-    spots = [m.start() for t in terms for m in re.finditer(re.escape(t.lower()), low)]
-    if at < 0 or not spots:
-        return None
-    near = min(spots, key=lambda s: (abs(s - at), s))
-    return max(0, min(at, near) - width), min(len(text), max(at, near) + width)
-
-
 def first_by_either(df: DataFrame, key_a: list[str], key_b: list[str], order: str) -> DataFrame:
     """Rows kept in order, unless an earlier kept row has their first or their second key.
 

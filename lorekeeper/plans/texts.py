@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorekeeper.functions import text as t
-from lorekeeper.operators.contained import contained
 from lorekeeper.operators.ranking import first_by
 from lorekeeper.registry import query
 from lorekeeper.sources.archive import Archive
@@ -205,12 +204,6 @@ def confidence(alias: str, kind: str) -> str:
     return "low" if len(alias) <= 4 else "medium" if kind in ("noise_sensitive", "historical_descriptor") else "high"
 
 
-@query("SELECT doc_id, item_id, CAST(p AS INTEGER) AS p FROM (SELECT doc_id, item_id, instr(d.text, b.text) AS p FROM documents d JOIN benchmark b ON contains(d.text, b.text)) WHERE p > 0")
-def gazetteer_match(a: Archive) -> DataFrame:
-    """Places named in texts, anywhere and of any length: names and texts meet on hashed beginnings, and are then confirmed, instead of comparing all with all."""
-    return contained(a.table("documents"), a.table("benchmark").select("item_id", F.col("text").alias("name")))
-
-
 @query(None)
 def html_visible_text(a: Archive) -> DataFrame:
     """Visible text of pages by an HTML parser; without an equal in SQL."""
