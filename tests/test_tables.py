@@ -1,12 +1,13 @@
 """Readers, sinks, merges, ordered operators and streams."""
 
 import json
+import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from lorekeeper.operators import merge
+from lorekeeper.operators import graph, merge, sequential
 from lorekeeper.operators.ranking import even_positions, numbered
 from lorekeeper.operators.sequential import first_by_either, term_windows
 from lorekeeper.sources import readers, sinks
@@ -89,15 +90,41 @@ def test_numbered_and_even(spark):
     assert spark.range(1).select(even_positions(F.lit(10), 4)).first()[0] == [0, 3, 6, 9]
 
 
-def test_first_by_either(spark):
-    data = [(k, f"a{k % 7}", f"b{k * 3 % 11}") for k in range(60)]
+def in_order(data):
     kept, a, b = [], set(), set()
-    for k, x, y in data:
+    for k, x, y in sorted(data):
         if x not in a and y not in b:
-            kept.append(k)
+            kept.append((k,))
             a.add(x)
             b.add(y)
-    assert rows(first_by_either(spark.createDataFrame(data, "k long, x string, y string"), ["x"], ["y"], "k").select("k")) == [(k,) for k in kept]
+    return kept
+
+
+@pytest.mark.parametrize("block", [1 << 20, 9])
+def test_first_by_either(spark, monkeypatch, block):
+    monkeypatch.setattr(sequential, "BLOCK", block)
+    rng = random.Random(block)
+    mixed = [(k, f"a{k % 7}", f"b{k * 3 % 11}") for k in range(60)]
+    chain = [(1000 + k, f"c{(k + 1) // 2}", f"c{k // 2}") for k in range(50)]  # each row shares a key with the one before
+    hot = [(2000 + k, "hot", f"h{k % 20}") for k in range(40)] + [(3000 + k, None, f"n{k % 3}") for k in range(6)]
+    loose = [(4000 + rng.randrange(10**6), f"r{rng.randrange(60)}", f"r{rng.randrange(60)}") for _ in range(80)]
+    data = mixed + chain + hot + list({k: (k, x, y) for k, x, y in loose}.values())
+    df = spark.createDataFrame(data, "k long, x string, y string")
+    assert rows(first_by_either(df, ["x"], ["y"], "k").select("k")) == in_order(data)
+
+
+def test_first_by_either_of_a_long_chain(spark):
+    n = 100_000
+    chain = spark.range(n).select("id", F.expr("cast((id + 1) div 2 as string)").alias("x"), F.expr("cast(id div 2 as string)").alias("y"))
+    got = [r.id for r in first_by_either(chain, ["x"], ["y"], "id").select("id").orderBy("id").collect()]
+    assert got == [k for (k,) in in_order([(k, (k + 1) // 2, k // 2) for k in range(n)])]
+    assert first_by_either(chain.limit(0), ["x"], ["y"], "id").count() == 0
+
+
+def test_parts_of_a_graph(spark):
+    edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 140)] + [(200, 200), (300, 301), (301, 300)]
+    got = {r.node: r.part for r in graph.parts(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(31)} | {k: 100 for k in range(100, 140)} | {300: 300, 301: 300}
 
 
 def test_term_windows(spark):
