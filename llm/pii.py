@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 from datetime import date
 from functools import lru_cache
@@ -104,7 +105,7 @@ _MONTH = "(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTH
 _NAMED = rf"(?<![A-Za-z0-9])(?:[0-9]{{1,2}}(?i:st|nd|rd|th)?(?: of)?[ -]{_MONTH},?[ -]|{_MONTH} [0-9]{{1,2}}(?i:st|nd|rd|th)?,? )[0-9]{{4}}(?![A-Za-z0-9])"
 #: One alternative per kind; the first that matches at a place and validates wins.
 PATTERN = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
+    r"(?P<email>(?<!(?u:\w))(?<![.%+-])(?u:[^\W_])(?u:[\w.%+-]*[\w%+-])?@(?u:[^\W_]|-)+(?:\.(?u:[^\W_]|-)+)+)"
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<date>(?<![0-9.])(?:[0-9]{4}(?P<sep>[./-])[0-9]{1,2}(?P=sep)[0-9]{1,2}|[0-9]{1,2}(?P<sep2>[./-])[0-9]{1,2}(?P=sep2)[0-9]{4})(?!\.?[0-9])|" + _NAMED + ")"
     r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9]))"
@@ -116,6 +117,17 @@ PATTERN = re.compile(
 KINDS = ("email", "iban", "date", "ip", "ssn", "phone", "card")
 
 
+@lru_cache(1 << 16)
+def _alphabet(c: str) -> str:
+    """The characters that may stand for c: digits, letters of its case, or, beyond ASCII, those of its category in its 128 code points; none for others."""
+    if c < "\x80":
+        return "" if not c.isalnum() else _DIGITS if c.isdigit() else _LOWER if c.islower() else _UPPER
+    if not c.isalnum():
+        return ""
+    kind, low = unicodedata.category(c), ord(c) & ~127
+    return "".join(x for x in map(chr, range(low, low + 128)) if unicodedata.category(x) == kind)
+
+
 class Pseudonymiser:
     """replace(text) under one key; the same key gives the same pseudonyms anywhere."""
 
@@ -133,13 +145,13 @@ class Pseudonymiser:
         return f"{self.feistel(f'{label}{width}', n)(int(digits), lambda y: valid(f'{y:0{width}d}')):0{width}d}" if width else digits
 
     def characters(self, label: str, s: str) -> str:
-        """Digits stay digits and letters stay letters of their case; other characters stay.
+        """Digits stay digits and letters stay letters of their case and script; other characters stay.
 
         Up to LONG of them are one number of the format's domain. Longer ones are two halves, each of which
         moves character by character by what the other half and the key give: a Feistel network as well,
         and linear in the length.
         """
-        sets = [(_DIGITS if c.isdigit() else _LOWER if c.islower() else _UPPER) if c.isalnum() else "" for c in s]
+        sets = [_alphabet(c) for c in s]
         shape = "".join("." if not a else a[0] for a in sets)
         moved = [(c, a) for c, a in zip(s, sets) if a]
         if len(moved) > LONG:
@@ -202,11 +214,12 @@ class Pseudonymiser:
             if code or "+" not in s:
                 keep = code[1] if code else "1" if len(d) == 11 and d[0] == "1" else ""
             else:
-                keep = d[:2]
+                keep = "1" if d[0] == "1" and len(d) == 11 else d[:2]
             own = d[len(keep) :]
             plan = lambda x: x[0] in "23456789" and x[3] in "23456789"  # noqa: E731  of North America
             valid = plan if len(own) == 10 and keep in ("", "1") and plan(own) else lambda x: (x[0] == "0") == (own[0] == "0")
-            return _laid_out(keep + self.number("phone" + keep + "p" * (valid is plan), own, valid), s)
+            # A number of the North American plan is one number with and without its country's 1.
+            return _laid_out(keep + self.number("phonep" if valid is plan else "phone" + keep, own, valid), s)
         if named := re.search("[A-Za-z]{3,}", s):
             return self._named_date(s, named[0])
         parts = re.split("[-/.]", s)
@@ -219,13 +232,18 @@ class Pseudonymiser:
             return None
         if not _EPOCH <= day <= _LAST:
             return None
-        # A month-first date that could be read day-first is taken as such; those that can't keep a day over 12.
-        valid = (lambda x: date.fromordinal(x + _EPOCH).day > 12) if swapped else lambda x: True
-        new = date.fromordinal(_EPOCH + self.feistel("date" + "s" * swapped, _LAST - _EPOCH + 1)(day - _EPOCH, valid))
+        # A month-first date that could be read day-first is taken as such.
+        new = self._moved_day(day)
         sep, width = next(c for c in s if not c.isdigit()), min(map(len, parts))
         y, m, d = f"{new.year:04d}", f"{new.month:0{width}d}", f"{new.day:0{width}d}"
         return sep.join([y, m, d] if year_first else [m, d, y] if swapped else [d, m, y])
 
+    def _moved_day(self, day: int) -> date:
+        """The pseudonym of a date, the same in all layouts: days over 12 stay over 12 and others don't, so that a month-first date is still read as one."""
+        late = date.fromordinal(day).day > 12
+        valid = lambda x: (date.fromordinal(x + _EPOCH).day > 12) == late
+        return date.fromordinal(_EPOCH + self.feistel("date", _LAST - _EPOCH + 1)(day - _EPOCH, valid))
+
     def _named_date(self, s: str, month: str) -> str | None:
         """A date with the month's name, full or short and in its case; the day's ordinal ending follows the new day."""
         k = next(k for k, m in enumerate(MONTHS) if m[:3] == month[:3].title())
@@ -236,7 +254,7 @@ class Pseudonymiser:
             return None
         if not _EPOCH <= x <= _LAST:
             return None
-        new = date.fromordinal(_EPOCH + self.feistel("date", _LAST - _EPOCH + 1)(x - _EPOCH))
+        new = self._moved_day(x)
         name = MONTHS[new.month - 1]
         name = name if month.title() == MONTHS[k] else name[:3]
         name = name.upper() if month.isupper() else name.lower() if month.islower() else name
@@ -333,7 +351,9 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
     """(id, text, n_<kind> for each kind, n_replaced) for every row of docs.
 
     A null text stays null and an empty one empty, both with zero counts; very long texts and values are
-    read whole, in time linear in their length. Text outside the replaced values keeps every character. Equal rows give equal rows; other columns of docs play no part.
+    read whole, in time linear in their length. A date has one pseudonym in all its layouts, and so has a North American phone
+    with or without its 1; other phones are linked in layouts that tell the same country code. Dates before 1900 and after 2099, and
+    values that fail their format's validation, stay as they are. Text outside the replaced values keeps every character. Equal rows give equal rows; other columns of docs play no part.
     """
     kind = dict(docs.dtypes)[id_col]
 

@@ -2,7 +2,7 @@
 
 import re
 import time
-from datetime import date
+from datetime import date, datetime
 
 import numpy as np
 import pytest
@@ -125,3 +125,59 @@ def test_broken_and_very_long_texts():
         began = time.perf_counter()
         p.replace(text)
         assert time.perf_counter() - began < 30, unit
+
+
+@pytest.mark.parametrize("local", ["jürgen.müller", "ÉLODIE", "jörg99", "niño", "çelik_ß", "名前", "иван.petrov", "a.b", "x" * 70 + "é"])
+def test_local_parts_of_any_letters(local):
+    p = Pseudonymiser(b"key")
+    text = f"mail «{local}@mail3.example.com», again {local}@mail3.example.com"
+    new, counts = p.replace(text)
+    assert counts[0] == 2 and new != text and len(new) == len(text)
+    first, again = re.findall(r"([^\s«]+)@mail3", new)
+    assert first == again != local
+    for a, b in zip(local, first):  # case, kind and place of every character stay
+        assert a.isalnum() == b.isalnum() and a.isupper() == b.isupper() and a.isdigit() == b.isdigit() and (a.isalnum() or a == b) and (a < "\x80") == (b < "\x80")
+    assert not any(len(w) > 2 and w in first for w in re.split(r"[._]", local) if not w.isdigit())
+    assert p.replace(f"{local}@mail3.example.com")[0] != p.replace(f"{local}x@mail3.example.com")[0]
+
+
+def test_an_email_of_another_alphabet_in_its_domain():
+    new, counts = Pseudonymiser(b"key").replace("an hans@münchen.de.")
+    assert counts[0] == 1 and new.endswith("@münchen.de.") and "hans" not in new
+
+
+def test_a_date_is_one_value_in_all_layouts():
+    p, rng = Pseudonymiser(b"key"), np.random.default_rng(1)
+    seen = {}
+    for x in rng.integers(date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal(), 300):
+        d = date.fromordinal(int(x))
+        layouts = [(f"{d:%Y-%m-%d}", "%Y-%m-%d"), (f"{d:%d.%m.%Y}", "%d.%m.%Y"), (f"{d:%Y/%m/%d}", "%Y/%m/%d"), (f"{d:%d %B %Y}", "%d %B %Y"), (f"{d:%B %d, %Y}", "%B %d, %Y"), (f"{d:%d-%m-%Y}", "%d-%m-%Y")]
+        layouts += [(f"{d:%m/%d/%Y}", "%m/%d/%Y")] if d.day > 12 else []
+        new = {datetime.strptime(p.value("date", s), f).date() for s, f in layouts}
+        assert len(new) == 1 and (new := new.pop()) != d or len(new) == 1
+        assert (new.day > 12) == (d.day > 12)
+        assert seen.setdefault(new, d) == d
+    assert p.value("date", "1899-12-31") is None and p.value("date", "2100-01-01") is None
+
+
+def test_a_phone_is_one_value_with_and_without_its_country():
+    p = Pseudonymiser(b"key")
+    own = lambda s: re.sub("[^0-9]", "", p.value("phone", s))[-10:]
+    forms = ["(547) 555-0128", "547-555-0128", "+1 547 555 0128", "+1 (547) 555-0128", "+15475550128", "1-547-555-0128"]
+    assert len({own(f) for f in forms}) == 1 and own(forms[0]) != "5475550128"
+    assert p.value("phone", "+15475550128").startswith("+1") and len(p.value("phone", "+15475550128")) == 12
+
+
+def test_rows_against_a_plain_pseudonymiser(spark):
+    """The job against values replaced one by one, by place, in four languages."""
+    values = [("email", "jürgen.müller@example.com"), ("date", "1984-02-29"), ("card", "4186133740741811"), ("ip", "89.119.26.177"), ("phone", "+1 (547) 555-0128"), ("iban", "DE89370400440532013000"), ("ssn", "078-05-1120")]
+    words = ["the man of", "der Mann ü", "l'été à", "el niño ñ"]
+    p, rows, want = Pseudonymiser(b"key"), [], []
+    for k in range(40):
+        some = [values[(k * j) % len(values)] for j in range(1, 4)]
+        rows.append((k, " ".join(f"{words[(k + j) % 4]} {v}" for j, (_, v) in enumerate(some)), "x"))
+        want.append((k, " ".join(f"{words[(k + j) % 4]} {p.value(kind, v)}" for j, (kind, v) in enumerate(some)), 3))
+    rows += [(None, None, "x"), (100, "", "x")]
+    want += [(None, None, 0), (100, "", 0)]
+    got = pseudonymise(spark.createDataFrame(rows, "doc_id long, text string, n_email string"), b"key")
+    assert sorted(((r.doc_id, r.text, r.n_replaced) for r in got.collect()), key=repr) == sorted(want, key=repr)
