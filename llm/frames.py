@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -52,3 +53,16 @@ BROADCAST_IDS = 500_000
 def broadcast_if_few(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     """A stored table of ids, marked for broadcast when a count shows that it has at most ``limit`` rows."""
     return F.broadcast(ids) if ids.limit(limit + 1).count() <= limit else ids
+
+
+def nested(docs: DataFrame, **more) -> DataFrame:
+    """Every row of docs as one column ``row``, beside more columns, whose names can't clash with the row's own."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def row_order(docs: DataFrame, first: str) -> F.Column:
+    """A value of the nested ``row`` that rows of docs can be ordered by: the column ``first``, then the others; maps and what holds them count as their JSON."""
+    names = [first, *[c for c in docs.columns if c != first]]
+    unordered = {f.name for f in docs.schema.fields if re.search(r"map<|variant|geometry|geography", f.dataType.simpleString())}
+    cell = lambda c: F.to_json(F.struct(F.col("row")[c])) if c in unordered else F.col("row")[c]
+    return F.struct(*[cell(c).alias(f"c{k}") for k, c in enumerate(names)])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.components import components, named_components
-from llm.frames import broadcast_if_few, slices, stored
+from llm.frames import broadcast_if_few, nested, row_order, slices, stored
 from llm.words import Words, shingles
 
 COORDINATES, TREES, LEVELS = 64, 10, 4
@@ -317,12 +317,12 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     key = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
     found = near_duplicates(docs.select(key.alias("_key"), text.alias("text")), size, percent, "_key", "text")
     found = stored(found.groupBy("_key").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")), "kept")
-    keyed = docs.withColumn("_key", key)
-    lost = broadcast_if_few(found.where("not kept or rows > 1").select(F.col("_key").alias("_lost")))
-    once = keyed.join(lost, F.col("_key") == F.col("_lost"), "left_anti").select(docs.columns)
-    repeated = found.where("kept and rows > 1").select(F.col("_key").alias("_lost"))
+    keyed = nested(docs, key=key)
+    lost = broadcast_if_few(found.where("not kept or rows > 1").select(F.col("_key").alias("lost")))
+    once = keyed.join(lost, F.col("key") == F.col("lost"), "left_anti").select("row.*")
+    repeated = found.where("kept and rows > 1").select(F.col("_key").alias("lost"))
     if repeated.isEmpty():
         return once
-    again = keyed.join(repeated, F.col("_key") == F.col("_lost"), "left_semi")
-    least = again.groupBy("_key").agg(F.min(F.struct(*[F.col(c) for c in [text_col, *[c for c in docs.columns if c != text_col]]])).alias("_row"))
-    return once.unionByName(least.select("_row.*").select(docs.columns))
+    again = keyed.join(repeated, F.col("key") == F.col("lost"), "left_semi")
+    least = again.groupBy("key").agg(F.min_by("row", row_order(docs, text_col)).alias("row"))
+    return once.unionByName(least.select("row.*"))

@@ -78,6 +78,15 @@ def test_rows_that_share_an_id_but_no_text(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr) and got.columns == ["doc_id", "text", "cls"]
 
 
+def test_extra_columns_keep_their_names_and_values(spark):
+    """Columns that are named as those within, and columns that can't be ordered; of equal rows one stays."""
+    rows = [(1, "a b c d e f", "k1", {"x": 1}, ("s", 2)), (1, "a b c d e f", "k1", {"x": 1}, ("s", 2)), (1, "a b c d e f", "k0", {"x": 9}, ("s", 2)), (2, "a b c d e f", "k2", None, None), (3, "g h", None, {}, ("t", None))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string, cls map<string,int>, row struct<p:string,_lost:int>").selectExpr("*", "1 as `key`", "2 as lost", "3 as `_rank`", "4 as `_place`", "5 as `a.b`")
+    got = one_of_each(df)
+    assert got.columns == df.columns and got.schema.simpleString() == df.schema.simpleString()
+    assert sorted((r.doc_id, r._key, r.cls, r["row"] and tuple(r["row"]), r.key, r.lost, r["a.b"]) for r in got.collect()) == [(1, "k0", {"x": 9}, ("s", 2), 1, 2, 5), (3, None, {}, ("t", None), 1, 2, 5)]
+
+
 @pytest.mark.parametrize("members", [1, 200, 2000])
 def test_groups_whose_sets_are_cut_into_blocks(spark, monkeypatch, members):
     monkeypatch.setattr(near_dup, "SET_MEMBERS", members)
