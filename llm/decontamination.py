@@ -19,13 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.frames import broadcast_if_few, slices, stored
+from llm.frames import broadcast_if_few, nested, slices, stored
 from llm.words import PUNCTUATION, Words, mix
 
 NGRAMS = (2, 3, 5, 8)
 EXPECTED = 0.25
 #: Words of items that are broadcast at once (8 bytes each, and as much again for each n-gram size).
 BLOCK_WORDS = 500_000
+#: Windows that are held before those that overlap are merged.
+HITS = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 _U = np.uint64
 _FILTER = 1 << 22
@@ -77,8 +79,24 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
     return scores, ends
 
 
+def _merged(doc: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Windows in order, those of one document and item that overlap as one."""
+    if not len(doc):
+        return doc, item, low, high
+    order = np.lexsort((low, item, doc))
+    doc, item, low, high = doc[order], item[order], low[order], high[order]
+    other = np.ones(len(doc), bool)
+    other[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
+    group = np.cumsum(other) * (int(high.max()) + 1)
+    reach = np.maximum.accumulate(group + high)
+    new = other.copy()
+    new[1:] |= group[1:] + low[1:] > reach[:-1]
+    begin = np.flatnonzero(new)
+    return doc[begin], item[begin], low[begin], np.maximum.reduceat(high, begin)
+
+
 class Seeds:
-    """The items of a block and their seeds: sorted hashes of each size, with the (item, offset) pairs of each hash."""
+    """The items of a block and their seeds: sorted hashes of each size, with (item, first place, last place) of each hash."""
 
     def __init__(self, items: list[np.ndarray], frequency, total: float):
         self.items = items
@@ -103,16 +121,22 @@ class Seeds:
                 found[n] += [(int(g), k, p) for p, g in enumerate(by_size[n][k] if n > 1 else grams(words, 1))]
         self.tables = {}
         for n, rows in found.items():
-            rows.sort()
+            # Windows of all places of a seed in one item overlap, so their first and last places are enough.
+            spans: dict[tuple[int, int], tuple[int, int]] = {}
+            for h, k, p in rows:
+                a, b = spans.get((h, k), (p, p))
+                spans[h, k] = min(a, p), max(b, p)
+            rows = sorted((h, k, a, b) for (h, k), (a, b) in spans.items())
             hashes = np.array([r[0] for r in rows], np.uint64)
             distinct, first = np.unique(hashes, return_index=True)
             bits = np.zeros(_FILTER, bool)
             bits[distinct >> _U(42)] = True
             self.tables[n] = (distinct, np.append(first, len(rows)), np.array([r[1:] for r in rows], np.int64), bits)
 
-    def hits(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document of the batch, item, diagonal in words of the batch) of every seed found within one document."""
-        out = []
+    def windows(self, w: Words) -> tuple[np.ndarray, ...]:
+        """(document, item, first word, end) of the windows around all seeds found within a document, those of one document and item that overlap as one."""
+        parts = [_merged(*(np.zeros(0, np.int64) for _ in range(4)))]
+        sizes = np.array([len(x) for x in self.items], np.int64)
         for n, (distinct, first, rows, bits) in self.tables.items():
             g = grams(w.hashes, n)
             at = np.flatnonzero(bits[g >> _U(42)])
@@ -123,31 +147,29 @@ class Seeds:
             inside = at + n <= w.at[doc + 1]
             at, place, doc = at[inside], place[inside], doc[inside]
             counts = first[place + 1] - first[place]
-            each = np.repeat(np.arange(len(at)), counts)
-            row = np.repeat(first[place], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            out.append((doc[each], rows[row, 0], at[each] - rows[row, 1]))
-        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+            done = np.cumsum(counts)
+            low = 0
+            while low < len(at):  # a few places at a time, however many items share a seed
+                high = max(low + 1, int(np.searchsorted(done, (done[low - 1] if low else 0) + HITS, "right")))
+                own = counts[low:high]
+                each = np.repeat(np.arange(low, high), own)
+                row = np.repeat(first[place[low:high]], own) + np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+                item, margin = rows[row, 0], sizes[rows[row, 0]] // 4 + 4
+                begin = np.maximum(at[each] - rows[row, 2] - margin, w.at[doc[each]])
+                end = np.minimum(at[each] - rows[row, 1] + sizes[item] + margin, w.at[doc[each] + 1])
+                parts.append(_merged(doc[each], item, begin, end))
+                low = high
+        return _merged(*(np.concatenate(x) for x in zip(*parts)))
 
     def leaks(self, w: Words, threshold: float) -> list[tuple[int, int, float, int, int]]:
         """(document, item, score, first word, last word) of the best window of every document and item that reaches the threshold."""
-        doc, item, diagonal = self.hits(w)
+        doc, item, low, end = self.windows(w)
         if not len(doc):
             return []
-        order = np.lexsort((diagonal, item, doc))
-        doc, item, diagonal = doc[order], item[order], diagonal[order]
         sizes = np.array([len(x) for x in self.items], np.int64)[item]
-        margin = sizes // 4 + 4
-        low = np.maximum(diagonal - margin, w.at[doc])
-        high = np.minimum(diagonal + sizes + margin, w.at[doc + 1])
-        # Windows of one document and item that overlap are one window.
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])
-        begin = np.flatnonzero(new)
-        end = np.maximum.reduceat(high, begin)
-        doc, item, low = doc[begin], item[begin], low[begin]
         items, windows = [self.items[k] for k in item], [w.hashes[a:b] for a, b in zip(low, end)]
         scores, ends = align(items, windows)
-        share = scores / (MATCH * sizes[begin])
+        share = scores / (MATCH * sizes)
         best: dict[tuple[int, int], int] = {}
         for k in np.flatnonzero(share >= threshold):
             key = (int(doc[k]), int(item[k]))
@@ -195,7 +217,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id
     spark = docs.sparkSession
     kinds = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
     docs = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    items = benchmark.select(benchmark[item_col].alias("item"), benchmark[item_text_col].alias("text")).where("text is not null")
+    items = benchmark.select(benchmark[item_col].alias("item"), benchmark[item_text_col].alias("text")).where("text is not null").groupBy("item", "text").agg(F.count("*").alias("copies"))
     n_words = items.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0
     blocks = max(1, int(-(-n_words // (BLOCK_WORDS * 2))))
     out = None
@@ -209,16 +231,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, id
             continue
         counts, total = _frequencies(docs, vocabulary)
         seeds = Seeds(hashes, lambda x: counts[np.searchsorted(vocabulary, x)], total)  # noqa: B023
-        shared = spark.sparkContext.broadcast((seeds, part["item"].combine_chunks()))
+        shared = spark.sparkContext.broadcast((seeds, part["item"].combine_chunks(), part["copies"].to_numpy()))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            seeds, names = shared.value
+            seeds, names, copies = shared.value
             for batch in slices(batches):
                 w = Words(batch.column(1), PUNCTUATION)
                 found = seeds.leaks(w, threshold)
                 if not found:
                     continue
-                doc, item, score, first, last = (np.array(x) for x in zip(*found))
+                doc, item, score, first, last = (np.repeat(x, copies[[f[1] for f in found]]) for x in map(np.array, zip(*found)))
                 chars = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
                 base = chars[w.offsets[doc]]
                 yield pa.RecordBatch.from_arrays(
@@ -241,5 +263,5 @@ def without_leaking_texts(docs: DataFrame, benchmark: DataFrame, threshold: floa
     """
     digest = F.struct(F.xxhash64(docs[text_col]).alias("h1"), F.xxhash64(F.lit(1), docs[text_col]).alias("h2"))
     found = find_leaks(docs.select(digest.alias("_digest"), docs[text_col].alias("text")), benchmark, threshold, "_digest", "text")
-    leaking = stored(found.select("_digest").distinct(), "leaking")
-    return docs.withColumn("_digest", digest).join(broadcast_if_few(leaking), "_digest", "left_anti").select(docs.columns)
+    leaking = broadcast_if_few(stored(found.select(F.col("_digest").alias("leaking")).distinct(), "leaking"))
+    return nested(docs, digest=digest).join(leaking, F.col("digest") == F.col("leaking"), "left_anti").select("row.*")

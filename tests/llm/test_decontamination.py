@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm.decontamination import align, find_leaks, without_leaking_texts
 
@@ -80,9 +81,10 @@ def test_rows_go_by_their_own_text(spark):
     """Null and shared ids: what leaks goes, what doesn't stays."""
     item = " ".join(f"rare{k}" for k in range(20))
     rows = [(None, f"before {item} after"), (None, "clean text"), (None, None), (7, item), (7, "clean too"), (8, ""), (9, "x " * 400_000 + item)]
-    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _digest string").drop("_digest")
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _digest string")
+    docs = docs.withColumn("digest", F.lit(1)).withColumn("m", F.create_map(F.lit("a"), F.lit(1))).withColumn("a.b", F.lit(2))
     got = without_leaking_texts(docs, spark.createDataFrame([(1, item), (1, item), (None, None)], "item_id long, text string")).collect()
-    assert sorted(map(tuple, got), key=repr) == sorted([(None, "clean text"), (None, None), (7, "clean too"), (8, "")], key=repr)
+    assert sorted(map(tuple, got), key=repr) == sorted([(i, t, "x", 1, {"a": 1}, 2) for i, t in [(None, "clean text"), (None, None), (7, "clean too"), (8, "")]], key=repr)
 
 
 def test_ties(spark):
@@ -90,3 +92,33 @@ def test_ties(spark):
     docs = spark.createDataFrame([(1, "one two three four. x y z q r s t u v w x one two three four.")], "doc_id long, text string")
     got = find_leaks(docs, spark.createDataFrame([(1, "one two three four"), (2, "one two three four")], "item_id long, text string")).collect()
     assert sorted((r.item_id, r.score, r.start, r.end) for r in got) == [(1, 1.0, 0, 18), (2, 1.0, 0, 18)]
+
+
+def test_repetitive_items_and_texts():
+    """A seed that an item holds many times is one hit for each place of the text."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from llm.decontamination import Seeds
+    from llm.words import PUNCTUATION, Words
+
+    def found(item, text):
+        w = Words(pa.array([item]), PUNCTUATION)
+        return Seeds([w.hashes], lambda x: np.ones(len(x)), 1e12).leaks(Words(pa.array([text]), PUNCTUATION), 0.5)
+
+    assert found("ha " * 30, "x " * 50 + "ha " * 20 + "y") == [(0, 0, 20 / 30, 50, 69)]
+    assert found("ha ho " * 9, "ho ha " * 9)[0][2] == 17 / 18
+    tracemalloc.start()
+    assert found("ha " * 1000, "ha " * 200_000) == [(0, 0, 1.0, 0, 999)]
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
+def test_repeated_benchmark_rows(spark, monkeypatch):
+    """Each equal row of the benchmark gives rows, but is aligned once; few windows are held at a time."""
+    monkeypatch.setattr("llm.decontamination.HITS", 3)
+    docs = spark.createDataFrame([(1, "x y one two three four"), (1, "x y one two three four"), (2, "one two")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "one two three four")] * 3 + [(None, "one two three four"), (6, None)], "item_id long, text string")
+    got = find_leaks(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id is None, r.score) for r in got) == [(1, False, 1.0)] * 6 + [(1, True, 1.0)] * 2

@@ -72,3 +72,21 @@ def test_empty(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_extra_columns_in_every_stage(spark, folder):
+    """Columns named as those that stages use within, and columns that can't be ordered, come through unchanged."""
+    extra = ["_key", "_digest", "_rank", "_place", "cls", "row", "key", "digest", "lost", "leaking", "h", "toxic", "id"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.selectExpr("*", *[f"concat('{c}', doc_id) as `{c}`" for c in extra], "map('a', doc_id) as m", "struct(doc_id, map(doc_id, 'b') as inner) as s")
+    plain = docs.select(*COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        out, same = stage(spark, docs, folder), stage(spark, plain, folder)
+        if name == "bpe":
+            assert sorted((r.doc_id, r.ids_sha256) for r in out.collect()) == sorted((r.doc_id, r.ids_sha256) for r in same.collect())
+            break
+        rows = out.collect()
+        assert out.columns == docs.columns
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in extra) and all(r.m == {"a": r.doc_id} and r.s.doc_id == r.doc_id and r.s.inner == {r.doc_id: "b"} for r in rows)
+        assert sorted(((r.doc_id, r.text) for r in rows), key=repr) == sorted(((r.doc_id, r.text) for r in same.collect()), key=repr)
+        docs, plain = spark.createDataFrame(rows, out.schema), spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], plain.schema)
