@@ -214,4 +214,4 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93, id_col: str = "vec_id
     told = named_components(members, roots, classes.count()).select("cls", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = named.join(told, "cls", "left")
     component = F.coalesce("component_id", "id").cast(kinds[id_col])
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
