@@ -4,14 +4,48 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", re.DOTALL)
-_RAW = ("script", "style")
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)")
+# A quote holds a value only after an equals sign, and only if it is closed; anywhere else it is a character like any other.
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>")
+_RAW = {name: re.compile(rf"</{name}(?![A-Za-z0-9-])", re.I) for name in ("script", "style")}
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, name, whether it closes) of every tag, in time linear in the page; comments and declarations have no name.
+
+    A < that begins no tag is text, and so is a tag that never ends. What a script or style holds is skipped.
+    """
+    at, last, quotes = 0, page.rfind(">"), True
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = len(page) if end < 0 else end + 3
+            yield start, at, "", False
+        elif start > last:
+            return
+        elif page.startswith(("<!", "<?"), start):
+            at = page.find(">", start) + 1
+            yield start, at, "", False
+        elif (m := _NAME.match(page, start)) is None:
+            at = start + 1
+        else:
+            rest = _REST.match(page, m.end()) if quotes else None
+            if rest is None:  # a value that is closed only behind the last tag's end: quotes don't count from here on
+                quotes = False
+            at = rest.end() if rest else page.find(">", m.end()) + 1
+            yield start, at, m[2].lower(), bool(m[1])
+            if m[2].lower() in _RAW and not m[1]:
+                closing = _RAW[m[2].lower()].search(page, at)
+                at = closing.start() if closing else len(page)
+                if not closing:
+                    yield at, at, "", False
 
 
 class Reading:
@@ -22,17 +56,14 @@ class Reading:
 
     def __call__(self, page: str) -> str:
         depth, at, out = 0, 0, []
-        while (m := _TAG.search(page, at)) is not None:
+        for start, end, name, closes in tags(page):
             if not depth:
-                out.append(html.unescape(page[at : m.start()]))
-            at, name = m.end(), (m[2] or "").lower()
+                out.append(html.unescape(page[at:start]))
+            at = end
             if name in self.breaks:
                 out.append(self.mark)
             if name in self.silent:
-                depth = max(depth + (-1 if m[1] else 1), 0)
-            if name in _RAW and not m[1]:  # its content holds no tags
-                end = re.compile(f"</{name}", re.I).search(page, at)
-                at = end.start() if end else len(page)
+                depth = max(depth + (-1 if closes else 1), 0)
         if not depth:
             out.append(html.unescape(page[at:]))
         lines = (" ".join(line.split()) for line in ("".join(out).split("\n") if self.mark == "\n" else ["".join(out)]))

@@ -1,5 +1,6 @@
 """Scalar functions on exact pairs, and edge cases of the model's rules."""
 
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,27 @@ def test_parts_of_texts(spark):
     assert [tuple(x) if x else None for x in found] == [("Bega", "NSW", 1999), ("Ararat", "VIC", 2001), None, None, None]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p title=it's>Hello there", "Hello there"), ("<p title='it>s'>a</p><p title=\"x>y\" b=c'>d", "a d"), ("a < b <i>c</i> <3 d", "a < b c <3 d"), ("<p class=\"x>text</p>tail", "text tail"),
+        ("<!-- a > b --><p>x<!-- never closed <p>y", "x"), ("<!doctype html><?xml v?><p>x", "x"), ("<script>if (a<b) '</p>'</script>x<style>y", "x"), ("x<script>y", "x"), ("<a href='u>x", "x"), ("end <a href", "end <a href"),
+        ("<svg><svg>a</svg>b</svg>c", "c"), ("</noscript>a", "a"), ("a&nbsp;b &lt;i&gt;", "a b <i>"), ("", ""), ("<scripty>x</scripty>", "x"), ("<SCRIPT>x</sCript >y", "y"),
+    ],
+)
+def test_visible_text_of_broken_pages(page, text):
+    assert text_of(page) == text
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a href='", "<a =\">", "<!--", "<p title=it's ", "<div>", "<script>", "</", "<a b=\"<\" c='", "&", "<x>y</x>"])
+def test_pages_are_read_in_linear_time(part):
+    page = part * (1_000_000 // len(part))
+    began = time.perf_counter()
+    text_of(page + ">")
+    text_of(page)
+    assert time.perf_counter() - began < 8
+
+
 def test_visible_lines(spark):
     from lorekeeper.functions.html import lines_of
 
