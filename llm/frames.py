@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = SLICE_
             to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back at the end of a task: its Python worker stays for the tasks of later stages, beside a JVM that needs the room."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _trim()) is not None:
+        trim(0)
+
+
+@lru_cache(1)
+def _trim():
+    """The C library's malloc_trim, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 #: Ids that a join may broadcast (8 bytes each and as much again for their table); more are joined by a shuffle.
