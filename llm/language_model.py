@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from llm.frames import slices, stored
 from llm.words import Words
 
-WORDS, CLASSES, DIM, LAST, MEAN = 191, 64, 16, 3, 16
+WORDS, CLASSES, DIM, LAST, MEAN = 191, 64, 24, 3, 16
 #: The leading coordinates of a context that the nodes of the trees read.
-STEER = 8
+STEER = 24
 END, OUTPUTS = WORDS, WORDS + 1 + CLASSES
 #: Words that make up at least one in so many tokens have vectors and are broadcast with their counts: as many at most.
 COMMON = 1 << 20
@@ -428,10 +428,17 @@ def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: in
         nudge(p, squares, seen, "e", c.leaves[told], c.dx.take(told, 0), rate)
 
 
+def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, weighted sums, weights) with one row for each key."""
+    k, x, n = (np.concatenate(part) for part in zip(*held))
+    k, back = np.unique(k, return_inverse=True)
+    return k, scatter(back, x, len(k)), np.bincount(back, n, len(k)).astype(np.int64)
+
+
 DENSE, ROWS = ("b", "c", "q", "t"), ("e", "u")
 
 
-def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 24, rate: float = 0.08) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 64, rate: float = 0.08) -> dict[str, np.ndarray]:
     """One pass over all rows that aren't held out; each partition's parameters count by its tokens, rows of words and nodes by their mentions."""
     shared = docs.sparkSession.sparkContext.broadcast(v)
     width, p = DIM + 1, fresh(v)
@@ -472,15 +479,18 @@ def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 24,
                 yield from emitted(base + told, x, mentions[key][told])
 
     def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, times = np.zeros((begins[-1], width)), np.zeros(begins[-1], np.int64)
+        # The keys that this task has, and no others: packed whenever as much again has come.
+        held, size, packed = [], 0, 0
         for b in batches:
-            k, back = np.unique(b.column(0).to_numpy(), return_inverse=True)
             n = b.column(2).to_numpy()
-            x = b.column(1).flatten().to_numpy().reshape(-1, width)
-            sums[k] += scatter(back, x * n[:, None].astype(np.float64), len(k))
-            times[k] += np.bincount(back, n, len(k)).astype(np.int64)
-        told = np.flatnonzero(times)
-        yield from emitted(told, sums[told] / times[told, None], times[told])
+            held.append((b.column(0).to_numpy(), b.column(1).flatten().to_numpy().reshape(-1, width) * n[:, None].astype(np.float64), n))
+            size += len(n)
+            if size > 2 * packed + 65_536:
+                held = [_packed(held)]
+                size = packed = len(held[0][0])
+        if held:
+            k, x, n = _packed(held)
+            yield from emitted(k, x / n[:, None], n)
 
     schema = "k int, x array<float>, n long"
     averaged = docs.select("held_out", "text").mapInArrow(run, schema).repartition("k").mapInArrow(mean, schema).toArrow()  # one row for each vector
@@ -524,7 +534,7 @@ def score_documents(docs: DataFrame, folds: int = 10, id_col: str = "doc_id", te
 
     Tokens are the text's words (runs outside 0x20 and 0x09-0x0D, A-Z folded) and one end. base_score
     is the smoothed unigram log10-probability and score the model's; a token is known when training
-    rows hold it. Null and empty texts are an end alone. A row is held out when crc32 of its id as text
+    rows hold it. Null and empty texts are an end alone; very long ones are read whole, a slice at a time. A row is held out when crc32 of its id as text
     leaves 0 (a null id never is). Equal rows count as rows of their own; other columns play no part.
     Without training rows, the model is uniform over what it can output.
     """

@@ -179,3 +179,40 @@ def test_very_long_texts(spark):
     rows = [(k, f"a{k} b c " * 20) for k in range(40)] + [(100, "word " * 300_000), (101, "x" * 1_000_000), (102, "\n" * 1_000_000)]
     got = {r.doc_id: r for r in lm.score_documents(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect()}
     assert got[100].n_tokens == 300_001 and got[101].n_tokens == 2 and got[102].n_tokens == 1 and all(np.isfinite(r.score) for r in got.values())
+
+
+@pytest.mark.parametrize("common", [1 << 20, 300])
+def test_score_of_a_text_word_by_word(spark, monkeypatch, common):
+    """The model's log-probability by plain loops over tokens, outputs and paths, from the trained parameters alone."""
+    monkeypatch.setattr(lm, "COMMON", common)
+    rows = [*corpus(), (2000, "never seen words"), (2001, "abc " * 40)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA).coalesce(1)
+    got = {r.doc_id: r.score for r in lm.score_documents(df).collect()}
+    held = df.select(df.doc_id.alias("id"), lm.held_out(df.doc_id).alias("held_out"), "text")
+    counted = lm.word_counts(held)
+    count = {r.h: r.n for r in counted.collect()}
+    v = lm.vocabulary(counted)
+    p = {k: x.astype(float) for k, x in lm.train(held, v).items()}
+    frequent, place = dict(zip(v.words.tolist(), v.outputs.tolist())), {h: k for k, h in enumerate(v.common.tolist())}
+    for i, text in rows[::37] + rows[-6:]:
+        w = Words(pa.array([text or ""], pa.large_string()))
+        tokens, score = [], 0.0
+        for h, c in zip(w.hashes.tolist(), lm.word_classes(w).tolist()):
+            own = v.tree.of_common[place[h]] if h in place else c
+            tokens.append((frequent[h], v.tree.n) if h in frequent else (lm.END + 1 + c, int(own)))
+            if h not in frequent and h not in place:  # a share of its class's rest
+                score += math.log10(count.get(int(np.uint64(h).view(np.int64)), 0) + 0.1) - v.tree.log_rest[c]
+        tokens.append((lm.END, v.tree.n))
+        vectors = [p["q"][y] + p["e"][leaf] for y, leaf in tokens]
+        for k, (y, leaf) in enumerate(tokens):
+            before = vectors[max(k - lm.MEAN, 0) : k]
+            h = (sum(before) / len(before) if before else np.zeros(lm.DIM)) @ p["c"][lm.LAST]
+            for back in range(lm.LAST):
+                h = h + (vectors[k - 1 - back] if k > back else p["q"][lm.OUTPUTS]) @ p["c"][back]
+            z = p["t"] @ h + p["b"]
+            score += (z[y] - np.logaddexp.reduce(z)) / math.log(10)
+            for at in range(v.tree.begins[leaf], v.tree.begins[leaf + 1]) if leaf < v.tree.n else ():
+                node = p["u"][v.tree.nodes[at]]
+                logit = node[: lm.STEER] @ h[: lm.STEER] + node[lm.STEER]
+                score -= np.logaddexp(0, -logit if v.tree.left[at] else logit) / math.log(10)
+        assert got[i] == pytest.approx(score, rel=2e-4, abs=2e-3), text
