@@ -38,10 +38,14 @@ def map_position(x: Column, y: Column, lat: Column, lon: Column, project: Callab
     return F.when(told & x.between(WEST, EAST) & y.between(SOUTH, NORTH), project(y, x)).when(told & x.between(0, width) & y.between(0, height), plain).when(lat.isNotNull() & lon.isNotNull(), project(lat, lon))
 
 
+#: What a summary says where a source has no excerpt (a fixed value).
+NO_EXCERPT = "The migrated legacy source contains enough public metadata for review, but needs manual excerpt verification."
+
+
 def summary(title: Column, label: Column, source: Column, snippet: Column, limit: int = 360) -> Column:
     """One sentence on what a source tells, and its first words or a note that they are missing."""
     told = lambda c, other: F.coalesce(F.nullif(c, F.lit("")), F.lit(other))
-    evidence = F.coalesce(F.nullif(F.left(F.trim(snippet), F.lit(limit)), F.lit("")), F.lit("An excerpt has to be taken by hand."))
+    evidence = F.coalesce(F.nullif(F.left(F.trim(snippet), F.lit(limit)), F.lit("")), F.lit(NO_EXCERPT))
     return F.format_string("The source reports or discusses %s in '%s' (%s). %s", told(label, "unknown humanoid"), told(title, "Untitled public source"), told(source, "public source"), evidence)
 
 

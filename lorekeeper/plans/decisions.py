@@ -46,7 +46,7 @@ def map_positions(a: Archive) -> DataFrame:
     return p.select("location_id", F.round("p.x", 6).alias("x"), F.round("p.y", 6).alias("y"))
 
 
-@query("SELECT figure_id, 'The source reports or discusses ' || figure || ' in ''' || label || ''' (' || CASE WHEN figure_id % 7 = 0 THEN 'public source' ELSE cluster END || '). ' || CASE WHEN figure_id % 3 = 0 THEN 'An excerpt has to be taken by hand.' ELSE left(label, 360) END AS summary FROM figures")
+@query(f"SELECT figure_id, 'The source reports or discusses ' || figure || ' in ''' || label || ''' (' || CASE WHEN figure_id % 7 = 0 THEN 'public source' ELSE cluster END || '). ' || CASE WHEN figure_id % 3 = 0 THEN '{d.NO_EXCERPT}' ELSE left(label, 360) END AS summary FROM figures")
 def concise_summary(a: Archive) -> DataFrame:
     source, snippet = F.when(F.col("figure_id") % 7 != 0, F.col("cluster")), F.when(F.col("figure_id") % 3 == 0, " ").otherwise(F.col("label"))
     return a.figures.select("figure_id", d.summary(F.col("label"), F.col("figure"), source, snippet).alias("summary"))
