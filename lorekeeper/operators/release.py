@@ -22,7 +22,7 @@ def _texts(kind: DataType, path: str) -> list[tuple[str, Callable[[Column], Colu
         return [(path, lambda c: F.array(c))]
     # Functions of one argument each: what is bound comes from the enclosing calls.
     within = lambda name, get: lambda c: get(c[name])
-    each = lambda of, get: lambda c: F.flatten(F.transform(of(c), lambda x: get(x)))
+    each = lambda of, get: lambda c: F.flatten(F.transform(of(c), lambda x: F.coalesce(get(x), F.array().cast("array<string>"))))  # noqa: E731  nothing is null within
     if isinstance(kind, StructType):
         return [(p, within(f.name, get)) for f in kind.fields for p, get in _texts(f.dataType, f"{path}.{f.name}" if path else f.name)]
     if isinstance(kind, ArrayType):
