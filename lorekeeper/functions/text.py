@@ -13,6 +13,9 @@ from pyspark.sql.types import StringType
 #: Quotes and dashes and what they become (fixed values).
 SMART = "‘’“”–—−"
 PLAIN = "''\"\"---"
+#: What a title's place looks like, and what surrounds a word within its sentence (fixed values).
+TITLE_PLACE = "[A-Za-z][A-Za-z0-9'&./ -]{2,80}?"
+SENTENCE_BEFORE, SENTENCE_AFTER = "[^.?!]{0,180}", "[^.?!]{0,240}[.?!]?"
 #: Query parameters that don't belong to an address (fixed values).
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid", "mc_cid", "mc_eid")
 
@@ -129,27 +132,34 @@ def sentence_around(text: Column, word: str, limit: int = 520) -> Column:
     """What surrounds the first mention of a word within its sentence, else the text's beginning."""
     flat = collapsed(text)
     quoted = re.sub(r"([^A-Za-z0-9 ])", r"\\\1", word)
-    found = F.regexp_extract(flat, rf"(?i)[^.?!]{{0,180}}{quoted}[^.?!]{{0,240}}[.?!]?", 0)
+    found = F.regexp_extract(flat, f"(?i){SENTENCE_BEFORE}{quoted}{SENTENCE_AFTER}", 0)
     return F.left(F.when(found != "", F.trim(found)).otherwise(flat), F.lit(limit))
 
 
-def place_of(text: Column, state: Column, country: str = "Australia") -> Column:
-    """The place that a heading is about: without years, brackets, the state and the country, up to a dash, colon or comma; else the state, else the country."""
-    t = F.regexp_replace(F.regexp_replace(text, r"\b(1[7-9][0-9]{2}|20[0-9]{2})\b", ""), r"\([^)]*\)", "")
-    t = F.when(F.coalesce(state, F.lit("")) != "", F.regexp_replace(t, F.concat(F.lit(r"(?i)\b\Q"), state, F.lit(r"\E\b")), F.lit(""))).otherwise(t)
-    t = F.replace(F.regexp_replace(t, rf"(?i)\b{country}\b", ""), F.lit("&amp;"), F.lit("&"))
-    t = F.trim(F.regexp_replace(F.regexp_extract(t, r"(?s)^(.*?)(?:\s+-\s+|\s+:|$)", 1), r"^[ ,.-]+|[ ,.-]+$", ""))
-    return F.coalesce(F.nullif(collapsed(F.regexp_extract(t, "^([^,]*)", 1)), F.lit("")), F.nullif(state, F.lit("")), F.lit(country))
+def place_of(text: Column, state: Column, code: Column | None = None, hints: list[tuple[str, str, str]] = (), country: str = "Australia") -> Column:
+    """The place that a heading is about, else its state, else the country.
+
+    hints (words, code of a state, place) come first, the longest words first: words that are in the heading, whatever letters don't touch, name the
+    place if they are of the heading's state. Otherwise the heading is read as: noise (years, brackets, the state by name and code, the country) that may be
+    anywhere and is skipped, then the place, up to the first comma, or to a dash or colon behind a space, without punctuation at its ends.
+    """
+    name = F.coalesce(state, F.lit(""))
+    quoted = lambda c: F.when(c != "", F.concat(F.lit(r"|\b\Q"), c, F.lit(r"\E\b"))).otherwise("")
+    noise = F.concat(F.lit(r"(?i)\b(?:1[7-9][0-9]{2}|20[0-9]{2})\b|\([^)]*\)" + rf"|\b{country}\b"), quoted(name), quoted(F.coalesce(code, F.lit(""))) if code is not None else F.lit(""))
+    heading = F.replace(F.regexp_replace(text, noise, F.lit("")), F.lit("&amp;"), F.lit("&"))
+    place = collapsed(F.regexp_extract(heading, r"(?s)^[ ,.-]*(.*?)(?:[ ,.-]*\s-\s|[ ,.-]*\s:|,|[ ,.-]*$)", 1))
+    told = [F.when((code == of) & F.lower(text).rlike(rf"(?<![a-z])\Q{words.lower()}\E(?![a-z])"), known) for words, of, known in sorted(hints, key=lambda h: -len(h[0]))] if code is not None else []
+    return F.coalesce(*told, F.nullif(place, F.lit("")), F.nullif(name, F.lit("")), F.lit(country))
 
 
 def place_state_year(title: Column, states: dict[str, str], unwanted: tuple[str, ...]) -> Column:
     """struct<place, state, year> of a title "place, state year", the state by name or code; null for others and for places that hold an unwanted word."""
     t = collapsed(title)
-    names = "|".join(sorted([*states, *states.values()], key=len, reverse=True))
-    pattern = rf"(?i)^([A-Za-z][A-Za-z0-9'&./ -]{{2,80}}?),\s*({names})\s+([0-9]{{4}})$"
-    place, state = F.trim(F.regexp_extract(t, pattern, 1)), F.upper(F.regexp_extract(t, pattern, 2))
+    either = [rf"(?i)^({TITLE_PLACE}),\s*({'|'.join(given)})\s+([0-9]{{4}})$" for given in (states, states.values())]
+    part = lambda k: F.coalesce(*[F.nullif(F.regexp_extract(t, pattern, k), F.lit("")) for pattern in either])
     codes = F.create_map(*[F.lit(x) for name, code in states.items() for x in (name.upper(), code)])
-    known = F.struct(place.alias("place"), F.coalesce(F.element_at(codes, state), state).alias("state"), F.regexp_extract(t, pattern, 3).cast("int").alias("year"))
+    place, state = F.trim(part(1)), F.upper(part(2))
+    known = F.struct(place.alias("place"), F.coalesce(F.element_at(codes, state), state).alias("state"), part(3).cast("int").alias("year"))
     return F.when((place != "") & ~F.lower(place).rlike("|".join(unwanted)), known)
 
 

@@ -152,12 +152,14 @@ def promotion_downgrade(a: Archive) -> DataFrame:
     return update_where(s, F.col("promoted"), decision=F.lit("lead_only"))
 
 
-@query("SELECT location_id, CASE WHEN cut = '' THEN state ELSE cut END AS place FROM (SELECT location_id, state, CASE WHEN location_id % 4 = 0 THEN '' ELSE place_name END AS cut FROM places)")
+@query(
+    r"""WITH h AS (SELECT doc_id, source, text, trim(regexp_replace(COALESCE(text, ''), '\s+', ' ', 'g')) AS flat FROM documents), c AS (SELECT doc_id, regexp_replace(flat, '(?i)\b(?:1[7-9][0-9]{2}|20[0-9]{2})\b|\([^)]*\)|\bAustralia\b|\bthe\b|\bof\b', '', 'g') AS c FROM h)
+    SELECT doc_id, md5(COALESCE(NULLIF(trim(regexp_replace(regexp_extract(c, '(?s)^[ ,.-]*(.*?)(?:[ ,.-]*\s-\s|[ ,.-]*\s:|,|[ ,.-]*$)', 1), '\s+', ' ', 'g')), ''), 'the')) AS place FROM c"""
+)
 def inferred_places(a: Archive) -> DataFrame:
-    """Places of headings such as "place 1999 (region) STATE - note"."""
-    name = F.when(F.col("location_id") % 4 == 0, "").otherwise(F.col("place_name"))
-    heading = F.concat(name, F.lit(" 1999 ("), "region", F.lit(") "), "state", F.lit(" - a note, and more"))
-    return a.places.select("location_id", t.place_of(heading, F.col("state")).alias("place"))
+    """What texts, read as headings, are about, where "the" and "of" stand for a state's name and code."""
+    flat = t.collapsed(F.col("text"))
+    return a.table("documents").select("doc_id", F.md5(t.place_of(flat, F.lit("the"), F.lit("of")).cast("binary")).alias("place"))
 
 
 @query("SELECT location_id, CASE WHEN location_id % 4 = 0 THEN NULL ELSE 'Bega' END AS place, CASE WHEN location_id % 4 = 0 THEN NULL WHEN location_id % 2 = 0 THEN 'NSW' ELSE 'VIC' END AS state, CAST(CASE WHEN location_id % 4 <> 0 THEN 1900 + location_id % 100 END AS INTEGER) AS year FROM places")

@@ -76,6 +76,9 @@ def test_parts_of_texts(spark):
     assert one(spark, t.sentence_around(F.col("v"), "Ghost"), "One. A  ghost was seen here! Two.", "nothing") == ["A ghost was seen here!", "nothing"]
     places = spark.createDataFrame([("Ballarat Gold (1890) Victoria 1901 - notes", "Victoria"), ("Bega, NSW", "NSW"), ("(1999)", ""), ("Victoria", "Victoria"), ("Tom &amp; Co : x", None)], "v string, s string")
     assert [r[0] for r in places.select(t.place_of(F.col("v"), F.col("s"))).collect()] == ["Ballarat Gold", "Bega", "Australia", "Victoria", "Tom & Co"]
+    coded = spark.createDataFrame([("Bega (NSW) 1999 - a note", "New South Wales", "NSW"), ("Bega, nsw", "New South Wales", "NSW"), ("Ghosts of the Gap, Queensland", "Queensland", "QLD"), ("the gap QLD", "Queensland", "QLD"), ("The Gap, NSW", "New South Wales", "NSW"), ("- Bega. - x", "", ""), ("1999", "Victoria", "VIC"), ("Foo :bar", None, None)], "v string, s string, c string")
+    hints = [("gap", "QLD", "Gap Creek"), ("the gap", "QLD", "The Gap")]
+    assert [r[0] for r in coded.select(t.place_of(F.col("v"), F.col("s"), F.col("c"), hints)).collect()] == ["Bega", "Bega", "The Gap", "The Gap", "The Gap", "Bega", "Victoria", "Foo"]
     found = one(spark, t.place_state_year(F.col("v"), {"Victoria": "VIC", "New South Wales": "NSW"}, ("news",)), "Bega, new south wales 1999", "Ararat, VIC 2001", "Daily News, VIC 2001", "Bega 1999", None)
     assert [tuple(x) if x else None for x in found] == [("Bega", "NSW", 1999), ("Ararat", "VIC", 2001), None, None, None]
 
