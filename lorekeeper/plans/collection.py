@@ -18,7 +18,11 @@ def overlap_windows(a: Archive) -> DataFrame:
     return term_windows(a.table("documents"), ["idiot", "password", "token"])
 
 
-@query(None)
+@query(
+    """WITH RECURSIVE o AS (SELECT row_number() OVER (ORDER BY page_id) AS i, page_id, regexp_replace(url, '[?#].*$', '') AS u, length(html) AS n FROM pages),
+    s(i, us, ns, page_id, k) AS (SELECT 0, CAST([] AS VARCHAR[]), CAST([] AS BIGINT[]), NULL::BIGINT, FALSE UNION ALL SELECT i, CASE WHEN k THEN list_append(us, u) ELSE us END, CASE WHEN k THEN list_append(ns, n) ELSE ns END, page_id, k FROM (SELECT o.*, us, ns, NOT list_contains(us, u) AND NOT list_contains(ns, n) AS k FROM s JOIN o ON o.i = s.i + 1))
+    SELECT page_id FROM s WHERE k"""
+)
 def sequential_or_dedupe(a: Archive) -> DataFrame:
     """Pages kept in order of id unless an earlier kept one has their address or their length."""
     p = a.table("pages").select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("u"), F.char_length("html").alias("n"))
