@@ -11,12 +11,14 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lorekeeper.operators.ranking import first_by
 
@@ -28,6 +30,8 @@ BITS, OUTER = 1 << 25, 32
 SLICE_BYTES = 1 << 20
 #: Parts that the mentions of one key are dealt into before they meet the key's names.
 SALTS = 16
+#: Bytes of names that one automaton holds, of names that are looked for within words.
+BLOCK_BYTES = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C1B
 _WORD, _SPACE = 1, 2
@@ -158,18 +162,18 @@ def _matched(around: int):
                 if m is None or m.start(1) != lead:
                     continue
                 evidence = near[max(0, m.start() - around) : m.end() + around]
-                out.append((doc, item, start + m.start() - lead, start + m.end() - lead, " ".join(evidence.split())))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "start", "end", "evidence"])
+                out.append((doc, item, start + m.start() - lead, start + m.end() - lead, " ".join(evidence.split()), m.group(0)))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "start", "end", "evidence", "printed"])
 
     return run
 
 
-def mentions(docs: DataFrame, names: DataFrame, around: int = 90, every: bool = False) -> DataFrame:
+def mentions(docs: DataFrame, names: DataFrame, around: int = 90, every: bool = False, printed: bool = False) -> DataFrame:
     """(doc_id, item_id, start, end, evidence): where texts (doc_id, text) hold a name (item_id, name) as words.
 
     Case doesn't matter, a space of a name is any white space, and no letter, digit or underscore touches a mention. start and end
     are in characters, from 0, end exclusive; evidence is the text up to ``around`` characters on each side, white space
-    collapsed. Without ``every`` only the first mention of a name in a text is sure to be told. Null texts and names hold nothing; a
+    collapsed; with ``printed`` a column of that name tells the mention as it stands. Without ``every`` only the first mention of a name in a text is sure to be told. Null texts and names hold nothing; a
     name without letters, digits and underscores, or with more than OUTER other characters before or after them, is not looked for.
     """
     kinds = {c: t for c, t in [("doc_id", dict(docs.dtypes)["doc_id"]), ("item_id", dict(names.dtypes)["item_id"])]}
@@ -216,15 +220,69 @@ def mentions(docs: DataFrame, names: DataFrame, around: int = 90, every: bool =
     found = docs.select("doc_id", "text").where("text <> ''").mapInArrow(scan, f"doc_id {kinds['doc_id']}, k long, start long, lead int, near string")
     salted = keyed.drop("size").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     pairs = found.withColumn("salt", F.pmod(F.xxhash64("near", "start"), F.lit(SALTS)).cast("int")).join(salted, ["k", "salt"])
-    return pairs.select("doc_id", "start", "lead", "near", "item_id", "name").mapInPandas(_matched(around), f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, start long, end long, evidence string")
+    found = pairs.select("doc_id", "start", "lead", "near", "item_id", "name").mapInPandas(_matched(around), f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, start long, end long, evidence string, printed string")
+    return found if printed else found.drop("printed")
 
 
-def first_mentions(docs: DataFrame, names: DataFrame, around: int = 90) -> DataFrame:
+def first_mentions(docs: DataFrame, names: DataFrame, around: int = 90, printed: bool = False) -> DataFrame:
     """mentions, the first one of each name under each doc_id."""
-    found = mentions(docs, names, around).groupBy("doc_id", "item_id").agg(F.min(F.struct("start", "end", "evidence")).alias("m"))
+    columns = ["start", "end", "evidence"] + ["printed"] * printed
+    found = mentions(docs, names, around, printed=printed).groupBy("doc_id", "item_id").agg(F.min(F.struct(*columns)).alias("m"))
     return found.select("doc_id", "item_id", "m.*")
 
 
+def _low(text: str) -> str:
+    """A text in lower case, letter by letter, so that places stay."""
+    return _letters()[1][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].tobytes().decode("utf-32-le", "surrogatepass")
+
+
+@F.pandas_udf(StringType())
+def _lowered(text: pd.Series) -> pd.Series:
+    return text.map(_low, na_action="ignore")
+
+
+def _held(names: list[str], around: int):
+    """The first place of each of some lower-case names in each text, in one pass over it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = ahocorasick.Automaton()
+        for name in names:
+            found.add_word(name, name)
+        found.make_automaton()
+        for b in batches:
+            out = []
+            for doc, text in zip(b["doc_id"], b["text"]):
+                first: dict[str, int] = {}
+                for last, name in found.iter(_low(text)):
+                    first.setdefault(name, last + 1)
+                for name, end in first.items():
+                    start = end - len(name)
+                    out.append((doc, name, start, end, " ".join(text[max(0, start - around) : end + around].split()), text[start:end]))
+            yield pd.DataFrame(out, columns=["doc_id", "low", "start", "end", "evidence", "printed"])
+
+    return run
+
+
+def first_held(docs: DataFrame, names: DataFrame, around: int = 90) -> DataFrame:
+    """(doc_id, item_id, start, end, evidence, printed): the first place where a text holds a name as it stands, within words too.
+
+    Case doesn't matter, letter by letter: letters are equal if their lower-case forms of one letter are. A name's spaces are spaces. Different
+    names are dealt into blocks of about BLOCK_BYTES; each block is an automaton and one pass over the texts, so names of any number do.
+    A doc_id is taken as one text. Null and empty texts and names hold nothing; names may repeat under several item_ids.
+    """
+    kind = dict(docs.dtypes)["doc_id"]
+    keyed = names.select("item_id", _lowered(F.col("name")).alias("low")).where("low <> ''")
+    distinct = keyed.select("low").distinct()
+    blocks = -(-int(distinct.agg(F.coalesce(F.sum(F.octet_length("low")), F.lit(0))).first()[0]) // BLOCK_BYTES)
+    texts, schema = docs.select("doc_id", "text").where("text <> ''"), f"doc_id {kind}, low string, start long, end long, evidence string, printed string"
+    found = docs.sparkSession.createDataFrame([], schema)
+    for k in range(blocks):
+        block = [r.low for r in distinct.where(F.pmod(F.xxhash64("low"), F.lit(blocks)) == k).collect()]  # about BLOCK_BYTES
+        if block:
+            found = found.unionAll(texts.mapInPandas(_held(block, around), schema))
+    return found.join(keyed, "low").select("doc_id", "item_id", "start", "end", "evidence", "printed")
+
+
 def _aliases(catalogue: DataFrame) -> DataFrame:
     return catalogue.where("alias <> '' and place is not null").select(F.struct("place", "place_order", "alias_order", "alias").alias("item_id"), F.col("alias").alias("name"))
 
