@@ -72,17 +72,29 @@ KINDS = {
         classification_confidence="low", rights_access_status="public_review_required", reproduction_status="metadata_or_short_excerpt_only", text_or_ocr_status="metadata_or_excerpt", label_type="uncertain_label", entity_concept_key=UNRESOLVED, notes="Legacy row could not be safely promoted by deterministic rules.",
     ),
 }
+#: Fields that some kind fixes, and those of a source.
+CONSTANT = {c for values in KINDS.values() for c in values}
+STANDING = ("source_tier", "source_mediation", "source_traceability_status")
 
 
 def standing(source_type: Column, source_name: Column) -> Column:
     """(source_tier, source_mediation, source_traceability_status) of a source as one struct, so that they can't fall apart."""
-    told = lambda values: F.struct(*[F.lit(v).alias(c) for c, v in zip(("source_tier", "source_mediation", "source_traceability_status"), values)])
+    told = lambda values: F.struct(*[F.lit(v).alias(c) for c, v in zip(STANDING, values)])
     by_type = lambda rules: [(source_type.isin(*types), told(v)) for types, v in rules]
     return ladder([*by_type(SOURCES), (F.contains(F.lower(source_name), F.lit(AGGREGATOR)), told(AGGREGATORS)), *by_type(LATER_SOURCES)], told(OTHER_SOURCES))
 
 
-def _flags(*rules: tuple[Column, str]) -> Column:
-    return F.array_compact(F.array(*[F.when(c, v) for c, v in rules])).cast("array<string>")
+def _labels() -> dict[str, dict]:
+    """What each fixed label tells: its kind, whether it is sensitive, and what being it is."""
+    kinds = {"encounter": HAIRY_HUMANOID, "traditional": TRADITIONAL + HIGH_SENSITIVITY, "exclusion": EXCLUSION, "control": CONTROL}
+    return {x: dict(kind=kind, sensitive=x in HIGH_SENSITIVITY, being="giant" if x in GIANTS else "spirit" if x in SPIRITS else None) for kind, labels in kinds.items() for x in labels}
+
+
+def _looked_up(table: dict[str, dict], key: Column) -> Column:
+    """The row of a small fixed table under a key, as a struct of all names in it; null if there is none. Spark folds the table into one literal, so the key's expression appears once."""
+    names = {c: F.lit(None).cast("boolean" if any(isinstance(r.get(c), bool) for r in table.values()) else "string") for c in dict.fromkeys(c for r in table.values() for c in r)}
+    rows = [x for k, r in table.items() for x in (F.lit(k), F.struct(*[(F.lit(r[c]) if r.get(c) is not None else null).alias(c) for c, null in names.items()]))]
+    return F.element_at(F.create_map(*rows), key)
 
 
 def classified(rows: DataFrame) -> DataFrame:
@@ -95,37 +107,46 @@ def classified(rows: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     kind, name = text("source_type"), text("source_name")
     given = rows.withColumn("label", first_given("figure_name_as_printed", "canonical_figure_guess", "canonical_name", F.lit(UNLABELLED))).withColumn("_l", normalised(F.col("label")))
-    given = given.withColumns({"_t": F.concat_ws(" ", "_l", normalised(F.col("title")), normalised(F.col("snippet"))), "_s": standing(kind, name)})
-    label, words, status = F.col("_l"), F.col("_t"), text("include_status")
+    given = given.withColumns({"_t": F.concat_ws(" ", "_l", normalised(F.col("title")), normalised(F.col("snippet"))), "_known": _looked_up(_labels(), F.col("_l")), "_s": standing(kind, name)})
+    label, words, status = F.col("_known"), F.col("_t"), text("include_status")
     related = F.coalesce(F.col("involves_indigenous_knowledge").cast("boolean"), F.lit(False))
-    sensitive = label.isin(*HIGH_SENSITIVITY) | mentions(words, SENSITIVE_WORDS)
-    care = lambda n: ladder([(sensitive, CARE["high"][n]), (related, CARE["related"][n])], CARE["none"][n])
-    careful = [(sensitive, "high_sensitivity"), (~sensitive & related, "indigenous_related")]
-    uninspected = ((kind == "internet_archive_metadata") & (text("full_text_path") == ""), "item_text_requires_inspection")
-    aggregated = F.contains(name, F.lit(AGGREGATOR_TITLE))
-    reprinted = aggregated & (mentions(words, REPRINT_WORDS) | F.coalesce((F.col("year") != 0) & (F.col("year") < REPRINT_BEFORE), F.lit(False)))
-    always = F.lit(True)
-
-    def verdict(of: str, *flags: tuple[Column, str], **more: Column) -> Column:
-        values = dict(cultural_sensitivity=care(0), ethics_review_status=care(1), display_mode=care(2), review_flags=_flags(*flags)) | {c: F.lit(v) for c, v in KINDS[of].items()} | more
-        values |= {c: F.col(f"_s.{c}") for c in ("source_tier", "source_mediation", "source_traceability_status")}
-        return F.struct(*[values.get(c, F.lit(None).cast("string")).alias(c) for c in FIELDS])
-
-    tale = ladder([(F.contains(words, F.lit(GIANT_WORD)) | label.isin(*GIANTS), "giant_or_ogre_narrative"), (F.contains(words, F.lit(SPIRIT_WORD)) | label.isin(*SPIRITS), "spirit_person_narrative")], "traditional_narrative")
-    decided = ladder(
+    of = ladder(
         [
-            (label.isin(*CONTROL) | (status == "control_only"), verdict("control", (always, "control"))),
-            (label.isin(*EXCLUSION) | (status == "exclude_core"), verdict("exclusion", (always, "exclusion"))),
-            (kind == "academic_metadata", verdict("catalogue", *careful, (always, "metadata_only_not_accepted"), entity_concept_key=F.when(related, TRADITIONAL_CLUSTER).otherwise(UNRESOLVED))),
-            (
-                label.isin(*TRADITIONAL) | related,
-                verdict("traditional", *careful, uninspected, narrative_type=tale, secondary_role=F.when(kind.isin("modern_web", "internet_archive_metadata"), "heritage_discourse"), relationship_type=F.when(F.col("_s.source_tier") == "A", "original_publication").otherwise("derivative_web_summary")),
-            ),
-            (
-                label.isin(*HAIRY_HUMANOID) | (text("canonical_name") == HAIRY_FIGURE),
-                verdict("encounter", *careful, uninspected, (reprinted, "original_article_verification_required"), relationship_type=ladder([(reprinted, "archive_reproduction"), (aggregated, "retrospective_summary")], "witness_account_publication"), label_type=F.when(label == "yowie", "exact_name").otherwise("historical_descriptor")),
-            ),
+            ((label["kind"] == "control") | (status == "control_only"), "control"),
+            ((label["kind"] == "exclusion") | (status == "exclude_core"), "exclusion"),
+            (kind == "academic_metadata", "catalogue"),
+            ((label["kind"] == "traditional") | related, "traditional"),
+            ((label["kind"] == "encounter") | (text("canonical_name") == HAIRY_FIGURE), "encounter"),
         ],
-        verdict("pointer", *careful, uninspected, (always, "requires_manual_classification")),
+        "pointer",
     )
-    return given.withColumn("_c", decided).select(*[c for c in rows.columns if c not in (*FIELDS, "label")], "label", "_c.*")
+    care = ladder([(label["sensitive"] | mentions(words, SENSITIVE_WORDS), "high"), (related, "related")], "none")
+    aggregated = F.contains(name, F.lit(AGGREGATOR_TITLE))
+    reprinted = aggregated & (mentions(words, REPRINT_WORDS) | F.coalesce((F.col("year") != 0) & (F.col("year") < REPRINT_BEFORE), F.lit(False)))
+    tale = ladder([(F.contains(words, F.lit(GIANT_WORD)) | (label["being"] == "giant"), "giant_or_ogre_narrative"), (F.contains(words, F.lit(SPIRIT_WORD)) | (label["being"] == "spirit"), "spirit_person_narrative")], "traditional_narrative")
+    publication = ladder([(reprinted, "archive_reproduction"), (aggregated, "retrospective_summary")], "witness_account_publication")
+    told = given.withColumns({"_k": of, "_care": care, "_tale": tale, "_publication": publication, "_related": related})
+
+    k, tier = F.col("_k"), F.col("_s.source_tier")
+    fixed, cared = _looked_up(KINDS, k), _looked_up({c: dict(zip(("cultural_sensitivity", "ethics_review_status", "display_mode"), v)) for c, v in CARE.items()}, F.col("_care"))
+    traditional, encounter = k == "traditional", k == "encounter"
+    own = {
+        "narrative_type": F.when(traditional, F.col("_tale")),
+        "secondary_role": F.when(traditional & kind.isin("modern_web", "internet_archive_metadata"), "heritage_discourse"),
+        "relationship_type": ladder([(traditional & (tier == "A"), "original_publication"), (traditional, "derivative_web_summary"), (encounter, F.col("_publication"))]),
+        "label_type": ladder([(encounter & (F.col("_l") == "yowie"), "exact_name"), (encounter, "historical_descriptor")]),
+        "entity_concept_key": ladder([((k == "catalogue") & F.col("_related"), TRADITIONAL_CLUSTER), (k == "catalogue", UNRESOLVED)]),
+    } | {c: cared[c] for c in ("cultural_sensitivity", "ethics_review_status", "display_mode")}
+    reviewed = ~k.isin("control", "exclusion")
+    flags = [
+        (~reviewed, k),
+        (reviewed & (F.col("_care") == "high"), "high_sensitivity"),
+        (reviewed & (F.col("_care") == "related"), "indigenous_related"),
+        (reviewed & (kind == "internet_archive_metadata") & (text("full_text_path") == ""), "item_text_requires_inspection"),
+        (encounter & (F.col("_publication") == "archive_reproduction"), "original_article_verification_required"),
+        (k == "catalogue", "metadata_only_not_accepted"),
+        (k == "pointer", "requires_manual_classification"),
+    ]
+    fields = {c: F.coalesce(*[v for v in (fixed[c] if c in CONSTANT else None, own.get(c)) if v is not None]) for c in FIELDS if c in CONSTANT or c in own}
+    fields |= {c: F.col(f"_s.{c}") for c in STANDING} | {"review_flags": F.array_compact(F.array(*[F.when(c, v) for c, v in flags]))}
+    return told.select(*[c for c in rows.columns if c not in (*FIELDS, "label")], "label", *[fields[c].alias(c) for c in FIELDS])

@@ -16,6 +16,25 @@ def band_of(year: Column, bands: list[tuple[str, int, int]]) -> Column:
     return out.otherwise("outside_scope")
 
 
+def bands_between(periods: list[tuple[str, int | None, int | None]], earliest: int | None, latest: int | None) -> list[tuple[str, int | None, int | None]]:
+    """Periods (band, first, last) as bands from the earliest to the latest year: a first or last of None stands for those.
+
+    Without years no band has bounds. Bands have to follow one another without a gap, from the earliest year to the latest one; otherwise ValueError.
+    """
+    if earliest is None or latest is None:
+        return [(band, None, None) for band, _, _ in periods]
+    bands = [(band, earliest if first is None else first, latest if last is None else last) for band, first, last in periods]
+    for (_, _, before), (band, first, _) in zip(bands, bands[1:]):
+        if first != before + 1:
+            raise ValueError(f"period {band} starts in {first}, after {before}")
+    for band, first, last in bands:
+        if last < first:
+            raise ValueError(f"period {band} ends in {last}, before it starts in {first}")
+    if bands and (bands[0][1], bands[-1][2]) != (earliest, latest):
+        raise ValueError(f"periods from {bands[0][1]} to {bands[-1][2]} for years from {earliest} to {latest}")
+    return bands
+
+
 def leading_year(text: Column) -> Column:
     """The first four characters as a year, if they are digits."""
     head = F.substring(F.trim(text), 1, 4)
