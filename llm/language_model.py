@@ -32,6 +32,8 @@ WORDS, CLASSES, DIM, LAST, MEAN = 191, 64, 24, 3, 16
 #: The leading coordinates of a context that the nodes of the trees read.
 STEER = 24
 END, OUTPUTS = WORDS, WORDS + 1 + CLASSES
+#: The steps by which sums of MEAN rows double.
+WIDTHS = [1 << k for k in range(MEAN.bit_length() - 1)]
 #: Words that make up at least one in so many tokens have vectors and are broadcast with their counts: as many at most.
 COMMON = 1 << 20
 SLICE = 512 << 10
@@ -109,6 +111,7 @@ class Tree:
     left: np.ndarray  # 1 where the path goes left
     bias: np.ndarray  # of each node: the log of left to right by the counts
     log_rest: np.ndarray  # log10 of the smoothed counts of each class's rest
+    rank: np.ndarray  # of each leaf from right to left, as the nodes are numbered: the leaves below a node are neighbours
 
 
 def tree(of_common: np.ndarray, classes: np.ndarray, counts: np.ndarray, rest: np.ndarray) -> Tree:
@@ -147,7 +150,7 @@ def tree(of_common: np.ndarray, classes: np.ndarray, counts: np.ndarray, rest: n
     leaves = cat(leaves, np.int64)
     by_leaf = np.argsort(leaves, kind="stable")
     begins = np.concatenate([[0], np.cumsum(np.bincount(leaves, minlength=n))])
-    return Tree(of_common, n, begins, cat(nodes, np.int32)[by_leaf], cat(sides, np.int8)[by_leaf], np.array(bias, np.float64), np.log10(rest))
+    return Tree(of_common, n, begins, cat(nodes, np.int32)[by_leaf], cat(sides, np.int8)[by_leaf], np.array(bias, np.float64), np.log10(rest), n - 1 - np.argsort(order))
 
 
 @dataclass
@@ -165,6 +168,8 @@ class Vocabulary:
     tree: Tree | None = None
 
     def __post_init__(self):
+        self.output_of_common = np.full(len(self.common), -1)  # frequent words are common, too
+        self.output_of_common[np.searchsorted(self.common, self.words)] = self.outputs
         if self.tree is None:  # no word but the frequent ones has a vector to itself
             none = np.zeros(0, np.int64)
             self.tree = tree(np.full(len(self.common), CLASSES), none, none, self.output_counts[END + 1 :] + 0.1 * (self.class_distinct + 1))
@@ -205,30 +210,35 @@ _filters: dict[int, tuple[np.ndarray, np.ndarray, np.uint64]] = {}
 
 
 def _filter(keys: np.ndarray) -> tuple[np.ndarray, np.uint64]:
-    """A bit for the leading bits of every key, made once for an array that stays."""
+    """Where the sorted keys with the same leading bits begin (and one entry more), made once for an array that stays."""
     held = _filters.get(id(keys))
     if held is None or held[0] is not keys:
-        width = min(22, max(12, int(len(keys)).bit_length() + 3))
-        bits = np.zeros(1 << width, bool)
+        width = min(22, max(12, int(len(keys)).bit_length() + 1))
         shift = _U(64 - width)
-        bits[keys >> shift] = True
+        begins = np.zeros((1 << width) + 1, np.int32)
+        np.cumsum(np.bincount((keys >> shift).view(np.int64), minlength=1 << width), out=begins[1:])
         if len(_filters) > 8:
             _filters.clear()
-        held = _filters[id(keys)] = (keys, bits, shift)
+        held = _filters[id(keys)] = (keys, begins, shift)
     return held[1], held[2]
 
 
 def find(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each of h is among the sorted keys, and its place there."""
-    if not len(keys):
-        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
-    bits, shift = _filter(keys)
-    maybe = np.flatnonzero(bits[h >> shift])
-    place = np.minimum(np.searchsorted(keys, h[maybe]), len(keys) - 1)
-    ok = keys[place] == h[maybe]
     found, at = np.zeros(len(h), bool), np.zeros(len(h), np.int64)
-    found[maybe[ok]] = True
-    at[maybe[ok]] = place[ok]
+    if not len(keys):
+        return found, at
+    begins, shift = _filter(keys)
+    lead = (h >> shift).view(np.int64)
+    place, end = begins.take(lead), begins.take(lead + 1)
+    rows = np.flatnonzero(place < end)
+    place, end, h = place[rows], end[rows], h[rows]
+    while len(rows):  # once for every key of the fullest lead
+        ok = keys.take(place) == h
+        found[rows[ok]] = True
+        at[rows[ok]] = place[ok]
+        more = np.flatnonzero(~ok & (place + 1 < end))
+        rows, place, end, h = rows[more], place[more] + 1, end[more], h[more]
     return found, at
 
 
@@ -251,16 +261,17 @@ def tokens(w: Words, v: Vocabulary) -> Tokens:
     counts = np.diff(w.at)
     bounds = np.concatenate([[0], np.cumsum(counts + 1)])
     of_word = np.arange(len(w.starts)) + np.repeat(np.arange(len(counts)), counts)
-    frequent, at = find(v.words, w.hashes)
     classes = word_classes(w)
-    outputs = np.full(bounds[-1], END, np.int64)
-    outputs[of_word] = END + 1 + classes
-    if frequent.any():
-        outputs[of_word[frequent]] = v.outputs[at[frequent]]
     places = np.arange(bounds[-1]) - np.repeat(bounds[:-1], counts + 1)
     common, place = find(v.common, w.hashes)
-    leaf = np.where(frequent, v.tree.n, classes)
-    leaf[common] = v.tree.of_common[place[common]]
+    if len(v.common):
+        output = np.where(common, v.output_of_common.take(place), -1)
+        leaf = np.where(common, v.tree.of_common.take(place), classes)
+    else:
+        output, leaf = np.full(len(classes), -1), classes
+    frequent = output >= 0
+    outputs = np.full(bounds[-1], END, np.int64)
+    outputs[of_word] = np.where(frequent, output, END + 1 + classes)
     leaves = np.full(bounds[-1], v.tree.n, np.int64)
     leaves[of_word] = leaf
     return Tokens(outputs, places, bounds, of_word, np.where(frequent, -1, classes), leaves, common, place, v.tree)
@@ -293,52 +304,60 @@ class Context:
         self.x[:MEAN] = p["q"][OUTPUTS]
         np.add(p["q"].take(self.run, 0), p["e"].take(self.leaves, 0), out=self.x[MEAN:])
         self.off = MEAN + low - base  # the first token's row
-        self.fresh = [np.flatnonzero(self.place <= k) for k in range(LAST)]
         self.short = np.flatnonzero(self.place < MEAN)
-        sums = np.zeros((len(self.x) + 1, DIM), self.x.dtype)
-        np.cumsum(self.x, 0, out=sums[1:])
-        self.mean = sums[self.off : self.off + self.m] - sums[self.off - MEAN : self.off - MEAN + self.m]
-        self.mean *= 1 / MEAN
-        if len(self.short):
-            at, k = self.off + self.short, self.place[self.short]
-            self.mean[self.short] = (sums[at] - sums[at - k]) / np.maximum(k, 1)[:, None]
-        self.h = self.mean @ p["c"][LAST]
+        self.divisor = np.maximum(self.place[self.short], 1).astype(self.x.dtype)[:, None]
+        begun = t.places[base:high]
+        some = np.flatnonzero(begun < MEAN)
+        self.begun, self.rows = begun[some], MEAN + some  # the rows of tokens whose text has just begun
+        # Sums of what stands before every row in its text: of one, then of twice as many at a time.
+        sums = np.zeros_like(self.x)
+        sums[1:] = self.x[:-1]
+        sums[self.rows[self.begun == 0]] = 0
+        for width in WIDTHS:
+            few = self.rows[self.begun < width]  # have them all
+            more = sums.copy()
+            more[width:] += sums[:-width]
+            more[few] = sums[few]
+            sums = more
+        # What the matrices read, side by side: the last tokens, or what stands before a text, and the mean.
+        self.fresh = [np.flatnonzero(self.place <= k) for k in range(LAST)]
+        self.read = np.empty((self.m, LAST + 1, DIM), self.x.dtype)
         for k in range(LAST):
-            y = self.x[self._slice(k)] @ p["c"][k]
-            y[self.fresh[k]] = p["q"][OUTPUTS] @ p["c"][k]
-            self.h += y
+            self.read[:, k] = self.x[self._slice(k)]
+            self.read[self.fresh[k], k] = p["q"][OUTPUTS]
+        np.multiply(sums[self.off : self.off + self.m], self.x.dtype.type(1 / MEAN), out=self.read[:, LAST])
+        self.read[self.short, LAST] = sums[self.off + self.short] / self.divisor
+        self.read = self.read.reshape(self.m, -1)
+        self.h = self.read @ p["c"].reshape(-1, DIM)
 
     def _slice(self, k: int) -> slice:
         return slice(self.off - 1 - k, self.off - 1 - k + self.m)
 
     def gradients(self, p: dict, dh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of q and c; those of the tokens' vectors are left in dx."""
-        dx, start = np.zeros_like(self.x, shape=(len(self.x) + 1, DIM)), np.zeros(DIM, self.x.dtype)
-        each = dh @ (p["c"][LAST].T / MEAN)
-        if len(self.short):
-            begun = self.place[self.short]
-            few = dh[self.short] @ p["c"][LAST].T / np.maximum(begun, 1)[:, None]
-            each[self.short] = 0
-        dx[self.off - MEAN : self.off - MEAN + self.m] = each
-        dx[self.off : self.off + self.m] -= each
-        if len(self.short):
-            np.add.at(dx, self.off + self.short - begun, few)
-            dx[self.off + self.short] -= few
-        np.cumsum(dx, 0, out=dx)
-        dc = np.empty_like(p["c"])
+        start = np.zeros(DIM, self.x.dtype)
+        d = (dh @ p["c"].reshape(-1, DIM).T).reshape(self.m, LAST + 1, DIM)
+        # Every row gets what those after it in its text pass to their means: of one, then of twice as many at a time.
+        dx = np.zeros_like(self.x)
+        each = dx[self.off - 1 : self.off - 1 + self.m]
+        np.multiply(d[:, LAST], self.x.dtype.type(1 / MEAN), out=each)
+        each[self.short] = d[self.short, LAST] / self.divisor
+        dx[self.rows[self.begun == 0] - 1] = 0
+        for width in WIDTHS:
+            few = self.rows[self.begun < width] - width
+            more = dx.copy()
+            more[:-width] += dx[width:]
+            more[few] = dx[few]
+            dx = more
         for k in range(LAST):
-            part, d, few = self._slice(k), dh @ p["c"][k].T, self.fresh[k]
-            dc[k] = self.x[part].T @ dh
-            if len(few):
-                dc[k] += np.outer(p["q"][OUTPUTS], dh[few].sum(0)) - self.x[part][few].T @ dh[few]
-                start += d[few].sum(0)
-                d[few] = 0
-            dx[part] += d
-        dc[LAST] = self.mean.T @ dh
-        self.dx = dx[MEAN:-1]
+            few = self.fresh[k]
+            start += d[few, k].sum(0)
+            d[few, k] = 0
+            dx[self._slice(k)] += d[:, k]
+        self.dx = dx[MEAN:]
         out = scatter(self.run, self.dx, OUTPUTS + 1)
         out[OUTPUTS] = start
-        return out, dc
+        return out, np.ascontiguousarray((dh.T @ self.read).T).reshape(p["c"].shape)
 
 
 def scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -354,42 +373,126 @@ def scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+#: Tokens whose paths are worked on as one matrix.
+TILE = 32
+
+
 @dataclass
 class Paths:
-    """The paths of some tokens: by step its token, node and side, and the score there."""
+    """The paths of some tokens, in the order of their leaves.
 
-    rows: np.ndarray
-    nodes: np.ndarray
+    Neighbours share most of their nodes. So TILE tokens at a time meet all nodes of theirs in a matrix,
+    although each of them has only some on its path: a small product takes less time than gathering
+    vectors for every step.
+    """
+
+    tokens: np.ndarray
+    lengths: np.ndarray  # steps of each
+    cells: np.ndarray  # of every step: its place in the matrices, one after another
     left: np.ndarray
-    z: np.ndarray
-    h: np.ndarray  # what the nodes read
-    u: np.ndarray  # their vectors
+    z: np.ndarray  # and score
+    bounds: list[int]  # where the nodes of every tile begin
+    nodes: np.ndarray
+    repeated: np.ndarray  # whether an earlier tile has the node, too
+    times: np.ndarray  # how many steps it has in the tile
+    h: np.ndarray  # what the nodes read, by token
+    u: np.ndarray  # the nodes' vectors
+
+    @property
+    def rows(self) -> np.ndarray:
+        """The token of every step."""
+        return np.repeat(self.tokens, self.lengths)
+
+    def gradients(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """From those of the steps' scores: of what each token reads; the distinct nodes, of their vectors, and how many steps they have."""
+        cells = np.zeros(TILE * len(self.u), self.u.dtype)
+        cells[self.cells] = d
+        dh, du = np.empty_like(self.h), np.empty_like(self.u)
+        for k, (a, b) in enumerate(zip(self.bounds[:-1], self.bounds[1:])):
+            tile, at = cells[TILE * a : TILE * b].reshape(TILE, b - a), slice(k * TILE, (k + 1) * TILE)
+            np.matmul(tile, self.u[a:b], out=dh[at])
+            np.matmul(tile.T, self.h[at], out=du[a:b])
+        first, again = np.flatnonzero(~self.repeated), np.flatnonzero(self.repeated)
+        nodes, du_first, times = self.nodes[first], du.take(first, 0), self.times[first]  # nodes in order, as leaves are
+        if len(again):
+            at, more, n = row_sums(np.searchsorted(nodes, self.nodes[again]), du.take(again, 0))
+            du_first[at] += more
+            np.add.at(times, np.searchsorted(nodes, self.nodes[again]), self.times[again])
+        return dh[: len(self.tokens)], nodes, du_first, times
 
 
 def paths(p: dict, t: Tokens, low: int, h: np.ndarray) -> Paths:
     leaves = t.leaves[low : low + len(h)]
-    rows = np.flatnonzero(leaves < t.tree.n)
-    begins, ends = t.tree.begins[leaves[rows]], t.tree.begins[leaves[rows] + 1]
-    n = ends - begins
-    flat = np.arange(n.sum()) + np.repeat(begins - np.cumsum(n) + n, n)
-    rows, nodes = np.repeat(rows, n), t.tree.nodes[flat]
-    u, read = p["u"].take(nodes, 0), np.ones((len(h), STEER + 1), p["u"].dtype)
-    read[:, :STEER] = h[:, :STEER]
-    read = read.take(rows, 0)
-    return Paths(rows, nodes, t.tree.left[flat], np.einsum("ij,ij->i", read, u), read, u)
-
-
-def nudge(p: dict, squares: dict, seen: dict, key: str, rows: np.ndarray, made: np.ndarray, rate: float) -> None:
-    """An Adagrad step of some rows of a parameter, made having a gradient for each mention of a row; a row has one square."""
-    order = np.argsort(rows)
-    told = rows[order]
-    begins = np.flatnonzero(np.diff(told, prepend=-1))
-    found = told[begins]
-    g = np.add.reduceat(made.take(order, 0), begins)
-    square = squares[key][found] + np.einsum("ij,ij->i", g, g) / g.shape[1]
-    squares[key][found] = square
-    p[key][found] -= g * (rate / np.sqrt(square)).astype(np.float32)[:, None]
-    seen[key][found] += np.diff(begins, append=len(told))
+    tokens = np.flatnonzero(leaves < t.tree.n)
+    tokens = tokens[np.sort(t.tree.rank[leaves[tokens]] << 32 | np.arange(len(tokens))) & 0xFFFFFFFF]
+    ends = t.tree.begins[leaves[tokens] + 1]
+    lengths = ends - t.tree.begins[leaves[tokens]]
+    depth = np.arange(lengths.max(initial=0))
+    on = depth < lengths[:, None]
+    flat = (ends[:, None] - 1 - depth)[on]  # from the root down
+    node = np.full(on.shape, -1, np.int32)
+    node[on] = t.tree.nodes[flat]
+    new = on.copy()  # the first of its tile with the node
+    new[1:] &= node[1:] != node[:-1]
+    repeated = ~new & on
+    new[::TILE] = on[::TILE]
+    repeated = repeated[new]
+    number = np.cumsum(new, dtype=np.int32).reshape(on.shape)
+    number *= new
+    number = np.maximum.accumulate(number, 0)[on] - 1
+    nodes, tiles = node[new], -(-len(tokens) // TILE)
+    bounds = np.zeros(tiles + 1, np.int64)
+    if tiles:
+        np.cumsum(np.add.reduceat(new.sum(1), np.arange(0, len(tokens), TILE)), out=bounds[1:])
+    u, read = p["u"].take(nodes, 0), np.zeros((tiles * TILE, STEER + 1), p["u"].dtype)
+    read[: len(tokens), :STEER] = h.take(tokens, 0)[:, :STEER]
+    read[:, STEER] = 1
+    row = np.arange(len(tokens))
+    tile = row // TILE
+    # Of a tile whose nodes begin at a and end at b, the matrix begins at TILE * a and has b - a columns.
+    cells = number + np.repeat((TILE - 1) * bounds[tile] + row % TILE * np.diff(bounds)[tile], lengths)
+    told, bounds = np.empty(TILE * len(nodes), u.dtype), bounds.tolist()
+    for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        np.matmul(read[k * TILE : (k + 1) * TILE], u[a:b].T, out=told[TILE * a : TILE * b].reshape(TILE, b - a))
+    return Paths(tokens, lengths, cells, t.tree.left[flat], told[cells], bounds, nodes, repeated, np.bincount(number, minlength=len(nodes)), read, u)
+
+
+#: Up to so many rows are added one by one.
+FEW = 3
+
+
+def row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct row numbers, the sums of their rows of values, and how many they are.
+
+    Most numbers have few rows: those are added all at once, first to first.
+    """
+    packed = np.sort(rows.astype(np.int64) << 32 | np.arange(len(rows)))  # sorting values is faster than sorting places
+    order, told = packed & 0xFFFFFFFF, packed >> 32
+    new = np.ones(len(told), bool)
+    new[1:] = told[1:] != told[:-1]
+    begins = np.flatnonzero(new)
+    n = np.diff(begins, append=len(told))
+    out = values.take(order[begins], 0)
+    for k in range(1, FEW):
+        more = np.flatnonzero((n > k) & (n <= FEW))
+        out[more] += values.take(order[begins[more] + k], 0)
+    many = np.flatnonzero(n > FEW)
+    if len(many):
+        out[many] = np.add.reduceat(values.take(order[np.repeat(n > FEW, n)], 0), np.cumsum(n[many]) - n[many])
+    return told[begins], out, n
+
+
+def nudge(p: dict, squares: dict, seen: dict, key: str, rows: np.ndarray, g: np.ndarray, times: np.ndarray, rate: float) -> None:
+    """An Adagrad step of some distinct rows of a parameter, with their gradients and mentions; a row has one square."""
+    square = squares[key].take(rows) + np.einsum("ij,ij->i", g, g) / g.shape[1]
+    squares[key][rows] = square
+    g *= (rate / np.sqrt(square)).astype(np.float32)[:, None]
+    p[key][rows] = np.subtract(p[key].take(rows, 0), g, out=g)
+    seen[key][rows] += times
+
+
+#: Tokens whose scores are worked on at once.
+ROOM = 1024
 
 
 def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: int, noise: np.ndarray, log_noise: np.ndarray, rate: float) -> None:
@@ -397,35 +500,41 @@ def train_step(p: dict, squares: dict, seen: dict, t: Tokens, low: int, high: in
     y = t.outputs[low:high]
     c = Context(p, t, low, high)
     shift = (p["b"] - np.log(len(noise)) - log_noise).astype(np.float32)
-    own, others = p["t"].take(y, 0), p["t"][noise]
-    true = np.einsum("ij,ij->i", c.h, own) + shift[y]
-    false = c.h @ others.T
-    false += shift[noise]
-    d_true = -1 / (1 + np.exp(np.clip(true, -30, 30)))
-    # The logistic function of the noise scores, in place; 0 where the exponential overflows.
-    with np.errstate(over="ignore"):
-        np.exp(np.negative(false, out=false), out=false)
-    false += 1
-    d_false = np.reciprocal(false, out=false)
-    dh = d_true[:, None] * own + d_false @ others
-    way = paths(p, t, low, c.h)
-    if len(way.rows):
-        d = (1 / (1 + np.exp(-np.clip(way.z, -30, 30))) - way.left).astype(np.float32)[:, None]
-        begins = np.flatnonzero(np.diff(way.rows, prepend=-1))
-        dh[way.rows[begins], :STEER] += np.add.reduceat(np.multiply(way.u, d, out=way.u), begins)[:, :STEER]
-        nudge(p, squares, seen, "u", way.nodes, np.multiply(way.h, d, out=way.h), rate)
+    vectors = np.concatenate([p["t"], shift[:, None]], 1)  # the shift as one more coordinate
+    h = np.ones((len(y), DIM + 1), np.float32)
+    h[:, :DIM] = c.h
+    own, others = vectors.take(y, 0), vectors[noise]
+    with np.errstate(over="ignore"):  # 0 where the exponential overflows
+        d_true = -1 / (1 + np.exp(np.einsum("ij,ij->i", h, own)))
+        dh = np.multiply(own[:, :DIM], d_true[:, None])
+        d_noise = np.zeros_like(others)
+        for a in range(0, len(y), ROOM):  # blocks that stay in the cache
+            false = h[a : a + ROOM] @ -others.T
+            # The logistic function of the noise scores, in place.
+            np.exp(false, out=false)
+            false += 1
+            np.reciprocal(false, out=false)
+            dh[a : a + ROOM] += false @ others[:, :DIM]
+            d_noise += false.T @ h[a : a + ROOM]
+        way = paths(p, t, low, c.h)
+        d = (1 / (1 + np.exp(-way.z)) - way.left).astype(np.float32)
+    if len(d):
+        told, *made = way.gradients(d)
+        back = np.zeros((len(y), STEER + 1), np.float32)
+        back[way.tokens] = told
+        dh[:, :STEER] += back[:, :STEER]
+        nudge(p, squares, seen, "u", *made, rate)
     dq, dc = c.gradients(p, dh)
-    dt = scatter(y, d_true[:, None] * c.h, OUTPUTS)
-    np.add.at(dt, noise, d_false.T @ c.h)
-    db = np.bincount(y, d_true, OUTPUTS)
-    np.add.at(db, noise, d_false.sum(0))
+    h *= d_true[:, None]
+    dt = scatter(y, h, OUTPUTS) + scatter(noise, d_noise, OUTPUTS)
+    dt, db = dt[:, :DIM], dt[:, DIM]
     for k, g in (("q", dq), ("c", dc), ("t", dt), ("b", db)):
         g = g / len(y)
         squares[k] += g * g
         p[k] -= (rate * g / np.sqrt(squares[k])).astype(np.float32)
     told = np.flatnonzero(c.leaves < t.tree.n)
     if len(told):
-        nudge(p, squares, seen, "e", c.leaves[told], c.dx.take(told, 0), rate)
+        nudge(p, squares, seen, "e", *row_sums(c.leaves[told], c.dx.take(told, 0)), rate)
 
 
 def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -508,24 +617,41 @@ def train(docs: DataFrame, v: Vocabulary, batch: int = 4096, samples: int = 64,
     return p
 
 
-def log_probabilities(p: dict, t: Tokens, batch: int = 2048) -> np.ndarray:
+def steps(p: dict, t: Tokens, low: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token, side and score of every step of the paths, where nothing is learned; h ends in ones."""
+    leaves = t.leaves[low : low + len(h)]
+    rows = np.flatnonzero(leaves < t.tree.n)
+    begins = t.tree.begins[leaves[rows]]
+    n = t.tree.begins[leaves[rows] + 1] - begins
+    flat = np.arange(n.sum()) + np.repeat(begins - np.cumsum(n) + n, n)
+    rows = np.repeat(rows, n)
+    read = h if STEER == DIM else np.concatenate([h[:, :STEER], h[:, DIM:]], 1)
+    return rows, t.tree.left[flat], np.einsum("ij,ij->i", read.take(rows, 0), p["u"].take(t.tree.nodes[flat], 0))
+
+
+def log_probabilities(p: dict, t: Tokens, batch: int = 4096) -> np.ndarray:
     """The natural log-probability of every token's output and leaf, normalised over all outputs and their leaves."""
     out = np.zeros(len(t.outputs))
     vectors = np.concatenate([p["t"], p["b"][:, None]], 1)  # the bias as one more coordinate
     longest, flat = np.sqrt((vectors * vectors).sum(1).max()), np.ones(OUTPUTS, p["t"].dtype)
-    room = np.empty((batch, OUTPUTS), p["t"].dtype)  # one matrix for all batches
+    room = np.empty((ROOM // 4, OUTPUTS), p["t"].dtype)  # one matrix for all blocks, which stays in the cache
     for low in range(0, len(out), batch):
         high = min(low + batch, len(out))
-        h = np.ones((high - low, DIM + 1), p["t"].dtype)
+        h, some = np.ones((high - low, DIM + 1), p["t"].dtype), out[low:high]
         h[:, :DIM] = Context(p, t, low, high).h
-        z = np.matmul(h, vectors.T, out=room[: high - low])
-        own, top = z[np.arange(high - low), t.outputs[low:high]], 0.0
-        if np.sqrt((h * h).sum(1).max()) * longest > 80:  # beyond what single precision surely exponentiates
-            top = z.max(1)
-            z -= top[:, None]
-        out[low:high] = own - top - np.log(np.exp(z, out=z) @ flat)
-        way = paths(p, t, low, h)
-        out[low:high] -= np.bincount(way.rows, np.logaddexp(0, np.where(way.left, -way.z, way.z)), high - low)
+        large = np.sqrt(np.einsum("ij,ij->i", h, h).max()) * longest > 80  # beyond what single precision surely exponentiates
+        for a in range(0, len(h), len(room)):
+            part = h[a : a + len(room)]
+            z, top = np.matmul(part, vectors.T, out=room[: len(part)]), 0.0
+            own = z[np.arange(len(part)), t.outputs[low + a : low + a + len(part)]]
+            if large:
+                top = z.max(1)
+                z -= top[:, None]
+            some[a : a + len(room)] = own - top - np.log(np.exp(z, out=z) @ flat)
+        rows, left, s = steps(p, t, low, h)
+        np.negative(s, out=s, where=left > 0)
+        # log(1 + exp(s)), without overflow
+        some -= np.bincount(rows, np.maximum(s, 0) + np.log(1 + np.exp(-np.abs(s))), len(h))
     return out
 
 

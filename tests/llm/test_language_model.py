@@ -216,3 +216,41 @@ def test_score_of_a_text_word_by_word(spark, monkeypatch, common):
                 logit = node[: lm.STEER] @ h[: lm.STEER] + node[lm.STEER]
                 score -= np.logaddexp(0, -logit if v.tree.left[at] else logit) / math.log(10)
         assert got[i] == pytest.approx(score, rel=2e-4, abs=2e-3), text
+
+
+def test_paths_share_their_nodes():
+    """Vectors are gathered once for each node of a tile, not for every step; scores and gradients are those of the single steps."""
+    rng = np.random.default_rng(5)
+    classes, counts = rng.integers(0, 7, 300), rng.integers(1, 1000, 300)
+    tree = lm.tree(np.arange(lm.CLASSES, lm.CLASSES + 300), classes, counts, np.full(lm.CLASSES, 0.1))
+    leaves, none = rng.choice(tree.n + 1, 900, p=np.r_[np.full(tree.n, 0.7 / tree.n), 0.3]), np.zeros(0, np.int64)
+    t, p = lm.Tokens(none, none, none, none, none, leaves, none, none, tree), {"u": rng.normal(size=(len(tree.bias), lm.STEER + 1))}
+    h = rng.normal(size=(900, lm.DIM + 1))
+    h[:, lm.DIM] = 1
+    way = lm.paths(p, t, 0, h)
+    assert len(way.u) < 0.6 * len(way.z)
+    told, nodes, made, times = way.gradients(d := rng.normal(size=len(way.z)))
+    plain, most = np.zeros((900, lm.STEER + 1)), {}
+    z, at = {}, 0
+    for row in way.tokens:
+        a, b = tree.begins[leaves[row]], tree.begins[leaves[row] + 1]
+        for node, left in zip(tree.nodes[a:b][::-1], tree.left[a:b][::-1]):  # from the root down
+            read = np.r_[h[row, : lm.STEER], 1]
+            assert way.z[at] == pytest.approx(p["u"][node] @ read) and way.left[at] == left
+            plain[row] += d[at] * p["u"][node]
+            g, n = most.get(node, (0, 0))
+            most[node] = g + d[at] * read, n + 1
+            at += 1
+    assert at == len(way.z) and sorted(way.tokens) == np.flatnonzero(leaves < tree.n).tolist()
+    assert told == pytest.approx(plain[way.tokens])
+    assert nodes.tolist() == sorted(most) and made == pytest.approx(np.stack([most[n][0] for n in nodes])) and times.tolist() == [most[n][1] for n in nodes]
+    rows, _, s = lm.steps(p, t, 0, h)
+    assert np.bincount(rows, s, 900) == pytest.approx(np.bincount(way.rows, way.z, 900))
+
+
+def test_row_sums():
+    rng = np.random.default_rng(6)
+    rows, values = rng.zipf(1.5, 4000) % 500, rng.normal(size=(4000, 5))
+    found, sums, n = lm.row_sums(rows, values)
+    assert found.tolist() == sorted(set(rows.tolist())) and n.tolist() == np.bincount(rows)[found].tolist()
+    assert sums == pytest.approx(np.stack([values[rows == r].sum(0) for r in found]))
