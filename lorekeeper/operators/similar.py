@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorekeeper.functions.text import normalised, title_tokens
+from lorekeeper.operators.storage import shared_folder
 
 #: Titles of one length class, or with one part of their words, that meet as many others at once.
 TILE = 4096
@@ -62,11 +63,10 @@ def word_parts(tokens: list[str], threshold: float) -> list[tuple[str, int, int]
     return keys
 
 
-def _described(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _with(name: str, value: Callable[[pd.DataFrame], list]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["bits"] = [signature(t) for t in b["title"]]
-            b["parts"] = [[f"{t}/{k}/{p}" for p, t, k in word_parts(list(w), threshold)] for w in b["tokens"]]
+            b[name] = value(b)
             yield b
 
     return run
@@ -111,14 +111,14 @@ def overlap(a: frozenset, b: frozenset) -> float:
 
 
 class _Tile:
-    """Titles that meet: rows (id, last, title, tokens, bits, side), side 0 before side 1."""
+    """Titles that meet: rows (id, last, title, tokens, side), side 0 before side 1, and for candidates their bits."""
 
     def __init__(self, rows: pd.DataFrame, threshold: float):
         rows = rows.sort_values(["side", "id"], ignore_index=True)
         self.ids, self.last, self.titles, self.threshold = rows["id"], rows["last"], rows["title"].tolist(), threshold
         self.tokens = [frozenset(t) for t in rows["tokens"]]
         self.lengths = np.array([len(t) for t in self.titles])
-        self.bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+        self.bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1) if "bits" in rows else None
         self.across = int((rows["side"] == 0).sum()) if rows["side"].iat[-1] else 0
 
     def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -184,14 +184,19 @@ class _Tile:
                 yield np.full(len(b), a), b
 
 
-def _tile_rows(rows: DataFrame, keys: list[str], across: Column | None = None) -> DataFrame:
-    """rows once for every tile that they belong to: keys, kind, i, j and the side.
+def _held(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """How many rows each key has, and blocks of at most TILE or so."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
 
-    The rows of a key are cut into blocks of at most TILE or so by a hash. Every two blocks of a key meet in a tile, and,
+
+def _tile_rows(rows: DataFrame, keys: list[str], held: DataFrame, across: Column | None = None) -> DataFrame:
+    """rows once for every tile that they belong to: keys, kind, i, j and the side; rows of keys that held lacks go.
+
+    The rows of a key are cut into its blocks by a hash. Every two blocks of a key meet in a tile, and,
     where ``across`` gives the next key's last column, every block of a key and every one of the next.
     """
     *outer, last = keys
-    held = rows.groupBy(*keys).agg(F.ceil(F.count("*") / TILE).cast("int").alias("blocks"))
+    own = [c for c in rows.columns if c not in keys]
     same = [F.col(f"h.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     placed = rows.alias("r").join(held.alias("h"), same).select("r.*", "blocks")
     if across is None:
@@ -211,7 +216,7 @@ def _tile_rows(rows: DataFrame, keys: list[str], across: Column | None = None) -
         parts.append(F.transform(upto("above"), lambda o: tile(one, F.col(last), F.col("own"), o, zero)))
         parts.append(F.transform(upto("below"), lambda o: tile(one, F.col(last) - 1, o, F.col("own"), one)))
     told = placed.withColumn("at", F.explode(F.concat(*parts)))
-    return told.select(*outer, "at.*", "id", "last", "title", "tokens", "bits")
+    return told.select(*outer, "at.*", *own)
 
 
 def near_titles(titles: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -224,21 +229,26 @@ def near_titles(titles: DataFrame, threshold: float = 0.9) -> DataFrame:
     which is null where no such members exist. A pair is told when either of them reaches the threshold (at least 0.5).
 
     No pair is lost. Work follows the like pairs and, by about ten nanoseconds each, the pairs of like length in a year;
-    titles, however many are alike, meet in tiles of at most two blocks of about TILE.
+    titles, however many are alike, meet in tiles of at most two blocks of about TILE. Copies meet as they are written,
+    before they are normalised; the classes are checkpointed, and all that follows starts from there.
     """
+    shared_folder(titles.sparkSession)
     kind = dict(titles.dtypes)["id"]
-    norm = normalised(F.col("title"))
-    t = titles.select("id", norm.alias("title"), "year").where("title <> '' and id is not null")
-    distinct = t.groupBy("title", "year").agg(F.min("id").alias("id"), F.max("id").alias("last"))
-    of = distinct.select(F.col("title").alias("_title"), F.col("year").alias("_year"), F.col("id").alias("_first"))
+    year = dict(titles.dtypes)["year"]
+    t = titles.select("id", "title", "year").where("title is not null and id is not null")
+    forms = t.groupBy("title", "year").agg(F.min("id").alias("id"), F.max("id").alias("last")).withColumn("plain", normalised(F.col("title"))).where("plain <> ''")
+    classes = forms.groupBy(F.col("plain").alias("title"), "year").agg(F.min("id").alias("id"), F.max("last").alias("last")).checkpoint()
+    first = classes.select(F.col("title").alias("_plain"), F.col("year").alias("_of"), F.col("id").alias("_first"))
+    of = forms.join(first, (F.col("plain") == F.col("_plain")) & F.col("year").eqNullSafe(F.col("_of"))).select(F.col("title").alias("_title"), F.col("year").alias("_year"), "_first")
     copies = t.join(of, (F.col("title") == F.col("_title")) & F.col("year").eqNullSafe(F.col("_year"))).where("id <> _first").select(F.col("_first").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("score"), F.lit(None).cast("double").alias("reverse")).distinct()
 
-    year = dict(titles.dtypes)["year"]
-    base = distinct.select("id", "last", "title", "year", title_tokens(F.col("title")).alias("tokens"))
-    known = base.mapInPandas(_described(threshold), f"id {kind}, last {kind}, title string, year {year}, tokens array<string>, bits binary, parts array<string>")
+    known, told = classes.select("id", "last", "title", "year", title_tokens(F.col("title")).alias("tokens")), f"id {kind}, last {kind}, title string, year {year}, tokens array<string>"
     # Lengths of a pair are at most (1 + edits) / (1 - edits) apart: the same class or the next.
     step = np.log((2 - threshold) / threshold) if threshold < 1 else 1.0
-    classed = known.withColumn("size", F.floor(F.log(F.char_length("title")) / F.lit(float(step)) + F.lit(_EPSILON)).cast("int")).drop("parts")
+    sized = lambda df: df.withColumn("size", F.floor(F.log(F.char_length("title")) / F.lit(float(step)) + F.lit(_EPSILON)).cast("int"))
+    signed = known.mapInPandas(_with("bits", lambda b: [signature(x) for x in b["title"]]), f"{told}, bits binary")
+    dealt = known.mapInPandas(_with("parts", lambda b: [[f"{n}/{k}/{p}" for p, n, k in word_parts(list(w), threshold)] for w in b["tokens"]]), f"{told}, parts array<string>")
+    parted = dealt.withColumn("part", F.explode("parts")).drop("parts")
     schema = f"left {kind}, right {kind}, score double, reverse double"
 
     def by_letters(rows: pd.DataFrame) -> pd.DataFrame:
@@ -249,9 +259,6 @@ def near_titles(titles: DataFrame, threshold: float = 0.9) -> DataFrame:
         tile = _Tile(rows, threshold)
         return tile.scored(tile.by_words())
 
-    letters = _tile_rows(classed, ["year", "size"], F.col("size")).groupBy("year", "kind", "key", "i", "j").applyInPandas(by_letters, schema)
-    parted = known.withColumn("part", F.explode("parts")).drop("parts")
-    many = parted.groupBy("year", "part").agg(F.count("*").alias("n")).where("n > 1").select(F.col("year").alias("_year"), F.col("part").alias("_part"))
-    parted = parted.join(many, F.col("year").eqNullSafe(F.col("_year")) & (F.col("part") == F.col("_part")), "left_semi")
-    words = _tile_rows(parted, ["year", "part"]).groupBy("year", "kind", "key", "i", "j").applyInPandas(by_words, schema)
+    letters = _tile_rows(sized(signed), ["year", "size"], _held(sized(classes), ["year", "size"]), F.col("size")).groupBy("year", "kind", "key", "i", "j").applyInPandas(by_letters, schema)
+    words = _tile_rows(parted, ["year", "part"], _held(parted, ["year", "part"]).where("n > 1")).groupBy("year", "kind", "key", "i", "j").applyInPandas(by_words, schema)
     return letters.unionByName(words).distinct().unionByName(copies)

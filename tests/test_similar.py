@@ -141,3 +141,12 @@ def test_word_parts_meet():
             b ^= {rng.choice(words)}
         if b and len(a & b) / len(a | b) >= 0.9:
             assert set(similar.word_parts(sorted(a), 0.9)) & set(similar.word_parts(sorted(b), 0.9))
+
+
+def test_titles_are_described_once(spark):
+    """Copies meet as they are written; what follows starts from the classes, so the driver's plan stays small."""
+    rows = [(k, f"{' ' * (k % 3)}Title {k // 9}", 1990 + k % 2) for k in range(90)] + [(k, None, 1990) for k in range(3)]
+    found = similar.near_titles(spark.createDataFrame(rows, SCHEMA))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") <= 3
+    assert expanded(rows, [tuple(r) for r in found.collect()]) == brute(rows)
